@@ -33,10 +33,15 @@ def instant(as_of: datetime | str, dtype: T.DataType) -> Column:
     raise TypeError(f"expected a timestamp column, got {dtype.simpleString()}")
 
 
+def kind_of(df: DataFrame, column: str) -> T.DataType:
+    """Type of a column, its name in any case."""
+    return df.select(column).schema[0].dataType
+
+
 def instant_like(as_of: datetime | str, df: DataFrame, column: str = "timestamp", minutes_ago: int = 0) -> Column:
     """The run time, or a moment some minutes before it, comparable with ``df[column]``."""
     moment = parse_instant(as_of) - timedelta(minutes=minutes_ago)
-    return instant(moment, df.schema[column].dataType)
+    return instant(moment, kind_of(df, column))
 
 
 def after_minutes_ago(df: DataFrame, as_of: datetime | str, minutes: int, column: str = "timestamp") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from podwatch import fixed_values as fv
 from podwatch.functions.text import fill_template, stripped
-from podwatch.functions.timing import instant, minutes
+from podwatch.functions.timing import instant, kind_of, minutes
 from podwatch.rules import RULES, Rule, cooldown_minutes, rule_order, rule_text
 
 # Messages in one part of a poll text, and slices of the token order numbered on their own.
@@ -148,5 +148,5 @@ def is_quiet(text: Column) -> Column:
 
 def single_poll(outbox: DataFrame, as_of: datetime | str) -> DataFrame:
     """The one-row poll table of a single run."""
-    moment = instant(as_of, outbox.schema["timestamp"].dataType)
+    moment = instant(as_of, kind_of(outbox, "timestamp"))
     return outbox.sparkSession.range(1).select(moment.alias("timestamp"))

@@ -53,7 +53,8 @@ def describe_frame(table_name: str, df: DataFrame) -> list[tuple[str, str, str,
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:
     """Name, type and nullability of each column, as declared."""
-    rows = [(name, c.name, c.dataType, c.nullable) for c in spark.catalog.listColumns(name)]
+    declared = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    rows = [(name, c.name, declared[c.name], c.nullable) for c in spark.catalog.listColumns(name)]
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 

@@ -75,6 +75,7 @@ def reject_reason(widths: dict[str, int] | None = None) -> Column:
 
 def split_rejects(rows: DataFrame, widths: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows that fit the table, rejected rows with their ``reason``)."""
-    present = {c: n for c, n in (widths or METADATA_WIDTHS).items() if c in rows.columns}
+    names = {c.lower() for c in rows.columns}
+    present = {c: n for c, n in (widths or METADATA_WIDTHS).items() if c in names}
     marked = rows.withColumn("reason", reject_reason(present))
     return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podwatch import fixed_values as fv
-from podwatch.functions.timing import instant, minutes, poll_tick
+from podwatch.functions.timing import instant, kind_of, minutes, poll_tick
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule, cooldown_minutes
 
@@ -102,7 +102,7 @@ def replay_counts(
     old to matter are not read.
     """
     _check_grid(poll_minutes, [recent_minutes, *(r.length_minutes for r in rules)])
-    kind = swaps.schema["timestamp"].dataType
+    kind = kind_of(swaps, "timestamp")
     last = instant(until, kind)
     read = swaps.where(F.col("timestamp") <= last)
     if since is not None:
@@ -175,12 +175,14 @@ def suppress_replay(
         timed = timed.join(seeds, key, "left").where(out).drop("seed")
     own = Window.partitionBy(*key).orderBy("timestamp")
     waited = F.col("timestamp") - F.lag("timestamp").over(own)
-    ordered = timed.withColumns(
+    marked = timed.withColumns(
         {
             "starts": F.coalesce(waited >= minutes(cooldown), F.lit(True)),
             "wait_us": cooldown.cast("bigint") * 60_000_000,
         }
-    ).sortWithinPartitions(*key, "timestamp")
+    )
+    # Arrow batches go back by position, hence the columns in the order of the result.
+    ordered = marked.select(*candidates.columns, "starts", "wait_us").sortWithinPartitions(*key, "timestamp")
     return ordered.mapInArrow(_first_past_cooldown, candidates.schema)
 
 

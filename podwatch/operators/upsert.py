@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from podwatch import fixed_values as fv
 from podwatch.functions.text import is_blank
+from podwatch.functions.timing import kind_of
 from podwatch.schemas import TOKEN_METADATA_COLUMNS
 
 # Columns a match overwrites, next to inserted_at.
@@ -43,9 +44,10 @@ def upsert(
     on the default chain where the batch names none. ``keep_known`` leaves a symbol or name alone
     where the batch has only an empty one.
     """
-    if "blockchain" not in source.columns:
+    if "blockchain" not in (c.lower() for c in source.columns):
         source = source.withColumn("blockchain", F.lit(fv.DEFAULT_BLOCKCHAIN))
-    kind = {f.name: f.dataType for f in target.schema.fields}
+    target = target.select(*TOKEN_METADATA_COLUMNS)
+    kind = {c: kind_of(target, c) for c in TOKEN_METADATA_COLUMNS}
     t, s = target.alias("t"), source.alias("s")
     in_target, in_source = F.col("t.address").isNotNull(), F.col("s.address").isNotNull()
 

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from podwatch.functions.timing import kind_of
 from podwatch.operators.alerts import outbox_rows, poll_texts, with_message
 from podwatch.operators.enrich import attach_metadata, drop_denied
 from podwatch.operators.replay import poll_grid, replay_counts, suppress_replay
@@ -29,6 +30,6 @@ def replay_alerts(
 
 def replay_texts(alerts: DataFrame, since: datetime | str, until: datetime | str) -> DataFrame:
     """Text of every poll between two polls, quiet ones included."""
-    kind = alerts.schema["timestamp"].dataType
+    kind = kind_of(alerts, "timestamp")
     polls = poll_grid(alerts.sparkSession, since, until, kind)
     return poll_texts(polls, outbox_rows(alerts))

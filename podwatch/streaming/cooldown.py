@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from podwatch.functions.timing import kind_of
 from podwatch.rules import RULES, Rule, cooldown_minutes
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -74,7 +75,7 @@ def stream_alerts(
         timeMode="None",
         initialState=initial,
     )
-    kind = candidates.schema["timestamp"].dataType
+    kind = kind_of(candidates, "timestamp")
     return kept.select(
         F.timestamp_micros("at").cast(kind).alias("timestamp"),
         *KEY,

@@ -1,0 +1,185 @@
+"""Metadata cleaning, rejects, upsert and catalog tables."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from podwatch.functions.timing import instant_like
+from podwatch.operators import catalog, metadata, upsert
+from podwatch.plans.metadata_load import load_batch, run_metadata_load
+from podwatch.sources.relational import extract_raw_metadata
+from podwatch.sources.tables import run_sql
+
+RAW = "ord bigint, address string, name string, symbol string, blockchain string, decimals bigint"
+TARGET = "address string, symbol string, name string, decimals bigint, blockchain string, inserted_at timestamp_ntz"
+NOW = "2024-01-31 12:00:00"
+
+
+def raw(spark):
+    return spark.createDataFrame(
+        [
+            (3, "a", "third", "T", "solana", 1),
+            (1, "a", "first", "F", "base", 2),
+            (2, None, "nokey", "N", "solana", 3),
+            (4, "b", None, None, None, None),
+        ],
+        RAW,
+    )
+
+
+def target(spark, rows):
+    return spark.createDataFrame(rows, "address string, symbol string, name string, decimals bigint, blockchain string, inserted_at string").withColumn(
+        "inserted_at", F.col("inserted_at").cast("timestamp_ntz")
+    )
+
+
+def as_dict(df):
+    return {r.address: (r.symbol, r.name, r.decimals, r.blockchain, str(r.inserted_at)) for r in df.collect()}
+
+
+OLD = "2024-01-01 00:00:00"
+
+
+def test_clean_keeps_first_row_and_drops_null_keys(spark):
+    cleaned = metadata.upper_case_columns(metadata.clean_metadata(raw(spark), "ord"))
+    assert cleaned.columns == ["ADDRESS", "SYMBOL", "NAME", "DECIMALS", "BLOCKCHAIN"]
+    assert sorted(map(tuple, cleaned.collect()), key=str) == [
+        ("a", "F", "first", 2, "base"),
+        ("b", None, None, None, None),
+    ]
+
+
+def test_load_metrics(spark):
+    assert tuple(metadata.load_metrics(raw(spark)).first()) == (4, 1, 3, 2)
+    assert tuple(metadata.load_metrics(raw(spark).limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_nan_becomes_null(spark):
+    df = spark.createDataFrame([(1.0, "x"), (float("nan"), "y"), (None, "z")], "v double, k string")
+    assert {r.k: r.v for r in metadata.nan_to_null(df).collect()} == {"x": 1.0, "y": None, "z": None}
+
+
+def test_extract_is_keyed_rows_of_five_columns(spark):
+    assert extract_raw_metadata(raw(spark)).columns == ["address", "name", "symbol", "blockchain", "decimals"]
+    assert extract_raw_metadata(raw(spark)).count() == 3
+
+
+def test_rejects(spark):
+    rows = spark.createDataFrame(
+        [("ok", "S" * 50, "N" * 255), ("long", "S" * 51, "N"), (None, "S", "N"), ("name", "S", "é" * 256)],
+        "address string, symbol string, name string",
+    )
+    fitting, rejects = metadata.split_rejects(rows)
+    assert [r.address for r in fitting.collect()] == ["ok"]
+    assert {r.address: r.reason for r in rejects.collect()} == {
+        "long": "symbol over 50 characters",
+        None: "no address",
+        "name": "name over 255 characters",
+    }
+
+
+def test_batch_upsert_overwrites_chain_and_api_upsert_does_not(spark):
+    old = target(spark, [("a", "A", "Alpha", 1, "base", OLD), ("k", "K", "Kappa", 1, "base", OLD)])
+    new = spark.createDataFrame([("a", "A2", "Alpha2", 9, "tron"), ("n", "N", "Nu", 5, "tron")], "address string, symbol string, name string, decimals bigint, blockchain string")
+    now = instant_like(NOW, old, "inserted_at")
+    assert as_dict(upsert.upsert(old, new, now)) == {
+        "a": ("A2", "Alpha2", 9, "tron", NOW),
+        "k": ("K", "Kappa", 1, "base", OLD),
+        "n": ("N", "Nu", 5, "tron", NOW),
+    }
+    upper = old.toDF(*(c.upper() for c in old.columns))
+    assert as_dict(upsert.upsert(upper, metadata.upper_case_columns(new), now)) == as_dict(upsert.upsert(old, new, now))
+    api = new.drop("blockchain")
+    assert as_dict(upsert.upsert(old, api, now, upsert.API_UPDATES)) == {
+        "a": ("A2", "Alpha2", 9, "base", NOW),
+        "k": ("K", "Kappa", 1, "base", OLD),
+        "n": ("N", "Nu", 5, "solana", NOW),
+    }
+
+
+def test_failed_fetch_overwrites_unless_known_is_kept(spark):
+    old = target(spark, [("a", "A", "", 1, "base", OLD)])
+    failed = spark.createDataFrame([("a", "", "", None)], "address string, symbol string, name string, decimals bigint")
+    now = instant_like(NOW, old, "inserted_at")
+    assert as_dict(upsert.upsert(old, failed, now, upsert.API_UPDATES))["a"][:2] == ("", "")
+    assert as_dict(upsert.upsert(old, failed, now, upsert.API_UPDATES, keep_known=True))["a"][:2] == ("A", "")
+
+
+keys = st.lists(st.sampled_from("abcdef"), unique=True, max_size=5)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys, keys)
+def test_upsert_is_idempotent(spark, old_keys, new_keys):
+    old = target(spark, [(k, "s", "n", 1, "base", OLD) for k in old_keys])
+    new = spark.createDataFrame(
+        [(k, k.upper(), "new", 2, "tron") for k in new_keys],
+        "address string, symbol string, name string, decimals bigint, blockchain string",
+    )
+    now = instant_like(NOW, old, "inserted_at")
+    once = upsert.upsert(old, new, now)
+    assert as_dict(once) == as_dict(upsert.upsert(once, new, now))
+    assert set(as_dict(once)) == set(old_keys) | set(new_keys)
+
+
+@pytest.mark.parametrize("keys", [["a", "a"], ["a", None], [None]])
+def test_bad_keys_fail_the_load(spark, keys):
+    with pytest.raises(upsert.BadLoadError):
+        upsert.check_keys(spark.createDataFrame([(k,) for k in keys], "address string"))
+
+
+def test_catalog_round_trip(spark, database, tmp_path):
+    table = f"{database}.token_metadata"
+    assert catalog.table_exists(spark, database, "token_metadata") == (False, None)
+    catalog.create_token_metadata_table(spark, table, str(tmp_path / "token_metadata" / "first"))
+    catalog.create_token_metadata_table(spark, table)
+    assert catalog.table_exists(spark, database, "TOKEN_METADATA") == (True, "token_metadata")
+    assert catalog.table_exists(spark, database, "tokenXmetadata") == (False, None)
+    described = {r.column_name: (r.data_type, r.nullable) for r in catalog.describe_table(spark, table).collect()}
+    assert described["symbol"] == ("varchar(50)", True)
+    assert described["decimals"] == ("decimal(38,0)", True)
+    assert [r.table_name for r in catalog.list_tables(spark, database).collect()] == ["token_metadata"]
+    run_sql(spark, f"INSERT INTO {table} (address) VALUES (:address)", address="it's")
+    row = spark.table(table).first()
+    assert (row.address, row.blockchain, row.symbol) == ("it's", "solana", None)
+    assert row.inserted_at is not None
+
+
+def test_stage_view(spark):
+    name = catalog.stage_view(spark.range(3), "staged_batch")
+    assert run_sql(spark, f"SELECT count(*) AS n FROM {name} WHERE id > :least", least=0).first().n == 2
+    assert catalog.drop_stage(spark, name) is True
+    assert catalog.drop_stage(spark, name) is False
+
+
+def test_metadata_load_job(spark, database, tmp_path):
+    table = f"{database}.token_metadata"
+    folder = str(tmp_path / "token_metadata" / "first")
+    result = run_metadata_load(spark, raw(spark), table, "ord", "2024-01-31 10:00:00", folder=folder)
+    assert (result.extracted, result.without_key, result.unique, result.rejected, result.table_rows) == (4, 1, 2, 0, 2)
+    before = catalog.table_location(spark, table)
+    later = spark.createDataFrame([(1, "a", "renamed", "R", "tron", 7), (2, "c", "new", "C", "tron", 8), (3, "l", "x", "y" * 51, "t", 1)], RAW)
+    with pytest.raises(ValueError, match="do not fit"):
+        run_metadata_load(spark, later, table, "ord", "2024-01-31 11:00:00")
+    result = run_metadata_load(spark, later, table, "ord", "2024-01-31 11:00:00", rejects_table=f"{database}.rejects")
+    assert (result.rejected, result.table_rows) == (1, 3)
+    assert catalog.table_location(spark, table) != before
+    rows = {r.address: (r.symbol, r.decimals, r.blockchain, r.at) for r in spark.table(table).withColumn("at", F.date_format("inserted_at", "HH:mm")).collect()}
+    assert rows == {
+        "a": ("R", Decimal(7), "tron", "11:00"),
+        "b": (None, None, None, "10:00"),
+        "c": ("C", Decimal(8), "tron", "11:00"),
+    }
+    assert [r.address for r in spark.table(f"{database}.rejects").collect()] == ["l"]
+    with pytest.raises(upsert.BadLoadError):
+        load_batch(spark, later.limit(1).unionByName(later.limit(1)), table, NOW)
+    assert spark.table(table).count() == 3
+
+
+def test_preview(spark):
+    assert [r.ord for r in metadata.preview(raw(spark), "ord").collect()] == [1, 2]
