@@ -20,6 +20,7 @@ from podwatch import fixed_values as fv
 from podwatch.functions.timing import instant, kind_of, minutes, poll_tick
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule, cooldown_minutes
+from podwatch.sources.tables import swaps_until
 
 
 def _check_grid(poll_minutes: int, lengths: Sequence[int]) -> None:
@@ -95,6 +96,7 @@ def replay_counts(
     rules: Sequence[Rule] = RULES,
     recent_minutes: int = fv.RECENT_MINUTES,
     poll_minutes: int = fv.POLL_MINUTES,
+    date_column: str | None = None,
 ) -> DataFrame:
     """Candidates of every poll up to ``until``: (timestamp, token, time_interval, counts).
 
@@ -104,11 +106,8 @@ def replay_counts(
     _check_grid(poll_minutes, [recent_minutes, *(r.length_minutes for r in rules)])
     kind = kind_of(swaps, "timestamp")
     last = instant(until, kind)
-    read = swaps.where(F.col("timestamp") <= last)
-    if since is not None:
-        longest = max([recent_minutes, *(r.length_minutes for r in rules)])
-        read = read.where(F.col("timestamp") > instant(since, kind) - minutes(longest))
-
+    longest = max([recent_minutes, *(r.length_minutes for r in rules)])
+    read = swaps_until(swaps, until, since, longest, date_column)
     changes = count_changes(trader_ticks(read, poll_minutes), rules, recent_minutes, poll_minutes)
     so_far = Window.partitionBy("token").orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = changes.select(

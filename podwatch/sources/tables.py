@@ -34,3 +34,23 @@ def swaps_since(
         oldest_day = instant_like(as_of, swaps, "timestamp", minutes).cast("date")
         recent = recent.where(F.col(date_column) >= oldest_day)
     return recent.select(*SWAP_COLUMNS)
+
+
+def swaps_until(
+    swaps: DataFrame,
+    until: datetime | str,
+    since: datetime | str | None = None,
+    minutes_before: int = 0,
+    date_column: str | None = None,
+) -> DataFrame:
+    """The five swap columns of a stretch of history: later than ``minutes_before`` before ``since``, up to ``until``."""
+    last = instant_like(until, swaps)
+    read = swaps.where(F.col("timestamp") <= last)
+    if date_column:
+        read = read.where(F.col(date_column) <= last.cast("date"))
+    if since is not None:
+        oldest = instant_like(since, swaps, "timestamp", minutes_before)
+        read = read.where(F.col("timestamp") > oldest)
+        if date_column:
+            read = read.where(F.col(date_column) >= oldest.cast("date"))
+    return read.select(*SWAP_COLUMNS)

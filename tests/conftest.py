@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         spark__driver__bindAddress="127.0.0.1",
         spark__driver__host="127.0.0.1",
         spark__ui__enabled="false",
+        spark__sql__maxMetadataStringLength=2000,
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER,
     )
