@@ -26,9 +26,9 @@ def _token(key: str) -> str:
 
 
 def swaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    age = "datediff(DATE'2001-11-05', CAST(l_shipdate AS DATE)) * 15"
+    age = "INTERVAL '15' SECOND * datediff(DATE'2001-11-05', CAST(l_shipdate AS DATE))"
     return load(spark, sf_dir, "lineitem").selectExpr(
-        f"TIMESTAMP_NTZ '{AS_OF}' - make_dt_interval(0, 0, 0, {age}) AS timestamp",
+        f"TIMESTAMP_NTZ '{AS_OF}' - {age} AS timestamp",
         "CASE WHEN l_linenumber <> 7 THEN concat('U', CAST(l_orderkey DIV 10 AS STRING)) END AS user_address",
         f"CASE WHEN l_returnflag = 'R' THEN {_token('3')}"
         f" ELSE {_token('l_suppkey * 20 + l_orderkey % 20')} END AS swapfromtoken",

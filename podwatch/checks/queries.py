@@ -12,6 +12,7 @@ from podwatch.functions import payload, text, timing
 from podwatch.operators import alerts, catalog, detect, enrich, landing, metadata, replay, upsert
 from podwatch.plans import replay as replay_plan
 from podwatch.plans import whale_poll
+from podwatch.session import settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,7 +151,7 @@ def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def poll_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outbox = alerts.outbox_rows(_alerts(spark, sf_dir))
+    outbox = settled(alerts.outbox_rows(_alerts(spark, sf_dir)))
     texts = alerts.poll_texts(alerts.single_poll(outbox, fx.AS_OF), outbox)
     return texts.withColumn("quiet", alerts.is_quiet(F.col("text")))
 

@@ -51,8 +51,9 @@ def after_minutes_ago(df: DataFrame, as_of: datetime | str, minutes: int, column
 
 def minutes(n: Column | int) -> Column:
     """A duration of ``n`` minutes."""
-    n = F.lit(n) if isinstance(n, int) else n
-    return F.make_dt_interval(F.lit(0), F.lit(0), n)
+    if isinstance(n, int):
+        return F.lit(timedelta(minutes=n))
+    return F.lit(timedelta(minutes=1)) * n
 
 
 def poll_tick(ts: Column, poll_minutes: int) -> Column:

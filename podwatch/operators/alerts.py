@@ -107,10 +107,11 @@ def poll_text_parts(outbox: DataFrame, part_messages: int = PART_MESSAGES) -> Da
     Parts joined by a line end, in order, are the whole text; a poll that fits has the single part 0.
     Messages go by rule, then by a digest slice of the token, then by token. Counts per slice give
     each slice its starting number, so numbering a large poll needs no task that sees all of it.
+    The outbox is read twice: give a written or checkpointed one.
     """
+    keys = ["timestamp", "rule_order", "slice"]
     slices = F.substring(F.md5(F.col("token")), 1, ORDER_SLICE_DIGITS)
     sliced = outbox.withColumn("slice", slices)
-    keys = ["timestamp", "rule_order", "slice"]
     order_of_slices = Window.partitionBy("timestamp").orderBy("rule_order", "slice")
     starts = (
         sliced.groupBy(*keys)

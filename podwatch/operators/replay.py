@@ -44,48 +44,49 @@ def count_changes(
     most one row per poll of the history.
     """
     own = Window.partitionBy("token", "side", "user_address", "counted").orderBy("tick")
-    spans = ticks.withColumns({"before": F.lag("tick").over(own), "after": F.lead("tick").over(own)})
-
-    def gap_at_least(gap: Column, length: int) -> Column:
-        return F.coalesce(gap >= minutes(length), F.lit(True))
-
-    names = [f"{side}_{i}" for i in range(len(rules)) for side in ("buy", "sell")]
-
-    def change(tick: Column, recent: bool, step: dict[int, Column]) -> Column:
-        """One change row: ``step`` gives the signed change per rule for the trader's own side."""
-        fields = [tick.alias("tick"), F.lit(recent).alias("recent")]
-        for i in range(len(rules)):
-            for side in ("buy", "sell"):
-                here = F.col("counted") & (F.col("side") == side)
-                value = F.when(here, step[i]).otherwise(F.lit(0)) if i in step else F.lit(0)
-                fields.append(value.cast("bigint").alias(f"{side}_{i}"))
-        return F.struct(*fields)
-
-    def flag(condition: Column, value: int) -> Column:
-        return F.when(condition, F.lit(value)).otherwise(F.lit(0))
-
-    enters = {
-        i: flag(gap_at_least(F.col("tick") - F.col("before"), r.length_minutes), 1) for i, r in enumerate(rules)
-    }
-    rows = [change(F.col("tick"), True, enters)]
-    rows += [
-        change(F.col("tick") + minutes(later), True, {})
-        for later in range(poll_minutes, recent_minutes, poll_minutes)
-    ]
-    rows += [
-        change(
-            F.col("tick") + minutes(r.length_minutes),
-            False,
-            {i: flag(gap_at_least(F.col("after") - F.col("tick"), r.length_minutes), -1)},
+    since_before = F.col("tick") - F.lag("tick").over(own)
+    until_after = F.lead("tick").over(own) - F.col("tick")
+    spans = ticks.select("token", "side", "counted", "tick", since_before.alias("gap_before"), until_after.alias("gap_after"))
+
+    def moves(gap: str, length: int) -> Column:
+        """1 where a counted trader comes in or drops out at this end of the gap."""
+        alone = F.col(gap).isNull() | (F.col(gap) >= minutes(length))
+        return F.when(F.col("counted") & alone, 1).otherwise(0)
+
+    def change(after: int, recent: bool, steps: dict[int, Column]) -> Column:
+        """A change row some minutes after the tick; ``steps`` gives the change per rule."""
+        return F.struct(
+            (F.col("tick") + minutes(after)).alias("tick"),
+            F.lit(recent).alias("recent"),
+            *(steps.get(i, F.lit(0)).alias(f"step_{i}") for i in range(len(rules))),
         )
-        for i, r in enumerate(rules)
-    ]
-    changes = spans.select("token", F.inline(F.array(*rows)))
-    matters = F.greatest(*(F.abs(F.col(name)) for name in names)) > 0
+
+    marked = spans.withColumns(
+        {
+            name: moves(gap, rule.length_minutes)
+            for i, rule in enumerate(rules)
+            for name, gap in ((f"in_{i}", "gap_before"), (f"out_{i}", "gap_after"))
+        }
+    )
+    rows = [change(0, True, {i: F.col(f"in_{i}") for i in range(len(rules))})]
+    rows += [change(later, True, {}) for later in range(poll_minutes, recent_minutes, poll_minutes)]
+    rows += [change(r.length_minutes, False, {i: -F.col(f"out_{i}")}) for i, r in enumerate(rules)]
+    steps = [f"step_{i}" for i in range(len(rules))]
+    changes = marked.select("token", "side", F.inline(F.array(*rows)))
+    matters = F.col("recent")
+    for step in steps:
+        matters = matters | (F.col(step) != 0)
+
+    def total(side: str, step: str) -> Column:
+        return F.sum(F.when(F.col("side") == side, F.col(step)).otherwise(0))
+
     return (
-        changes.where(F.col("recent") | matters)
+        changes.where(matters)
         .groupBy("token", "tick")
-        .agg(F.max("recent").alias("recent"), *(F.sum(name).alias(name) for name in names))
+        .agg(
+            F.max("recent").alias("recent"),
+            *(total(side, step).alias(f"{side}_{i}") for i, step in enumerate(steps) for side in ("buy", "sell")),
+        )
     )
 
 

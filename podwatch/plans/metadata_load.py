@@ -12,7 +12,7 @@ from podwatch.functions.timing import instant_like, utc_now
 from podwatch.operators.catalog import create_token_metadata_table, replace_table_data, table_exists
 from podwatch.operators.metadata import clean_metadata, load_metrics, split_rejects
 from podwatch.operators.upsert import BATCH_UPDATES, check_keys, upsert
-from podwatch.session import use_checkpoint_dir
+from podwatch.session import settled
 
 
 @dataclass(frozen=True)
@@ -49,9 +49,8 @@ def run_metadata_load(
     folder: str | None = None,
 ) -> LoadResult:
     """Loads a raw source. Rows that do not fit go to ``rejects_table``; without one they fail the load."""
-    use_checkpoint_dir(spark)
     metrics = load_metrics(raw).first()
-    cleaned = clean_metadata(raw, order_by).checkpoint()
+    cleaned = settled(clean_metadata(raw, order_by))
     fitting, rejects = split_rejects(cleaned)
     rejected = rejects.count()
     if rejected and rejects_table is None:

@@ -12,6 +12,7 @@ from podwatch.operators.alerts import outbox_rows, poll_texts, with_message
 from podwatch.operators.enrich import attach_metadata, drop_denied
 from podwatch.operators.replay import poll_grid, replay_counts, suppress_replay
 from podwatch.rules import RULES, Rule
+from podwatch.session import settled
 
 
 def replay_alerts(
@@ -29,7 +30,7 @@ def replay_alerts(
 
 
 def replay_texts(alerts: DataFrame, since: datetime | str, until: datetime | str) -> DataFrame:
-    """Text of every poll between two polls, quiet ones included."""
+    """Text of every poll between two polls, quiet ones included; the messages are checkpointed."""
     kind = kind_of(alerts, "timestamp")
     polls = poll_grid(alerts.sparkSession, since, until, kind)
-    return poll_texts(polls, outbox_rows(alerts))
+    return poll_texts(polls, settled(outbox_rows(alerts)))

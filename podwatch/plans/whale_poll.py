@@ -18,7 +18,7 @@ from podwatch.operators.metadata import split_rejects
 from podwatch.operators.upsert import API_UPDATES, upsert
 from podwatch.rules import RULES, Rule
 from podwatch.schemas import ALERT_LOG_COLUMNS, TableNames
-from podwatch.session import use_checkpoint_dir
+from podwatch.session import settled
 
 
 def alerts_from_candidates(
@@ -77,7 +77,6 @@ def run_poll(
     and survive the loss of an executor. A poll that died between log and outbox is resumed when run
     again with the same ``as_of``: its log rows are there, so only its missing messages are written.
     """
-    use_checkpoint_dir(spark)
     as_of = utc_now() if as_of is None else as_of
     swaps, log = spark.table(names.swaps), spark.table(names.alert_log)
 
@@ -86,17 +85,17 @@ def run_poll(
         published = spark.table(names.outbox)
         rendered = with_message(logged.withColumnRenamed("address", "token"), rules)
         absent = outbox_rows(rendered).join(published, ["timestamp", "token", "time_interval"], "left_anti")
-        absent = absent.select(*published.columns).checkpoint()
+        absent = settled(absent.select(*published.columns))
         absent.write.mode("append").format("parquet").saveAsTable(names.outbox)
         return PollResult(absent.count(), resumed=True)
 
-    candidates = detect_candidates(swaps, log, as_of, rules, date_column=date_column).checkpoint()
+    candidates = settled(detect_candidates(swaps, log, as_of, rules, date_column=date_column))
     if candidates.isEmpty():
         return PollResult(0, resumed=False)
     metadata = spark.table(names.token_metadata)
     refreshed = metadata_with_responses(candidates, metadata, responses, as_of, keep_known)
     replace_table_data(spark, names.token_metadata, refreshed)
-    alerts = alerts_from_candidates(candidates, spark.table(names.token_metadata), rules).checkpoint()
+    alerts = settled(alerts_from_candidates(candidates, spark.table(names.token_metadata), rules))
     alert_log_rows(alerts).select(*ALERT_LOG_COLUMNS).write.mode("append").format("parquet").saveAsTable(
         names.alert_log
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "podwatch", master: str | None = None, **conf: object) -> SparkSession:
@@ -42,3 +42,9 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="podwatch-checkpoint-")
     context.setCheckpointDir(folder)
     return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The frame computed once and kept in the checkpoint folder, for frames that are read repeatedly."""
+    use_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -12,6 +12,7 @@ from podwatch.operators.enrich import attach_metadata, drop_denied
 from podwatch.operators.landing import payload_rows
 from podwatch.rules import RULES, Rule
 from podwatch.schemas import ALERT_LOG_COLUMNS, TableNames
+from podwatch.session import settled
 from podwatch.sources.landed import stream_payload_files
 
 
@@ -45,7 +46,7 @@ def publish_batch(alerts: DataFrame, names: TableNames, rules: Sequence[Rule] =
     """
     spark = alerts.sparkSession
     named = drop_denied(attach_metadata(alerts, spark.table(names.token_metadata), none_found=False))
-    rendered = with_message(named, rules).checkpoint()
+    rendered = settled(with_message(named, rules))
     log, outbox = spark.table(names.alert_log), spark.table(names.outbox)
     to_log = alert_log_rows(rendered).select(*ALERT_LOG_COLUMNS)
     key = ["timestamp", "address", "time_interval"]

@@ -14,7 +14,6 @@ from podwatch.operators import alerts, catalog, landing
 from podwatch.plans.price_landing import run_price_landing
 from podwatch.plans.whale_poll import poll_alerts, run_poll
 from podwatch.schemas import TableNames
-from podwatch.session import use_checkpoint_dir
 from podwatch.sources.landed import read_responses
 from podwatch.streaming.sinks import publish_batch, start_payload_landing
 
@@ -104,7 +103,6 @@ def test_quiet_poll_writes_nothing(spark, database, tmp_path):
 
 
 def test_publishing_a_batch_twice_adds_nothing(spark, database, tmp_path):
-    use_checkpoint_dir(spark)
     names = names_in(database)
     fill(spark, names, str(tmp_path))
     before = spark.table(names.alert_log).count()
