@@ -125,6 +125,18 @@ def with_last_alert(counts: DataFrame, alert_log: DataFrame) -> DataFrame:
     return counts.join(last, ["token", "time_interval"], "left")
 
 
+def threshold_counts(
+    swaps: DataFrame,
+    as_of: datetime | str,
+    rules: Sequence[Rule] = RULES,
+    recent_minutes: int = fv.RECENT_MINUTES,
+    date_column: str | None = None,
+) -> DataFrame:
+    """Counts of one poll that are over their rule's threshold, with the poll's time."""
+    counts = windowed_counts(swaps, as_of, rules, recent_minutes, date_column).where(over_threshold())
+    return counts.drop("threshold").withColumn("timestamp", instant_like(as_of, swaps))
+
+
 def detect_candidates(
     swaps: DataFrame,
     alert_log: DataFrame,
@@ -134,9 +146,9 @@ def detect_candidates(
     date_column: str | None = None,
 ) -> DataFrame:
     """Candidate alerts of one poll."""
-    counts = windowed_counts(swaps, as_of, rules, recent_minutes, date_column).where(over_threshold())
+    counts = threshold_counts(swaps, as_of, rules, recent_minutes, date_column)
     return with_last_alert(counts, alert_log).select(
-        instant_like(as_of, swaps).alias("timestamp"),
+        "timestamp",
         "token",
         "time_interval",
         "num_users_bought",

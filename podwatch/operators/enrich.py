@@ -13,7 +13,10 @@ LOOKUP_COLUMNS = ("address", "symbol", "name", "decimals")
 
 
 def lookup_metadata(metadata: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Metadata of the tokens asked for. ``tokens`` has a ``token`` column; repeats do not matter."""
+    """Metadata of the tokens asked for. ``tokens`` has a ``token`` column; repeats do not matter.
+
+    Given a broadcast ``tokens``, the metadata is scanned where it lies and not shuffled.
+    """
     keys = tokens.select(F.col("token").alias("address"))
     return metadata.select(*LOOKUP_COLUMNS).join(keys, "address", "left_semi")
 

@@ -34,59 +34,74 @@ def trader_ticks(swaps: DataFrame, poll_minutes: int = fv.POLL_MINUTES) -> DataF
     return swap_legs(swaps).select("token", "side", "user_address", "counted", tick.alias("tick")).distinct()
 
 
-def count_changes(
-    ticks: DataFrame, rules: Sequence[Rule], recent_minutes: int, poll_minutes: int
-) -> DataFrame:
-    """Changes of each count per (token, tick), and whether the token is recent at that tick.
+def count_changes(ticks: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Traders coming in at each (token, tick), and traders last seen there, per side and rule.
 
-    A trader comes into a window at a tick unless their earlier tick still covers it, and drops out
-    one length later unless a later tick takes over before. A group of the window function holds at
-    most one row per poll of the history.
+    A trader comes in at a tick unless an earlier tick still covers it, and drops out one length after
+    a tick unless a later one takes over before. A group of the window function holds at most one row
+    per poll of the history; the sums reduce on the map side. The hash in front of the keys makes the
+    sort compare numbers first, and texts of equal traders only.
     """
-    own = Window.partitionBy("token", "side", "user_address", "counted").orderBy("tick")
-    since_before = F.col("tick") - F.lag("tick").over(own)
-    until_after = F.lead("tick").over(own) - F.col("tick")
-    spans = ticks.select("token", "side", "counted", "tick", since_before.alias("gap_before"), until_after.alias("gap_after"))
-
-    def moves(gap: str, length: int) -> Column:
-        """1 where a counted trader comes in or drops out at this end of the gap."""
-        alone = F.col(gap).isNull() | (F.col(gap) >= minutes(length))
-        return F.when(F.col("counted") & alone, 1).otherwise(0)
-
-    def change(after: int, recent: bool, steps: dict[int, Column]) -> Column:
-        """A change row some minutes after the tick; ``steps`` gives the change per rule."""
-        return F.struct(
-            (F.col("tick") + minutes(after)).alias("tick"),
-            F.lit(recent).alias("recent"),
-            *(steps.get(i, F.lit(0)).alias(f"step_{i}") for i in range(len(rules))),
-        )
+    trader = ["token", "side", "user_address", "counted"]
+    own = Window.partitionBy("trader", *trader).orderBy("tick")
+    spans = ticks.withColumn("trader", F.xxhash64(*trader)).select(
+        "token",
+        "side",
+        "counted",
+        "tick",
+        (F.col("tick") - F.lag("tick").over(own)).alias("gap_before"),
+        (F.lead("tick").over(own) - F.col("tick")).alias("gap_after"),
+    )
 
-    marked = spans.withColumns(
-        {
-            name: moves(gap, rule.length_minutes)
+    def traders(side: str, gap: str, rule: Rule) -> Column:
+        alone = F.col(gap).isNull() | (F.col(gap) >= minutes(rule.length_minutes))
+        return F.count_if(F.col("counted") & (F.col("side") == side) & alone)
+
+    return spans.groupBy("token", "tick").agg(
+        *(
+            traders(side, gap, rule).alias(f"{side}_{end}_{i}")
             for i, rule in enumerate(rules)
-            for name, gap in ((f"in_{i}", "gap_before"), (f"out_{i}", "gap_after"))
-        }
+            for side in ("buy", "sell")
+            for end, gap in (("in", "gap_before"), ("out", "gap_after"))
+        )
     )
-    rows = [change(0, True, {i: F.col(f"in_{i}") for i in range(len(rules))})]
-    rows += [change(later, True, {}) for later in range(poll_minutes, recent_minutes, poll_minutes)]
-    rows += [change(r.length_minutes, False, {i: -F.col(f"out_{i}")}) for i, r in enumerate(rules)]
-    steps = [f"step_{i}" for i in range(len(rules))]
-    changes = marked.select("token", "side", F.inline(F.array(*rows)))
-    matters = F.col("recent")
-    for step in steps:
-        matters = matters | (F.col(step) != 0)
-
-    def total(side: str, step: str) -> Column:
-        return F.sum(F.when(F.col("side") == side, F.col(step)).otherwise(0))
 
-    return (
-        changes.where(matters)
+
+def running_counts(
+    changes: DataFrame, rules: Sequence[Rule], recent_minutes: int, poll_minutes: int
+) -> DataFrame:
+    """Traders inside each window at every (token, tick) at which the token is recent.
+
+    Those who came in so far, less those last seen a length ago or before. A token has at most a few
+    rows per poll here, however many swaps it had.
+    """
+    names = [c for c in changes.columns if c not in ("token", "tick")]
+    later = F.explode(F.array(*(F.lit(m) for m in range(0, recent_minutes, poll_minutes))))
+    polls = (
+        changes.withColumn("later", later)
+        .select(
+            "token",
+            (F.col("tick") + minutes(F.col("later"))).alias("tick"),
+            *(F.when(F.col("later") == 0, F.col(name)).otherwise(0).alias(name) for name in names),
+        )
+        .repartition("token")
         .groupBy("token", "tick")
-        .agg(
-            F.max("recent").alias("recent"),
-            *(total(side, step).alias(f"{side}_{i}") for i, step in enumerate(steps) for side in ("buy", "sell")),
+        .agg(*(F.sum(name).alias(name) for name in names))
+    )
+    so_far = Window.partitionBy("token").orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def inside(side: str, i: int, rule: Rule) -> Column:
+        came = F.sum(f"{side}_in_{i}").over(so_far)
+        left = F.expr(
+            f"sum({side}_out_{i}) OVER (PARTITION BY token ORDER BY tick RANGE BETWEEN UNBOUNDED PRECEDING"
+            f" AND INTERVAL '{rule.length_minutes}' MINUTE PRECEDING)"
         )
+        return came - F.coalesce(left, F.lit(0))
+
+    return polls.select(
+        "token",
+        "tick",
+        *(inside(side, i, rule).alias(f"{side}_{i}") for i, rule in enumerate(rules) for side in ("buy", "sell")),
     )
 
 
@@ -109,14 +124,8 @@ def replay_counts(
     last = instant(until, kind)
     longest = max([recent_minutes, *(r.length_minutes for r in rules)])
     read = swaps_until(swaps, until, since, longest, date_column)
-    changes = count_changes(trader_ticks(read, poll_minutes), rules, recent_minutes, poll_minutes)
-    so_far = Window.partitionBy("token").orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = changes.select(
-        "token",
-        "tick",
-        "recent",
-        *(F.sum(f"{side}_{i}").over(so_far).alias(f"{side}_{i}") for i in range(len(rules)) for side in ("buy", "sell")),
-    ).where(F.col("recent") & (F.col("tick") <= last))
+    changes = count_changes(trader_ticks(read, poll_minutes), rules)
+    totals = running_counts(changes, rules, recent_minutes, poll_minutes).where(F.col("tick") <= last)
     if since is not None:
         totals = totals.where(F.col("tick") >= instant(since, kind))
     per_rule = F.array(

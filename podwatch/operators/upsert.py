@@ -37,12 +37,14 @@ def upsert(
     now: Column,
     update_columns: Sequence[str] = BATCH_UPDATES,
     keep_known: bool = False,
+    source_is_small: bool = False,
 ) -> DataFrame:
     """Target after the batch, both with one row per address.
 
     A match takes ``update_columns`` and ``inserted_at = now`` from the batch; a new address is added,
     on the default chain where the batch names none. ``keep_known`` leaves a symbol or name alone
-    where the batch has only an empty one.
+    where the batch has only an empty one. A batch whose size was found to be small
+    (``source_is_small``) is broadcast, and the target is then read without a shuffle.
     """
     if "blockchain" not in (c.lower() for c in source.columns):
         source = source.withColumn("blockchain", F.lit(fv.DEFAULT_BLOCKCHAIN))
@@ -64,6 +66,15 @@ def upsert(
         **{c: merged(c) for c in ("symbol", "name", "decimals", "blockchain")},
         "inserted_at": F.when(in_source, now.cast(kind["inserted_at"])).otherwise(F.col("t.inserted_at")),
     }
-    return t.join(s, F.col("t.address") == F.col("s.address"), "full_outer").select(
-        *(columns[c].alias(c) for c in TOKEN_METADATA_COLUMNS)
+    after = [columns[c].alias(c) for c in TOKEN_METADATA_COLUMNS]
+    same = F.col("t.address") == F.col("s.address")
+    if not source_is_small:
+        return t.join(s, same, "full_outer").select(*after)
+    known = target.select("address").join(F.broadcast(source.select("address")), "address", "left_semi")
+    new = source.join(F.broadcast(known), "address", "left_anti")
+    nobody = target.limit(0).alias("t")
+    return (
+        t.join(F.broadcast(s), same, "left")
+        .select(*after)
+        .unionByName(new.alias("s").join(nobody, same, "left").select(*after))
     )

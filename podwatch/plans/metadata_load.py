@@ -12,7 +12,7 @@ from podwatch.functions.timing import instant_like, utc_now
 from podwatch.operators.catalog import create_token_metadata_table, replace_table_data, table_exists
 from podwatch.operators.metadata import clean_metadata, load_metrics, split_rejects
 from podwatch.operators.upsert import BATCH_UPDATES, check_keys, upsert
-from podwatch.session import settled
+from podwatch.session import is_small, settled
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,8 @@ def load_batch(
         create_token_metadata_table(spark, table, folder)
     target = spark.table(table)
     now = instant_like(utc_now() if as_of is None else as_of, target, "inserted_at")
-    replace_table_data(spark, table, upsert(target, check_keys(batch), now, BATCH_UPDATES))
+    after = upsert(target, check_keys(batch), now, BATCH_UPDATES, source_is_small=is_small(batch))
+    replace_table_data(spark, table, after)
     return spark.table(table).count()
 
 

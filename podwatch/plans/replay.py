@@ -23,7 +23,10 @@ def replay_alerts(
     rules: Sequence[Rule] = RULES,
     earlier_alerts: DataFrame | None = None,
 ) -> DataFrame:
-    """Rendered alerts of every poll, with the metadata as it is now."""
+    """Rendered alerts of every poll, with the metadata as it is now.
+
+    A poll adds a row for every token it looks up, so none ever finds the metadata empty.
+    """
     candidates = replay_counts(swaps, until, since, rules)
     named = drop_denied(attach_metadata(candidates, metadata, none_found=False))
     return with_message(suppress_replay(named, rules, earlier_alerts), rules)

@@ -9,16 +9,23 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podwatch.functions.timing import instant_like, utc_now
+from podwatch import fixed_values as fv
+from podwatch.functions.timing import after_minutes_ago, instant_like, utc_now
 from podwatch.operators.alerts import alert_log_rows, outbox_rows, suppress_recent, with_message
 from podwatch.operators.catalog import replace_table_data
 from podwatch.operators.detect import detect_candidates
-from podwatch.operators.enrich import attach_metadata, drop_denied, resolve_responses, tokens_to_fetch
+from podwatch.operators.enrich import (
+    attach_metadata,
+    drop_denied,
+    lookup_metadata,
+    resolve_responses,
+    tokens_to_fetch,
+)
 from podwatch.operators.metadata import split_rejects
 from podwatch.operators.upsert import API_UPDATES, upsert
 from podwatch.rules import RULES, Rule
 from podwatch.schemas import ALERT_LOG_COLUMNS, TableNames
-from podwatch.session import settled
+from podwatch.session import broadcast_if_small, is_small, settled
 
 
 def alerts_from_candidates(
@@ -54,6 +61,12 @@ def poll_alerts(
     return alerts_from_candidates(candidates, refreshed, rules, none_found=False)
 
 
+def alerts_that_matter(alert_log: DataFrame, as_of: datetime | str, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Rows of the log young enough to suppress anything; the bound reaches the scan of the log."""
+    longest = max([fv.DEFAULT_COOLDOWN_MINUTES, *(r.cooldown_minutes for r in rules)])
+    return alert_log.where(after_minutes_ago(alert_log, as_of, longest, "inserted_at"))
+
+
 @dataclass(frozen=True)
 class PollResult:
     """What a poll wrote."""
@@ -62,6 +75,27 @@ class PollResult:
     resumed: bool
 
 
+def refresh_metadata(
+    spark: SparkSession,
+    table: str,
+    candidates: DataFrame,
+    tokens: DataFrame,
+    responses: DataFrame,
+    as_of: datetime | str,
+    keep_known: bool = False,
+) -> None:
+    """Puts the answers for missing and incomplete tokens into the metadata table, if there are any such."""
+    metadata = spark.table(table)
+    wanted = tokens_to_fetch(candidates, lookup_metadata(metadata, tokens))
+    fetched, _ = split_rejects(resolve_responses(wanted, responses))
+    fetched = settled(fetched)
+    if fetched.isEmpty():
+        return
+    now = instant_like(as_of, metadata, "inserted_at")
+    after = upsert(metadata, fetched, now, API_UPDATES, keep_known, source_is_small=is_small(fetched))
+    replace_table_data(spark, table, after)
+
+
 def run_poll(
     spark: SparkSession,
     names: TableNames,
@@ -76,6 +110,7 @@ def run_poll(
     Candidates and alerts feed several writes each, so both are checkpointed: they are computed once
     and survive the loss of an executor. A poll that died between log and outbox is resumed when run
     again with the same ``as_of``: its log rows are there, so only its missing messages are written.
+    Sides are broadcast only after they were counted.
     """
     as_of = utc_now() if as_of is None else as_of
     swaps, log = spark.table(names.swaps), spark.table(names.alert_log)
@@ -89,13 +124,14 @@ def run_poll(
         absent.write.mode("append").format("parquet").saveAsTable(names.outbox)
         return PollResult(absent.count(), resumed=True)
 
-    candidates = settled(detect_candidates(swaps, log, as_of, rules, date_column=date_column))
+    recent_log = alerts_that_matter(log, as_of, rules)
+    candidates = settled(detect_candidates(swaps, recent_log, as_of, rules, date_column=date_column))
     if candidates.isEmpty():
         return PollResult(0, resumed=False)
-    metadata = spark.table(names.token_metadata)
-    refreshed = metadata_with_responses(candidates, metadata, responses, as_of, keep_known)
-    replace_table_data(spark, names.token_metadata, refreshed)
-    alerts = settled(alerts_from_candidates(candidates, spark.table(names.token_metadata), rules))
+    tokens = broadcast_if_small(candidates.select("token"))
+    refresh_metadata(spark, names.token_metadata, candidates, tokens, responses, as_of, keep_known)
+    known = lookup_metadata(spark.table(names.token_metadata), tokens)
+    alerts = settled(alerts_from_candidates(candidates, known, rules))
     alert_log_rows(alerts).select(*ALERT_LOG_COLUMNS).write.mode("append").format("parquet").saveAsTable(
         names.alert_log
     )

@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of keys and short texts that are sent whole to every executor; some tens of megabytes.
+BROADCAST_ROWS = 100_000
 
 
 def build_session(app_name: str = "podwatch", master: str | None = None, **conf: object) -> SparkSession:
@@ -17,7 +21,7 @@ def build_session(app_name: str = "podwatch", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{key.replace("__", "."): str(value) for key, value in conf.items()},
     }
     for key, value in settings.items():
@@ -48,3 +52,13 @@ def settled(df: DataFrame) -> DataFrame:
     """The frame computed once and kept in the checkpoint folder, for frames that are read repeatedly."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a settled frame has few enough rows to be broadcast; counts no further than it must."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A settled frame, marked for broadcast if its counted size allows; else joins shuffle as usual."""
+    return F.broadcast(df) if is_small(df, rows) else df

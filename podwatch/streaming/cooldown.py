@@ -51,7 +51,8 @@ def stream_alerts(
 ) -> DataFrame:
     """Candidates out of cooldown, for append output; needs the RocksDB state store.
 
-    Rows of a key inside one micro-batch are taken in order of time: at most one per poll.
+    Rows of a key inside one micro-batch are taken in order of time: at most one per poll. Micro-batches
+    must come in order of polls, as closed polls do.
     ``earlier_alerts`` (address, time_interval, last_notification) start the state of a new query.
     """
     timed = candidates.select(

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from podwatch.operators.alerts import alert_log_rows, outbox_rows, with_message
-from podwatch.operators.enrich import attach_metadata, drop_denied
+from podwatch.operators.enrich import attach_metadata, drop_denied, lookup_metadata
 from podwatch.operators.landing import payload_rows
 from podwatch.rules import RULES, Rule
 from podwatch.schemas import ALERT_LOG_COLUMNS, TableNames
-from podwatch.session import settled
+from podwatch.session import broadcast_if_small, settled
 from podwatch.sources.landed import stream_payload_files
 
 
@@ -45,7 +45,10 @@ def publish_batch(alerts: DataFrame, names: TableNames, rules: Sequence[Rule] =
     A micro-batch run again after a failure finds what it wrote before and adds only what is absent.
     """
     spark = alerts.sparkSession
-    named = drop_denied(attach_metadata(alerts, spark.table(names.token_metadata), none_found=False))
+    alerts = settled(alerts)
+    tokens = broadcast_if_small(alerts.select("token"))
+    known = lookup_metadata(spark.table(names.token_metadata), tokens)
+    named = drop_denied(attach_metadata(alerts, known, none_found=False))
     rendered = settled(with_message(named, rules))
     log, outbox = spark.table(names.alert_log), spark.table(names.outbox)
     to_log = alert_log_rows(rendered).select(*ALERT_LOG_COLUMNS)

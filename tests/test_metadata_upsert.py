@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from podwatch.functions.timing import instant_like
 from podwatch.operators import catalog, metadata, upsert
 from podwatch.plans.metadata_load import load_batch, run_metadata_load
-from podwatch.sources.relational import extract_raw_metadata
+from podwatch.sources.relational import extract_raw_metadata, read_jdbc
 from podwatch.sources.tables import run_sql
 
 RAW = "ord bigint, address string, name string, symbol string, blockchain string, decimals bigint"
@@ -69,6 +69,38 @@ def test_extract_is_keyed_rows_of_five_columns(spark):
     assert extract_raw_metadata(raw(spark)).count() == 3
 
 
+class Reader:
+    """Takes the options of a JDBC read in place of a driver, which is not at hand."""
+
+    def __init__(self):
+        self.options = {}
+        self.read = self
+
+    def format(self, name):
+        self.options["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self.options
+
+
+def test_jdbc_options():
+    assert read_jdbc(Reader(), "jdbc:x:y", options={"user": "u"}, split_on=("id", 0, 99, 8)) == {
+        "format": "jdbc",
+        "url": "jdbc:x:y",
+        "dbtable": "token_metadata_raw",
+        "user": "u",
+        "partitionColumn": "id",
+        "lowerBound": 0,
+        "upperBound": 99,
+        "numPartitions": 8,
+    }
+
+
 def test_rejects(spark):
     rows = spark.createDataFrame(
         [("ok", "S" * 50, "N" * 255), ("long", "S" * 51, "N"), (None, "S", "N"), ("name", "S", "é" * 256)],
@@ -124,6 +156,10 @@ def test_upsert_is_idempotent(spark, old_keys, new_keys):
     now = instant_like(NOW, old, "inserted_at")
     once = upsert.upsert(old, new, now)
     assert as_dict(once) == as_dict(upsert.upsert(once, new, now))
+    for keep, columns in ((False, upsert.BATCH_UPDATES), (True, upsert.API_UPDATES)):
+        wide = upsert.upsert(old, new, now, columns, keep)
+        small = upsert.upsert(old, new, now, columns, keep, source_is_small=True)
+        assert as_dict(wide) == as_dict(small) and wide.count() == small.count()
     assert set(as_dict(once)) == set(old_keys) | set(new_keys)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from podwatch.checks import fixtures as fx
@@ -12,7 +10,7 @@ from podwatch.operators.replay import replay_counts, suppress_replay
 from podwatch.schemas import TableNames
 from podwatch.streaming.cooldown import stream_alerts
 from podwatch.streaming.detect import stream_candidates
-from podwatch.streaming.sinks import start_alert_publishing, start_candidate_log, start_payload_landing
+from podwatch.streaming.sinks import start_alert_publishing, start_candidate_log
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,8 +20,13 @@ def rows(df):
 
 
 def write_in_order(df, path, parts):
-    """Files in order of time, so that a file stream reads them as they would have come in."""
-    df.repartitionByRange(parts, "timestamp").sortWithinPartitions("timestamp").write.parquet(path)
+    """One file after the other in order of time, so that a file stream reads them as they would have come in."""
+    start, end = df.agg(F.min("timestamp"), F.max("timestamp")).first()
+    for i in range(parts):
+        after, before = start + (end - start) * i / parts, start + (end - start) * (i + 1) / parts
+        at = F.col("timestamp")
+        part = (at >= F.lit(after)) & ((at < F.lit(before)) if i + 1 < parts else F.lit(True))
+        df.where(part).coalesce(1).write.mode("append").parquet(path)
 
 
 def test_stream_candidates_equal_replay_of_closed_polls(spark, tmp_path):
@@ -57,4 +60,40 @@ def test_stream_cooldown_equals_batch_and_publishes(spark, tmp_path, database):
     query = start_candidate_log(kept, str(tmp_path / "alerts"), str(tmp_path / "checkpoint"))
     query.awaitTermination()
     expected = rows(suppress_replay(candidates).select(*columns))
-    assert rows(spark.read.parquet(str(tmp_path / "alerts")).select(*columns)) == expected
+    alerts = spark.read.parquet(str(tmp_path / "alerts")).select(*columns)
+    assert rows(alerts) == expected
+
+    names = TableNames(
+        outbox=f"{database}.outbox",
+        alert_log=f"{database}.log",
+        token_metadata=f"{database}.metadata",
+        btc_historic=f"{database}.btc",
+    )
+    create_tables(spark, names, str(tmp_path / "tables"))
+    spark.sql(f"INSERT INTO {names.token_metadata} (address, symbol, name) VALUES ('T3solanaMintAddress', 'sol', 'Sol')")
+    alerts.withColumn("timestamp", F.col("timestamp").cast("timestamp")).write.parquet(str(tmp_path / "timed"))
+    timed = spark.readStream.schema(spark.read.parquet(str(tmp_path / "timed")).schema).parquet(str(tmp_path / "timed"))
+    start_alert_publishing(timed, names, str(tmp_path / "publishing")).awaitTermination()
+    wanted = alerts.where("token <> 'T3solanaMintAddress'").count()
+    assert wanted == spark.table(names.outbox).count() == spark.table(names.alert_log).count() < alerts.count()
+
+
+def test_stream_cooldown_starts_from_earlier_alerts(spark, tmp_path):
+    candidates = spark.createDataFrame(
+        [("A", "30min", 5, 0, m) for m in (0, 5, 10, 15, 20, 25, 30)] + [("B", "30min", 5, 0, 5)],
+        "token string, time_interval string, num_users_bought bigint, num_users_sold bigint, minute int",
+    )
+    minute = F.lit("2024-01-31 12:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"))
+    candidates = candidates.withColumn("timestamp", minute).drop("minute")
+    candidates.write.parquet(str(tmp_path / "in"))
+    earlier = spark.createDataFrame(
+        [("A", "30min", "2024-01-31 11:55:00"), ("A", "1hour", "2024-01-31 11:59:00"), ("C", "30min", None)],
+        "address string, time_interval string, last_notification string",
+    ).withColumn("last_notification", F.col("last_notification").cast("timestamp"))
+    stream = spark.readStream.schema(candidates.schema).parquet(str(tmp_path / "in"))
+    query = start_candidate_log(
+        stream_alerts(stream, earlier_alerts=earlier), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    )
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select("token", F.date_format("timestamp", "HH:mm").alias("at"))
+    assert rows(got) == [("A", "12:10"), ("A", "12:25"), ("B", "12:05")]
