@@ -39,12 +39,13 @@ def count_changes(ticks: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     A trader comes in at a tick unless an earlier tick still covers it, and drops out one length after
     a tick unless a later one takes over before. A group of the window function holds at most one row
-    per poll of the history; the sums reduce on the map side. The hash in front of the keys makes the
-    sort compare numbers first, and texts of equal traders only.
+    per poll of the history; the sums reduce on the map side. The hash in front of the keys, added
+    after the shuffle, makes the sort compare numbers first, and texts of equal traders only.
     """
     trader = ["token", "side", "user_address", "counted"]
     own = Window.partitionBy("trader", *trader).orderBy("tick")
-    spans = ticks.withColumn("trader", F.xxhash64(*trader)).select(
+    together = ticks.repartition(*trader).withColumn("trader", F.xxhash64(*trader))
+    spans = together.select(
         "token",
         "side",
         "counted",
