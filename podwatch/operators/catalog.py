@@ -68,6 +68,11 @@ def drop_stage(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
+def append(df: DataFrame, name: str) -> None:
+    """Appends rows, columns by name, in files of a sensible size however many tasks made them."""
+    df.hint("rebalance").write.mode("append").format("parquet").saveAsTable(name)
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     return detail.where(F.col("col_name") == "Location").first()["data_type"]

@@ -18,15 +18,21 @@ def swap_legs(swaps: DataFrame) -> DataFrame:
     """Two rows per swap, the token bought and the token sold, from one scan.
 
     ``counted`` tells whether the leg may count as a trader: the venue is known and not the excluded
-    one, and the user is known. Legs that are not counted still make a token recent.
+    one, and the user is known. Legs that are not counted still make a token recent; they carry neither
+    side nor user, so that they fall together in the first grouping.
     """
     counted = F.coalesce(F.col("source") != fv.UNCOUNTED_SOURCE, F.lit(False)) & F.col("user_address").isNotNull()
     legs = F.array(
-        F.struct(F.col("swaptotoken").alias("token"), F.lit("buy").alias("side")),
-        F.struct(F.col("swapfromtoken").alias("token"), F.lit("sell").alias("side")),
+        F.struct(F.col("swaptotoken").alias("token"), F.when(counted, F.lit("buy")).alias("side")),
+        F.struct(F.col("swapfromtoken").alias("token"), F.when(counted, F.lit("sell")).alias("side")),
     )
     return (
-        swaps.select("timestamp", "user_address", counted.alias("counted"), F.explode(legs).alias("leg"))
+        swaps.select(
+            "timestamp",
+            F.when(counted, F.col("user_address")).alias("user_address"),
+            counted.alias("counted"),
+            F.explode(legs).alias("leg"),
+        )
         .select("timestamp", "user_address", "counted", "leg.token", "leg.side")
         .where(F.col("token").isNotNull())
     )
@@ -85,6 +91,7 @@ def windowed_counts(
 
     latest = (
         swap_legs(recent)
+        .where(F.col("counted") | (F.col("timestamp") > start[recent_minutes]))
         .groupBy("token", "side", "user_address")
         .agg(
             F.max("timestamp").alias("any_ts"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podwatch.functions.timing import instant_like, utc_now
-from podwatch.operators.catalog import create_token_metadata_table, replace_table_data, table_exists
+from podwatch.operators.catalog import append, create_token_metadata_table, replace_table_data, table_exists
 from podwatch.operators.metadata import clean_metadata, load_metrics, split_rejects
 from podwatch.operators.upsert import BATCH_UPDATES, check_keys, upsert
 from podwatch.session import is_small, settled
@@ -58,7 +58,7 @@ def run_metadata_load(
         reason = rejects.select(F.min("reason")).first()[0]
         raise ValueError(f"{rejected} rows do not fit the table: {reason}")
     if rejected:
-        rejects.write.mode("append").format("parquet").saveAsTable(rejects_table)
+        append(rejects, rejects_table)
     rows = load_batch(spark, fitting, table, as_of, folder)
     return LoadResult(
         metrics["rows_extracted"], metrics["rows_without_key"], metrics["unique_keys"], rejected, rows

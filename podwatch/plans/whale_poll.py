@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from podwatch import fixed_values as fv
 from podwatch.functions.timing import after_minutes_ago, instant_like, utc_now
 from podwatch.operators.alerts import alert_log_rows, outbox_rows, suppress_recent, with_message
-from podwatch.operators.catalog import replace_table_data
+from podwatch.operators.catalog import append, replace_table_data
 from podwatch.operators.detect import detect_candidates
 from podwatch.operators.enrich import (
     attach_metadata,
@@ -24,7 +24,7 @@ from podwatch.operators.enrich import (
 from podwatch.operators.metadata import split_rejects
 from podwatch.operators.upsert import API_UPDATES, upsert
 from podwatch.rules import RULES, Rule
-from podwatch.schemas import ALERT_LOG_COLUMNS, TableNames
+from podwatch.schemas import TableNames
 from podwatch.session import broadcast_if_small, is_small, settled
 
 
@@ -121,7 +121,7 @@ def run_poll(
         rendered = with_message(logged.withColumnRenamed("address", "token"), rules)
         absent = outbox_rows(rendered).join(published, ["timestamp", "token", "time_interval"], "left_anti")
         absent = settled(absent.select(*published.columns))
-        absent.write.mode("append").format("parquet").saveAsTable(names.outbox)
+        append(absent, names.outbox)
         return PollResult(absent.count(), resumed=True)
 
     recent_log = alerts_that_matter(log, as_of, rules)
@@ -132,8 +132,6 @@ def run_poll(
     refresh_metadata(spark, names.token_metadata, candidates, tokens, responses, as_of, keep_known)
     known = lookup_metadata(spark.table(names.token_metadata), tokens)
     alerts = settled(alerts_from_candidates(candidates, known, rules))
-    alert_log_rows(alerts).select(*ALERT_LOG_COLUMNS).write.mode("append").format("parquet").saveAsTable(
-        names.alert_log
-    )
-    outbox_rows(alerts).write.mode("append").format("parquet").saveAsTable(names.outbox)
+    append(alert_log_rows(alerts), names.alert_log)
+    append(outbox_rows(alerts), names.outbox)
     return PollResult(alerts.count(), resumed=False)

@@ -12,16 +12,6 @@ ALERT_LOG = (
     "timestamp timestamp, address string, symbol string, name string, time_interval string, "
     "num_users_bought bigint, num_users_sold bigint, inserted_at timestamp"
 )
-ALERT_LOG_COLUMNS = (
-    "timestamp",
-    "address",
-    "symbol",
-    "name",
-    "time_interval",
-    "num_users_bought",
-    "num_users_sold",
-    "inserted_at",
-)
 
 OUTBOX = "timestamp timestamp, rule_order int, token string, time_interval string, message string"
 

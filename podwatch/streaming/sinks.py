@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from podwatch.operators.alerts import alert_log_rows, outbox_rows, with_message
+from podwatch.operators.catalog import append
 from podwatch.operators.enrich import attach_metadata, drop_denied, lookup_metadata
 from podwatch.operators.landing import payload_rows
 from podwatch.rules import RULES, Rule
-from podwatch.schemas import ALERT_LOG_COLUMNS, TableNames
+from podwatch.schemas import TableNames
 from podwatch.session import broadcast_if_small, settled
 from podwatch.sources.landed import stream_payload_files
 
@@ -51,16 +52,10 @@ def publish_batch(alerts: DataFrame, names: TableNames, rules: Sequence[Rule] =
     named = drop_denied(attach_metadata(alerts, known, none_found=False))
     rendered = settled(with_message(named, rules))
     log, outbox = spark.table(names.alert_log), spark.table(names.outbox)
-    to_log = alert_log_rows(rendered).select(*ALERT_LOG_COLUMNS)
     key = ["timestamp", "address", "time_interval"]
-    to_log.join(log.select(*key), key, "left_anti").select(*ALERT_LOG_COLUMNS).write.mode("append").format(
-        "parquet"
-    ).saveAsTable(names.alert_log)
+    append(alert_log_rows(rendered).join(log.select(*key), key, "left_anti"), names.alert_log)
     key = ["timestamp", "token", "time_interval"]
-    messages = outbox_rows(rendered)
-    messages.join(outbox.select(*key), key, "left_anti").select(*messages.columns).write.mode("append").format(
-        "parquet"
-    ).saveAsTable(names.outbox)
+    append(outbox_rows(rendered).join(outbox.select(*key), key, "left_anti"), names.outbox)
 
 
 def start_alert_publishing(

@@ -114,6 +114,11 @@ def test_publishing_a_batch_twice_adds_nothing(spark, database, tmp_path):
     publish_batch(batch, names)
     assert sorted(r.token for r in spark.table(names.outbox).collect()) == ["T2solanaMintAddress", "unknown"]
     assert spark.table(names.alert_log).count() == before + 2
+    logged = spark.table(names.alert_log).where("address = 'unknown'").first()
+    assert (logged.time_interval, logged.num_users_bought, logged.num_users_sold) == ("1hour", 1, 4)
+    assert (logged.symbol, logged.name, logged.timestamp) == ("unknown", "unknown", logged.inserted_at)
+    sent = spark.table(names.outbox).where("token = 'unknown'").first()
+    assert (sent.rule_order, sent.time_interval) == (2, "1hour") and "WHALE ALERT" in sent.message
 
 
 def payload_files(folder, bodies):
