@@ -8,7 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from podwatch.checks.queries import TEST_TABLES
+from podwatch.checks.oracles import ORACLES
+from podwatch.checks.queries import QUERIES, TEST_TABLES
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -27,10 +28,11 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     df = contract.queries()[name](spark, SF)
     found = connection.execute(contract.oracle_sql()[name])
