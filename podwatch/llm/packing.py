@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from podwatch.llm.tokens import Pieces, byte_level_pieces
+from podwatch.llm.tokens import byte_level_pieces, id_pieces, packed_ids
 
 TIERS = (128, 256, 512, 1024)
 END_ID = 0
@@ -117,8 +117,8 @@ def _groups(sequences: list[tuple[int, list[Piece]]], first: int) -> tuple[list[
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int | None, np.ndarray]]:
-    known = Pieces(path, lambda e: np.array(e.ids, dtype="<u4").tobytes())
-    end = np.array([END_ID], dtype="<u4").tobytes()
+    known = id_pieces(path)
+    end = packed_ids([END_ID])
     for batch in batches:
         block, size = [], 0
         texts = batch.column("text")

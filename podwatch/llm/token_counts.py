@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podwatch.llm.tokens import Pieces, word_pieces
+from podwatch.llm.tokens import count_pieces, word_pieces
 
 LIMIT = 2048
 BLOCK_BYTES = 4 << 20
@@ -36,7 +36,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> Da
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer_path, len)
+        pieces = count_pieces(tokenizer_path)
         for batch in batches:
             sizes, counts = [], []
             block: list[tuple[int, list[bytes]]] = []
