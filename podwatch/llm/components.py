@@ -13,7 +13,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
 
     Each round points a node to the first of its neighbours and itself, then replaces both ends of each
     link by what they point to. The first round orders nodes by value, which ends stars at once; later
-    ones order by a hash of the round, which halves long chains on average. A hub is reduced by a
+    ones order by a hash of the round, which halves long chains on average. Pointers are followed twice before that, each time
+    to where they then lead. A hub is reduced by a
     map-side minimum and joined back, so no task holds its links together.
     """
     spark = scratch.spark
@@ -31,6 +32,9 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
 
             first = F.least(F.min(order("b")), F.min(order("a")))["n"]
         parent = scratch.written(both.groupBy("a").agg(first.alias("p")), f"{name}-parent-{k}")
+        for jump in (1, 2):
+            above = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
+            parent = scratch.written(parent.join(above, "p").select("a", F.col("pp").alias("p")), f"{name}-parent-{k}-{jump}")
         pa, pb = parent.select("a", F.col("p").alias("pa")), parent.select(F.col("a").alias("b"), F.col("p").alias("pb"))
         moved = links.join(pa, "a").join(pb, "b").where("pa <> pb")
         moved = moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()

@@ -2,15 +2,15 @@
 
 Signatures: one permutation of ``bins`` bins with optimal densification, ``rows`` bins to a band. A pair of
 similarity J shares at least one band with probability 1 - (1 - J^rows)^(bins / rows): 0.999996 at 0.75 with
-the defaults. Buckets give stars, not pairs: every member is compared with a centre. A comparison first looks
-at sizes and at one-bit sketches (a pair at 0.75 is refused with odds of one in a thousand million), then at
+the defaults. Buckets give stars, not pairs: every member points to a centre. A comparison first looks
+at sizes and at one-bit sketches (a pair at 0.75 is refused with odds of 3 in a million), then at
 the full shingle sets.
 
-A star alone can miss a link between two members that are both unlike the centre. So a bucket whose
-members are not all in one component after a round stays open: its centres, whose links are all known
-then, leave it, and four times as many centres, drawn by hash, are compared in the next round. It ends
-when no bucket is open; nothing is capped. Members of one component are never compared again, which is
-what keeps large groups of copies cheap.
+The first round compares a document with the first and the last centre of its buckets only, which joins groups
+of copies at two pairs a document. A bucket whose members are not all in one component then is open: its
+members of other components are compared with its centre, the centre, whose links are all known then,
+leaves it, and in the next round it has CELLS times as many centres, drawn by hash. It ends when no bucket
+is open; nothing is capped. Members of one component are never compared again.
 """
 
 from __future__ import annotations
@@ -30,10 +30,14 @@ from podwatch.llm.scratch import Scratch
 WORDS = 5
 THRESHOLD = 75  # percent
 BINS, ROWS = 384, 6
-SKETCH = [f"s{i}" for i in range(BINS // 64)]
-# Bits in which two sketches may differ: the mean at the threshold and six standard deviations.
+SKETCH_BINS = 1536
+SKETCH = [f"s{i}" for i in range(SKETCH_BINS // 64)]
+CELLS = 64  # more centres of an open bucket in each round, by this factor
+# Ids that are sent to every executor instead of shuffling the texts; some 100 MB there. Beyond, a join shuffles.
+BROADCAST_IDS = 2_000_000
+# Bits in which two sketches may differ: the mean at the threshold and 4.5 standard deviations.
 _UNLIKE = (1 - THRESHOLD / 100) / 2
-SKETCH_BITS = int(BINS * _UNLIKE + 6 * (BINS * _UNLIKE * (1 - _UNLIKE)) ** 0.5)
+SKETCH_BITS = int(SKETCH_BINS * _UNLIKE + 4.5 * (SKETCH_BINS * _UNLIKE * (1 - _UNLIKE)) ** 0.5)
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -65,7 +69,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 signature = one_permutation(found, BINS)
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                 keys.append(bands(signature, ROWS).view(np.int64))
-                sketches.append(one_bit_sketch(signature))
+                sketches.append(one_bit_sketch(one_permutation(found, SKETCH_BINS)))
             else:
                 digests.append(None)
                 keys.append(None)
@@ -113,7 +117,9 @@ def _named(df: DataFrame, prefix: str) -> list[F.Column]:
 
 def _confirm(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = scratch.written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     found = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, found binary")
     found = scratch.written(found, f"{name}-sets")
     both = pairs.join(found.select(F.col("doc_id").alias("a"), F.col("found").alias("found_a")), "a")
@@ -150,28 +156,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = unique.select("doc_id", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"), F.count("*").alias("size"))
     buckets = scratch.written(buckets.where("centre <> last"), "buckets")
-    twos = buckets.where("size = 2").select(F.col("centre").alias("a"), F.col("last").alias("b"))
-    spokes = members.join(buckets.where("size > 2").select("key", "centre"), "key").where("doc_id <> centre")
+    spokes = members.join(buckets.select("key", "centre"), "key").select("key", "doc_id", "centre")
     spokes = scratch.written(spokes, "spokes")
-    pairs = twos.union(spokes.select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))).distinct()
+    # Two pairs a document at most: the first and the last centre of its buckets.
+    ends = spokes.where("doc_id <> centre").groupBy("doc_id").agg(F.min("centre").alias("x"), F.max("centre").alias("y"))
+    pairs = ends.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), F.col("doc_id").alias("b"))
     left = sketches.select(F.col("doc_id").alias("a"), *_named(sketches, "x"))
     right = sketches.select(F.col("doc_id").alias("b"), *_named(sketches, "y"))
-    pairs = pairs.join(left, "a").join(right, "b").where(_alike("x", "y")).select("a", "b").distinct()
-    pairs = scratch.written(pairs, "pairs")
+    pairs = scratch.written(pairs.join(left, "a").join(right, "b").where(_alike("x", "y")).select("a", "b"), "pairs")
     links = _confirm(docs, pairs, scratch, "stars").union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     comps = scratch.written(connected_components(links, scratch, "star"), "components-0")
 
     rest = spokes.select("key", "doc_id")
-    tested, k = pairs, 1
+    tested, k = pairs, 0
     while True:
         named = rest.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         named = named.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
         unsettled = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        rest = scratch.written(named.join(unsettled, "key"), f"open-{k}")
+        rest = scratch.written(named.join(unsettled, "key").join(sketches, "doc_id"), f"open-{k}")
         if rest.isEmpty():
             break
-        rest = rest.join(sketches, "doc_id")
-        cell = F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(4**k))
+        cell = F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(CELLS**k))
         centres = rest.groupBy("key", cell.alias("cell")).agg(F.min("doc_id").alias("doc_id")).select("key", "doc_id")
         centres = scratch.written(centres, f"centres-{k}")
         hub = rest.join(centres, ["key", "doc_id"], "left_semi")
@@ -203,4 +208,4 @@ def _joined(comps: DataFrame, links: DataFrame, scratch: Scratch, k: int) -> Dat
     nodes = comps.join(renamed.withColumnRenamed("node", "component"), "component", "left")
     nodes = nodes.select("node", F.coalesce("new", "component").alias("component"))
     single = renamed.join(comps, "node", "left_anti").select("node", F.col("new").alias("component"))
-    return scratch.written(nodes.union(single), f"components-{k}")
+    return scratch.written(nodes.union(single), f"components-{k + 1}")
