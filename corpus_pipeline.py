@@ -18,9 +18,16 @@ from podwatch.llm.queries import op10_columns, table, tokenizer_path
 from podwatch.llm.scratch import Scratch
 
 
+# Ids that are sent to every executor instead of shuffling the texts, some 100 MB there. Beyond, a join shuffles.
+BROADCAST_IDS = 2_000_000
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents but those whose doc_id is in ``ids``; a document without doc_id stays."""
-    return docs.join(ids.select(F.col("doc_id").alias("gone")).distinct(), F.col("doc_id") == F.col("gone"), "left_anti")
+    ids = Scratch(docs.sparkSession, "without").written(ids.select(F.col("doc_id").alias("gone")).distinct(), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
 
 
 def _wrapped(docs: DataFrame) -> DataFrame:

@@ -29,6 +29,8 @@ MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS = 65_536
 MAX_SHARDS = 4_096  # bounds the driver's list of parts; shards grow beyond SHARD_KEYS after that
 CELL_PROBES = 200_000
+# Hashes to drop that are sent to every executor instead of shuffling the texts, some 100 MB there. Beyond, a join shuffles.
+BROADCAST_HITS = 2_000_000
 
 
 def _key(line: bytes) -> bytes | None:
@@ -174,6 +176,8 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     gone = asked.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part")).applyInPandas(_probed, "doc_id long, h1 long, h2 long")
     gone = gone.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
     gone = scratch.written(gone.withColumnRenamed("doc_id", "gone_id"), "gone")
+    if (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= BROADCAST_HITS:
+        gone = F.broadcast(gone)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     both = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left").drop("gone_id")
     return both.mapInArrow(_cut, f"{schema}, n_lines long, n_dropped long, kept_text string")
