@@ -1,6 +1,6 @@
 """SQL that gives the result of each registered query, written the long way round on purpose.
 
-Detection is a union of one grouped branch per side and rule, replay joins every poll with every swap
+Detection counts the distinct traders of every rule's window, replay joins every poll with every swap
 of its window, and the cooldown is a recursive query, so none shares its method with the Spark side.
 """
 
@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from podwatch import fixed_values as fv
 from podwatch.checks import fixtures as fx
-from podwatch.operators.alerts import ORDER_SLICE_DIGITS, PART_MESSAGES
 from podwatch.schemas import METADATA_WIDTHS
 
+# By value, so that a wrong change on the Spark side is seen.
+PART_MESSAGES, ORDER_SLICE_DIGITS = 100, 2
+
 NOW = f"TIMESTAMP '{fx.AS_OF}'"
 
 
@@ -21,46 +23,39 @@ def _with(tables: str, ctes: dict[str, str], final: str, recursive: bool = False
 
 
 RECENT = f"""
-    SELECT DISTINCT token_address FROM (
-        SELECT swapfromtoken AS token_address FROM swaps WHERE timestamp > {NOW} - INTERVAL {fv.RECENT_MINUTES} MINUTE
-        UNION ALL
-        SELECT swaptotoken FROM swaps WHERE timestamp > {NOW} - INTERVAL {fv.RECENT_MINUTES} MINUTE)
-    WHERE token_address IS NOT NULL"""
-
-
-def _branch(token: str, side: str, minutes: int) -> str:
-    return f"""
-        SELECT {token} AS token_address, '{side}' AS side, count(DISTINCT user_address) AS users,
-               CAST(NULL AS TIMESTAMP) AS last_notification
-        FROM swaps
-        WHERE timestamp > {NOW} - INTERVAL {minutes} MINUTE AND source <> '{fv.UNCOUNTED_SOURCE}'
-          AND {token} IN (SELECT token_address FROM recent)
-        GROUP BY {token}"""
-
-
-def _activity(minutes: int, log_branch: str = "") -> str:
-    return f"""
-        SELECT token_address,
-               CAST(sum(CASE WHEN side = 'buy' THEN users ELSE 0 END) AS BIGINT) AS num_users_bought,
-               CAST(sum(CASE WHEN side = 'sell' THEN users ELSE 0 END) AS BIGINT) AS num_users_sold,
-               max(last_notification) AS last_notification
-        FROM ({_branch("swaptotoken", "buy", minutes)} UNION ALL {_branch("swapfromtoken", "sell", minutes)}
-              {log_branch})
-        GROUP BY token_address"""
-
-
-def _rule_candidates(label: str, minutes: int, threshold: int) -> str:
-    log = f"""
-        UNION ALL
-        SELECT address, NULL, NULL, max(inserted_at) FROM alert_log
-        WHERE address IN (SELECT token_address FROM recent) AND time_interval = '{label}' GROUP BY address"""
-    return f"""
-        SELECT {NOW} AS timestamp, token_address AS token, '{label}' AS time_interval,
-               num_users_bought, num_users_sold, last_notification
-        FROM ({_activity(minutes, log)}) WHERE num_users_bought > {threshold} OR num_users_sold > {threshold}"""
-
-
-CANDIDATES = " UNION ALL ".join(_rule_candidates(r[0], r[1], r[2]) for r in fv.RULE_ROWS)
+    SELECT token_address FROM (
+        SELECT unnest([swapfromtoken, swaptotoken]) AS token_address FROM swaps
+        WHERE timestamp > {NOW} - INTERVAL {fv.RECENT_MINUTES} MINUTE)
+    GROUP BY token_address HAVING token_address IS NOT NULL"""
+
+POLL_RULES = "SELECT * FROM (VALUES {}) r(label, minutes, threshold)".format(
+    ", ".join(f"('{label}', {minutes}, {threshold})" for label, minutes, threshold, *_ in fv.RULE_ROWS)
+)
+
+# Who traded what in the window of which rule, each once.
+TRADERS = f"""
+    SELECT DISTINCT r.label, leg.token, leg.side, s.user_address
+    FROM swaps s JOIN poll_rules r ON s.timestamp > {NOW} - to_minutes(r.minutes),
+         LATERAL (VALUES (s.swaptotoken, 'buy'), (s.swapfromtoken, 'sell')) leg(token, side)
+    WHERE s.source <> '{fv.UNCOUNTED_SOURCE}'"""
+
+COUNTED = f"""
+    SELECT label, token,
+           count(user_address) FILTER (WHERE side = 'buy') AS num_users_bought,
+           count(user_address) FILTER (WHERE side = 'sell') AS num_users_sold
+    FROM traders t
+    WHERE EXISTS (FROM swaps g WHERE g.swapfromtoken = t.token AND g.timestamp > {NOW} - INTERVAL {fv.RECENT_MINUTES} MINUTE)
+       OR EXISTS (FROM swaps g WHERE g.swaptotoken = t.token AND g.timestamp > {NOW} - INTERVAL {fv.RECENT_MINUTES} MINUTE)
+    GROUP BY label, token"""
+
+CANDIDATES = f"""
+    SELECT {NOW} AS timestamp, c.token, c.label AS time_interval, c.num_users_bought, c.num_users_sold, l.last_notification
+    FROM counted c JOIN poll_rules r USING (label)
+    LEFT JOIN (SELECT address, time_interval, max(inserted_at) AS last_notification FROM alert_log GROUP BY ALL) l
+      ON l.address = c.token AND l.time_interval = c.label
+    WHERE greatest(c.num_users_bought, c.num_users_sold) > r.threshold"""
+
+COUNTS = {"poll_rules": POLL_RULES, "traders": TRADERS, "counted": COUNTED}
 
 
 def _case(column: str, index: int, default: object) -> str:
@@ -210,7 +205,7 @@ def _greedy(source: str) -> str:
         GROUP BY c.token, c.time_interval, s.timestamp"""
 
 
-POLL = {"recent": RECENT, "candidates": CANDIDATES}
+POLL = {"recent": RECENT, **COUNTS, "candidates": CANDIDATES}
 ALERTS = {
     **POLL,
     "named": _named("candidates", "token_metadata"),
@@ -238,9 +233,9 @@ ORACLES: dict[str, str] = {
     "D1_recent_tokens": _with("swaps", {"recent": RECENT}, "SELECT * FROM recent"),
     "D2_buyers_sellers": _with(
         "swaps",
-        {"recent": RECENT},
-        f"SELECT token_address, num_users_bought, num_users_sold FROM ({_activity(60)})"
-        " WHERE num_users_bought + num_users_sold > 0",
+        COUNTS,
+        "SELECT token AS token_address, num_users_bought, num_users_sold FROM counted"
+        f" WHERE label = '{fv.RULE_ROWS[1][0]}' AND num_users_bought + num_users_sold > 0",
     ),
     "D3_last_alert": _with(
         "alert_log",

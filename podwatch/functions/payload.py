@@ -6,7 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What the metadata API answers for one token.
-RESPONSE_SCHEMA = "success boolean, data struct<symbol: string, name: string, decimals: bigint>"
+RESPONSE_SCHEMA = "success string, data struct<symbol: string, name: string, decimals: bigint>"
+
+
+def is_true(value: Column) -> Column:
+    """Truth of a JSON scalar read as text: all but NULL, false, zero and empty text."""
+    text = F.lower(F.trim(value))
+    return text.isNotNull() & ~text.isin("", "false") & ~text.rlike(r"^[+-]?0+(\.0*)?(e[+-]?\d+)?$")
 
 
 def json_value(body: Column) -> Column:

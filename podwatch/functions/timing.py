@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ def utc_now() -> datetime:
 def parse_instant(as_of: datetime | str) -> datetime:
     """A run time as a datetime without zone, in UTC. Text may end in 'Z' or an offset."""
     if isinstance(as_of, str):
-        as_of = datetime.fromisoformat(as_of.strip().replace("Z", "+00:00"))
+        as_of = datetime.fromisoformat(as_of.strip())
     if as_of.tzinfo is not None:
         as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
     return as_of
@@ -33,6 +34,19 @@ def instant(as_of: datetime | str, dtype: T.DataType) -> Column:
     raise TypeError(f"expected a timestamp column, got {dtype.simpleString()}")
 
 
+def on_grid(as_of: datetime | str, step_minutes: int, up: bool = False) -> datetime:
+    """The last poll of the regular grid up to a run time, or with ``up`` the first at or after it."""
+    moment, step = parse_instant(as_of), timedelta(minutes=step_minutes)
+    past = (moment - datetime(1970, 1, 1)) % step
+    return moment + (step - past) if up and past else moment - past
+
+
+def day_of(as_of: datetime | str, zone: str = "UTC", minutes_ago: int = 0) -> date:
+    """Calendar day of a run time, or of a moment some minutes before it, in a zone that is not the session's."""
+    moment = parse_instant(as_of) - timedelta(minutes=minutes_ago)
+    return moment.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone)).date()
+
+
 def kind_of(df: DataFrame, column: str) -> T.DataType:
     """Type of a column, its name in any case."""
     return df.select(column).schema[0].dataType

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podwatch import fixed_values as fv
-from podwatch.functions.payload import RESPONSE_SCHEMA
+from podwatch.functions.payload import RESPONSE_SCHEMA, is_true
 from podwatch.functions.text import is_blank, leading, or_empty
 
 LOOKUP_COLUMNS = ("address", "symbol", "name", "decimals")
@@ -55,7 +55,7 @@ def accepted_responses(responses: DataFrame) -> DataFrame:
     a rerun gives the same row.
     """
     parsed = responses.select("address", "status_code", F.from_json("body", RESPONSE_SCHEMA).alias("r"))
-    accepted = (F.col("status_code") == 200) & F.col("r.success") & F.col("r.data").isNotNull()
+    accepted = (F.col("status_code") == 200) & is_true(F.col("r.success")) & F.col("r.data").isNotNull()
     return (
         parsed.where(accepted)
         .groupBy("address")
@@ -67,7 +67,7 @@ def accepted_responses(responses: DataFrame) -> DataFrame:
 def resolve_responses(addresses: DataFrame, responses: DataFrame) -> DataFrame:
     """One row per distinct address asked for; a failed one has empty symbol and name, NULL decimals."""
     keys = addresses.select("address").where(F.col("address").isNotNull()).distinct()
-    return keys.join(accepted_responses(responses), "address", "left").select(
+    return keys.join(accepted_responses(responses.join(keys, "address", "left_semi")), "address", "left").select(
         "address",
         or_empty(F.col("symbol")).alias("symbol"),
         or_empty(F.col("name")).alias("name"),

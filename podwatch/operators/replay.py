@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podwatch import fixed_values as fv
-from podwatch.functions.timing import instant, kind_of, minutes, poll_tick
+from podwatch.functions.timing import instant, kind_of, minutes, on_grid, poll_tick
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule, cooldown_minutes
 from podwatch.sources.tables import swaps_until
@@ -199,6 +199,9 @@ def suppress_replay(
 def poll_grid(
     spark: SparkSession, since: datetime | str, until: datetime | str, kind: T.DataType, poll_minutes: int = fv.POLL_MINUTES
 ) -> DataFrame:
-    """The polls of a replay, one ``timestamp`` per row, both ends included."""
-    polls = F.sequence(instant(since, kind), instant(until, kind), minutes(poll_minutes))
+    """The polls of a replay, one ``timestamp`` per row: those of the regular grid from ``since`` to ``until``."""
+    first, last = on_grid(since, poll_minutes, up=True), on_grid(until, poll_minutes)
+    if first > last:
+        raise ValueError(f"no poll of the {poll_minutes}-minute grid between {since} and {until}")
+    polls = F.sequence(instant(first, kind), instant(last, kind), minutes(poll_minutes))
     return spark.range(1).select(F.explode(polls).alias("timestamp"))

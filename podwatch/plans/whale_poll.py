@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podwatch import fixed_values as fv
-from podwatch.functions.timing import after_minutes_ago, instant_like, utc_now
+from podwatch.functions.timing import after_minutes_ago, instant_like, on_grid, utc_now
 from podwatch.operators.alerts import alert_log_rows, outbox_rows, suppress_recent, with_message
 from podwatch.operators.catalog import append, replace_table_data
 from podwatch.operators.detect import detect_candidates
@@ -96,6 +96,21 @@ def refresh_metadata(
     replace_table_data(spark, table, after)
 
 
+def publish_logged(spark: SparkSession, names: TableNames, logged: DataFrame, rules: Sequence[Rule] = RULES) -> int:
+    """Puts the messages of log rows that have none into the outbox; returns how many."""
+    logged = logged.where("timestamp is not null")  # rows from elsewhere may have no poll
+    if logged.isEmpty():
+        return 0
+    published = spark.table(names.outbox)
+    rendered = with_message(logged.withColumnRenamed("address", "token"), rules)
+    absent = outbox_rows(rendered).join(published, ["timestamp", "token", "time_interval"], "left_anti")
+    absent = settled(absent.select(*published.columns))
+    if absent.isEmpty():
+        return 0
+    append(absent, names.outbox)
+    return absent.count()
+
+
 def run_poll(
     spark: SparkSession,
     names: TableNames,
@@ -108,30 +123,23 @@ def run_poll(
     """Runs a poll on the catalog tables: metadata is updated, then alerts are logged, then published.
 
     Candidates and alerts feed several writes each, so both are checkpointed: they are computed once
-    and survive the loss of an executor. A poll that died between log and outbox is resumed when run
-    again with the same ``as_of``: its log rows are there, so only its missing messages are written.
-    Sides are broadcast only after they were counted.
+    and survive the loss of an executor. Every poll begins by publishing what the log holds of the last
+    cooldown span and the outbox does not, whoever logged it: so an alert of a poll that died before its
+    outbox, or in the middle of its log, appears once, and the retry logs only the keys that are absent.
+    Without ``as_of`` the poll is the last of the regular grid. Sides are broadcast only after they were counted.
     """
-    as_of = utc_now() if as_of is None else as_of
+    as_of = on_grid(utc_now(), fv.POLL_MINUTES) if as_of is None else as_of
     swaps, log = spark.table(names.swaps), spark.table(names.alert_log)
-
-    logged = log.where(F.col("timestamp") == instant_like(as_of, log))
-    if not logged.isEmpty():
-        published = spark.table(names.outbox)
-        rendered = with_message(logged.withColumnRenamed("address", "token"), rules)
-        absent = outbox_rows(rendered).join(published, ["timestamp", "token", "time_interval"], "left_anti")
-        absent = settled(absent.select(*published.columns))
-        append(absent, names.outbox)
-        return PollResult(absent.count(), resumed=True)
-
     recent_log = alerts_that_matter(log, as_of, rules)
+    late = publish_logged(spark, names, recent_log, rules)
+
     candidates = settled(detect_candidates(swaps, recent_log, as_of, rules, date_column=date_column))
     if candidates.isEmpty():
-        return PollResult(0, resumed=False)
+        return PollResult(late, resumed=late > 0)
     tokens = broadcast_if_small(candidates.select("token"))
     refresh_metadata(spark, names.token_metadata, candidates, tokens, responses, as_of, keep_known)
     known = lookup_metadata(spark.table(names.token_metadata), tokens)
     alerts = settled(alerts_from_candidates(candidates, known, rules))
     append(alert_log_rows(alerts), names.alert_log)
     append(outbox_rows(alerts), names.outbox)
-    return PollResult(alerts.count(), resumed=False)
+    return PollResult(late + alerts.count(), resumed=late > 0)

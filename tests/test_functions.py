@@ -107,3 +107,43 @@ def test_rule_lookups(spark):
     assert value(spark, rule_text(F.lit("30min"))) == "30 min"
     assert value(spark, rule_text(F.lit("other"))) == "1 hour"
     assert [value(spark, rule_order(F.lit(x))) for x in ("30min", "1hour", "3hours", "x")] == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_date_pruning_does_not_depend_on_the_session_zone(spark, zone):
+    from podwatch.sources.tables import swaps_since, swaps_until
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = spark.range(0, 72).selectExpr(
+        "timestamp'2024-01-30 00:00:00Z' + make_dt_interval(0, id) AS timestamp",
+        "'u' user_address", "'a' swapfromtoken", "'b' swaptotoken", "'s' source",
+        "date_add(date'2024-01-30', cast(id div 24 as int)) AS day",
+    )
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for as_of in ("2024-01-31T03:00:00Z", "2024-01-31T23:30:00Z"):
+            plain, pruned = swaps_since(rows, as_of, 180), swaps_since(rows, as_of, 180, "day")
+            assert pruned.count() == plain.count() > 0
+            plain, pruned = swaps_until(rows, as_of, as_of, 300), swaps_until(rows, as_of, as_of, 300, "day")
+            assert pruned.count() == plain.count() == 5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_poll_grid_off_the_ticks(spark):
+    from pyspark.sql.types import TimestampType
+
+    from podwatch.operators.replay import poll_grid
+
+    got = [r.timestamp.minute for r in poll_grid(spark, "2024-01-31T00:02:00Z", "2024-01-31T00:17:30Z", TimestampType()).collect()]
+    assert got == [5, 10, 15]
+    with pytest.raises(ValueError):
+        poll_grid(spark, "2024-01-31T00:02:00Z", "2024-01-31T00:03:00Z", TimestampType())
+
+
+def test_success_takes_any_true_value(spark):
+    from podwatch.functions.payload import is_true
+
+    cases = {"true": True, "1": True, "yes": True, "0.5": True, "false": False, "0": False, "0.0": False, "": False, None: False}
+    got = spark.createDataFrame([(k,) for k in cases], "s string").select("s", is_true(F.col("s")).alias("t")).collect()
+    assert {r.s: r.t for r in got} == cases

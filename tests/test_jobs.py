@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from podwatch import fixed_values as fv
 from podwatch.checks import fixtures as fx
 from podwatch.functions import payload
+from podwatch.functions.timing import parse_instant
 from podwatch.operators import alerts, catalog, landing
 from podwatch.plans.price_landing import run_price_landing
 from podwatch.plans.whale_poll import poll_alerts, run_poll
@@ -72,7 +74,7 @@ def test_poll_job(spark, database, tmp_path):
     assert spark.table(names.token_metadata).where("inserted_at = timestamp'2024-01-31 00:00:00'").count() > 0
 
     again = run_poll(spark, names, answers, fx.AS_OF, date_column="day")
-    assert again.resumed and again.alerts == 0
+    assert not again.resumed and again.alerts == 0
     assert spark.table(names.outbox).count() == len(want)
 
     soon = run_poll(spark, names, answers, "2024-01-31 00:05:00", date_column="day")
@@ -94,6 +96,27 @@ def test_poll_resumes_after_the_log_was_written(spark, database, tmp_path):
     assert spark.table(names.outbox).count() == result.alerts
 
 
+def test_a_log_cut_short_is_completed_without_as_of(spark, database, tmp_path, monkeypatch):
+    names = names_in(database)
+    fill(spark, names, str(tmp_path))
+    answers = fx.responses(spark, SF)
+    found = poll_alerts(
+        spark.table(names.swaps), spark.table(names.alert_log), spark.table(names.token_metadata), answers, fx.AS_OF
+    )
+    alerts.alert_log_rows(found).write.parquet(str(tmp_path / "whole"))
+    whole = spark.read.parquet(str(tmp_path / "whole"))
+    part = whole.where("pmod(hash(address), 2) = 0")
+    assert 0 < part.count() < whole.count()
+    part.write.mode("append").format("parquet").saveAsTable(names.alert_log)
+    clock = parse_instant(fx.AS_OF) + timedelta(minutes=2, microseconds=7)
+    monkeypatch.setattr("podwatch.plans.whale_poll.utc_now", lambda: clock)
+    result = run_poll(spark, names, answers)
+    assert result.resumed and result.alerts == whole.count()
+    once = spark.table(names.outbox).groupBy("timestamp", "token", "time_interval").count()
+    assert once.count() == whole.count() and once.where("count > 1").count() == 0
+    assert run_poll(spark, names, answers).alerts == 0
+
+
 def test_quiet_poll_writes_nothing(spark, database, tmp_path):
     names = names_in(database)
     fill(spark, names, str(tmp_path))
