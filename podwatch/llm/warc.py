@@ -23,11 +23,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podwatch.llm.scratch import Scratch
+from podwatch.llm.scratch import Scratch, partitions
 
 LEVEL = 5
 GAP_BYTES = 64 << 10
 RANGE_BYTES = 4 << 20
+TASK_BYTES = 64 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, url string, record_type string, payload_digest string, file string, offset long, length long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -187,7 +188,10 @@ def read_records(selected: DataFrame, folder: str) -> DataFrame:
             source.close()
 
     places = selected.select("file", "offset", "length")
-    return places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(read, RECORD)
+    # Index rows are tiny and what they stand for is not, so the number of tasks follows the bytes to read.
+    total = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(partitions(selected.sparkSession), -(-total // TASK_BYTES))
+    return places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(read, RECORD)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
