@@ -179,10 +179,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         cell = F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(CELLS**k))
         centres = rest.groupBy("key", cell.alias("cell")).agg(F.min("doc_id").alias("doc_id")).select("key", "doc_id")
         centres = scratch.written(centres, f"centres-{k}")
-        hub = rest.join(centres, ["key", "doc_id"], "left_semi")
-        hub = hub.select("key", F.col("doc_id").alias("a"), F.col("component").alias("c"), *_named(hub, "x"))
-        spoke = rest.select("key", F.col("doc_id").alias("b"), F.col("component").alias("d"), *_named(rest, "y"))
-        pairs = hub.join(spoke, "key").where((F.col("c") != F.col("d")) & _alike("x", "y"))
+        # A pair that shares several buckets is compared in the first of them only; at most one key a band and document.
+        held = rest.groupBy("doc_id").agg(F.collect_set("key").alias("held"))
+        led = centres.groupBy("doc_id").agg(F.collect_set("key").alias("led"))
+        hub = rest.join(centres, ["key", "doc_id"], "left_semi").join(led, "doc_id")
+        hub = hub.select("key", F.col("doc_id").alias("a"), F.col("component").alias("c"), "led", *_named(hub, "x"))
+        spoke = rest.join(held, "doc_id")
+        spoke = spoke.select("key", F.col("doc_id").alias("b"), F.col("component").alias("d"), "held", *_named(spoke, "y"))
+        once = F.col("key") == F.array_min(F.array_intersect("led", "held"))
+        pairs = hub.join(spoke, "key").where((F.col("c") != F.col("d")) & _alike("x", "y") & once)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = scratch.written(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{k}")
         if not pairs.isEmpty():
