@@ -12,6 +12,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What a Python task holds of its input at a time, beside single long texts. Spark's own bound is 10,000 rows of any size.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
 
 class Scratch:
     def __init__(self, spark: SparkSession, name: str) -> None:
@@ -31,7 +34,15 @@ class Scratch:
         """The frame, computed once and read back, so that a lost executor costs one task and not the lineage."""
         path = self.path(name)
         schema = df.schema
-        df.write.parquet(path)
+        before = self.spark.conf.get(BATCH[0], None)
+        self.spark.conf.set(*BATCH)
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(BATCH[0])
+            else:
+                self.spark.conf.set(BATCH[0], before)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:
