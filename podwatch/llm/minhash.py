@@ -24,10 +24,33 @@ def multipliers(n: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=8)
-def probe_ranks(bins: int) -> np.ndarray:
-    """Row i ranks all bins in the random order in which an empty bin i looks for a full one."""
+def probe_order(bins: int) -> np.ndarray:
+    """Row i has all bins in the random order in which an empty bin i looks for a full one."""
     order = mixed(np.arange(bins * bins, dtype=np.uint64) + U(0x9E3779B97F4A7C15)).reshape(bins, bins)
-    return order.argsort(axis=1).argsort(axis=1).astype(np.int16)
+    return order.argsort(axis=1).astype(np.int16)
+
+
+@lru_cache(maxsize=8)
+def probe_ranks(bins: int) -> np.ndarray:
+    """Row i has the place of each bin in row i of ``probe_order``."""
+    return probe_order(bins).argsort(axis=1).astype(np.int16)
+
+
+def _donors(full: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """The empty bins, and for each the first full bin in its own order."""
+    known = np.zeros(bins, dtype=bool)
+    known[full] = True
+    empty = np.flatnonzero(~known)
+    if len(full) * 8 < bins:  # few full bins: look at the ranks of all of them at once
+        return empty, full[probe_ranks(bins)[empty][:, full].argmin(axis=1)]
+    order, donors = probe_order(bins), np.empty(len(empty), dtype=np.int64)
+    left, step = np.arange(len(empty)), 0
+    while len(left):  # many: a few probes find one
+        seen = order[empty[left], step]
+        hit = known[seen]
+        donors[left[hit]] = seen[hit]
+        left, step = left[~hit], step + 1
+    return empty, donors
 
 
 def one_permutation(hashes: np.ndarray, bins: int) -> np.ndarray:
@@ -44,11 +67,8 @@ def one_permutation(hashes: np.ndarray, bins: int) -> np.ndarray:
     out = np.zeros(bins, dtype=np.uint64)
     out[full] = hashes[first]
     if len(full) < bins:
-        empty = np.ones(bins, dtype=bool)
-        empty[full] = False
-        empty = np.flatnonzero(empty)
-        ranks = probe_ranks(bins)[empty]
-        out[empty] = out[full[ranks[:, full].argmin(axis=1)]]
+        empty, donors = _donors(full, bins)
+        out[empty] = out[donors]
     return out
 
 
