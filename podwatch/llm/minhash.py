@@ -26,14 +26,18 @@ def multipliers(n: int) -> np.ndarray:
 @lru_cache(maxsize=8)
 def probe_order(bins: int) -> np.ndarray:
     """Row i has all bins in the random order in which an empty bin i looks for a full one."""
-    order = mixed(np.arange(bins * bins, dtype=np.uint64) + U(0x9E3779B97F4A7C15)).reshape(bins, bins)
-    return order.argsort(axis=1).astype(np.int16)
+    order = np.empty((bins, bins), dtype=np.int16)
+    for i in range(bins):  # row by row, as a worker keeps what larger arrays took
+        order[i] = mixed(np.arange(i * bins, (i + 1) * bins, dtype=np.uint64) + U(0x9E3779B97F4A7C15)).argsort()
+    return order
 
 
 @lru_cache(maxsize=8)
 def probe_ranks(bins: int) -> np.ndarray:
     """Row i has the place of each bin in row i of ``probe_order``."""
-    return probe_order(bins).argsort(axis=1).astype(np.int16)
+    ranks = np.empty((bins, bins), dtype=np.int16)
+    np.put_along_axis(ranks, probe_order(bins), np.arange(bins, dtype=np.int16)[None, :], axis=1)
+    return ranks
 
 
 def _donors(full: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
