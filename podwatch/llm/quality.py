@@ -23,6 +23,7 @@ RIDGE = 1e-3  # of the number of rows
 SEED = 20_240_131
 SUMS = 32  # partitions of the labelled rows, and so matrices on the driver
 BINS = 400
+BLOCK = 1_000  # rows whose features are in memory at a time
 REJECT_BELOW = 0.3
 
 _CLASSES = {
@@ -120,6 +121,12 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            yield batch.slice(at, BLOCK)
+
+
 def isotonic(total: np.ndarray, good: np.ndarray) -> np.ndarray:
     """The non-decreasing levels closest to good / total, weighted, by pooling neighbours that fall."""
     blocks: list[list[float]] = []
@@ -151,7 +158,7 @@ def fit(rows: DataFrame) -> Model | None:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, size + 1))
-        for batch in batches:
+        for batch in _blocks(batches):
             features = Model.features(_matrix(batch), mean, scale)
             y = batch.column("y").to_numpy(zero_copy_only=False)
             total += features.T @ np.column_stack([features, y])
@@ -167,7 +174,7 @@ def fit(rows: DataFrame) -> Model | None:
     blank = Model(mean, scale, weights, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             at = np.clip((blank.raw(_matrix(batch)) + 0.5) * BINS / 2, 0, BINS - 1).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("y")], ["bin", "y"])
 
@@ -199,7 +206,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, keep_text: bool = False)
     model = fit(scratch.written(rows, "labelled"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             score = np.ones(batch.num_rows)
             if model is not None and batch.num_rows:
                 score = model.score(_matrix(batch) if "x" in batch.schema.names else _of_texts(batch))
