@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from typing import Any
 
-KNOWN_PIECES = 300_000  # a worker's memory for pieces: some 80 MB, kept from task to task
+KNOWN_PIECES = 100_000  # a worker's memory for pieces: some 30 MB, kept from task to task
 BATCH_BYTES = 1 << 20
 _SPACE = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # White space as the byte-level tokenizer's own splitter sees it: a word takes one space before it, and a
