@@ -84,5 +84,17 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
 
 
 def one_bit_sketch(signature: np.ndarray) -> np.ndarray:
-    """One bit per bin, as 64-bit words; two sets of similarity J differ in (1 - J) / 2 of the bits."""
-    return np.packbits((mixed(signature) >> U(63)).astype(np.uint8)).view(np.int64)
+    """One bit per bin, as 64-bit words; two sets of similarity J differ in (1 - J) / 2 of the bits.
+
+    The bin is part of what is hashed, so bins that hold the same minimum still give bits of their own.
+    """
+    return np.packbits((mixed(signature ^ multipliers(len(signature))) >> U(63)).astype(np.uint8)).view(np.int64)
+
+
+def parity_sketch(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Parity of the number of hashes at each of ``bits`` places, as 64-bit words.
+
+    Two sets never differ in more places than they have elements that are in one of them only.
+    """
+    at = ((hashes >> U(32)) * U(bits) >> U(32)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)

@@ -2,9 +2,10 @@
 
 Signatures: one permutation of ``bins`` bins with optimal densification, ``rows`` bins to a band. A pair of
 similarity J shares at least one band with probability 1 - (1 - J^rows)^(bins / rows): 0.999996 at 0.75 with
-the defaults. Buckets give stars, not pairs: every member points to a centre. A comparison first looks
-at sizes and at one-bit sketches (a pair at 0.75 is refused with odds of 3 in a million), then at
-the full shingle sets.
+the defaults while bins are independent. Buckets give stars, not pairs: every member points to a centre. A
+comparison first looks at sizes and sketches, then at the full shingle sets. Sets of fewer than SMALL
+shingles have parity sketches, which refuse no link; larger sets have one-bit sketches, which refuse a pair at
+0.75 with odds of about 5 in a million. A small and a large set go to the full sets without a look at sketches.
 
 The first round compares a document with the first and the last centre of its buckets only, which joins groups
 of copies at two pairs a document. A bucket whose members are not all in one component then is open: its
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podwatch.llm.components import connected_components
-from podwatch.llm.minhash import bands, mixed, multipliers, one_bit_sketch, one_permutation
+from podwatch.llm.minhash import bands, mixed, multipliers, one_bit_sketch, one_permutation, parity_sketch
 from podwatch.llm.scratch import Scratch
 
 WORDS = 5
@@ -35,7 +36,8 @@ SKETCH = [f"s{i}" for i in range(SKETCH_BINS // 64)]
 CELLS = 64  # more centres of an open bucket in each round, by this factor
 # Ids that are sent to every executor instead of shuffling the texts; some 100 MB there. Beyond, a join shuffles.
 BROADCAST_IDS = 2_000_000
-# Bits in which two sketches may differ: the mean at the threshold and 4.5 standard deviations.
+SMALL = 1024  # shingles; a parity sketch of fewer still tells sets apart that are not alike
+# Bits in which two one-bit sketches may differ: the mean at the threshold and 4.5 standard deviations.
 _UNLIKE = (1 - THRESHOLD / 100) / 2
 SKETCH_BITS = int(SKETCH_BINS * _UNLIKE + 4.5 * (SKETCH_BINS * _UNLIKE * (1 - _UNLIKE)) ** 0.5)
 
@@ -54,6 +56,12 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(mixed(total + np.uint64(width)))
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    if len(found) < SMALL:
+        return parity_sketch(found, SKETCH_BINS)
+    return one_bit_sketch(one_permutation(found, SKETCH_BINS))
+
+
 def _texts(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
     for x in batch.column(name).cast(pa.binary()):
         yield x.as_py() or b""
@@ -69,7 +77,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 signature = one_permutation(found, BINS)
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                 keys.append(bands(signature, ROWS).view(np.int64))
-                sketches.append(one_bit_sketch(one_permutation(found, SKETCH_BINS)))
+                sketches.append(sketch(found))
             else:
                 digests.append(None)
                 keys.append(None)
@@ -108,7 +116,10 @@ def _alike(x: str, y: str) -> F.Column:
     """Sizes and sketches leave room for a link."""
     apart = sum((F.bit_count(F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}"))) for s in SKETCH), F.lit(0))
     nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * THRESHOLD) & (apart <= SKETCH_BITS)
+    # A link has at most (nx + ny) (1 - T) / (1 + T) shingles in one set only.
+    small = apart * (100 + THRESHOLD) <= (nx + ny) * (100 - THRESHOLD)
+    room = F.when(F.greatest(nx, ny) < SMALL, small).when(F.least(nx, ny) >= SMALL, apart <= SKETCH_BITS).otherwise(True)
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * THRESHOLD) & room
 
 
 def _named(df: DataFrame, prefix: str) -> list[F.Column]:

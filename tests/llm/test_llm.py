@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from podwatch.llm import chat, perfect_hash, warc
+from podwatch.llm import chat, near_dedup, perfect_hash, warc
 from podwatch.llm.components import connected_components
 from podwatch.llm.decontaminate import contaminated
 from podwatch.llm.fingerprints import fingerprints, likeness
@@ -129,6 +129,40 @@ def test_near_duplicates_match_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_short_texts_are_linked_whatever_their_sketches(spark):
+    texts = {}
+    for k in range(150):
+        for n, end in ((8, 1), (9, 1), (10, 1), (12, 1), (20, 2), (40, 5)):  # J = (n - 4 - end) / (n - 4): 0.75 to 0.88
+            words = [f"w{k}x{n}x{i}" for i in range(n)]
+            texts |= {len(texts): " ".join(words), len(texts) + 1: " ".join(words[:-end])}
+    expected, _ = plain_components(dict(list(texts.items())[:120]))
+    assert all(expected[k] == k - k % 2 for k in range(120))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs).collect()} == {k: k - k % 2 for k in texts}
+
+
+def test_sketches_refuse_no_link_and_most_others(spark):
+    rng = np.random.default_rng(5)
+    rows_of = {}
+    for n in (4, 8, 100, 500, 1000, 1022, 1400, 5000):  # shingles of the smaller set
+        for part in (0.75, 0.5):
+            for k in range(40):
+                both = np.unique(mixed(rng.integers(0, 2**63, n, dtype=np.uint64)))
+                more = np.unique(mixed(rng.integers(0, 2**63, int(n / part) - n, dtype=np.uint64)))
+                rows_of[n, part, k] = (both, np.unique(np.concatenate([both, more])))
+    data = []
+    for (n, part, k), sets in rows_of.items():
+        data.append((n, part, k, *(v for s in sets for v in (len(s), *map(int, near_dedup.sketch(s))))))
+    names = [f"{x}{c}" for x in "xy" for c in ("n", *near_dedup.SKETCH)]
+    frame = spark.createDataFrame(data, ", ".join(["n long", "part double", "k long", *(f"{c} long" for c in names)]))
+    assert frame.where("part = 0.75").where(~near_dedup._alike("x", "y")).count() == 0
+    # A pair of equal size at 0.5 is refused by its sketch alone.
+    for n in (100, 500, 1000, 5000):
+        a, b = (np.unique(np.concatenate([rows_of[n, 0.5, 0][0], mixed(rng.integers(0, 2**63, n // 2, dtype=np.uint64))])) for _ in "ab")
+        one = spark.createDataFrame([(len(a), *map(int, near_dedup.sketch(a)), len(b), *map(int, near_dedup.sketch(b)))], ", ".join(f"{c} long" for c in names))
+        assert one.where(near_dedup._alike("x", "y")).count() == 0
+
+
 def test_near_duplicates_of_the_test_documents(spark, documents):
     expected, _ = plain_components({r.doc_id: r.text for r in documents.collect()})
     assert {r.doc_id: r.component_id for r in near_duplicates(documents).collect()} == expected
