@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from podwatch.llm.tokens import byte_level_pieces, id_pieces, packed_ids
+from podwatch.llm.tokens import added_tokens, byte_level_pieces, id_pieces, packed_ids
 
 TIERS = (128, 256, 512, 1024)
 END_ID = 0
@@ -117,14 +117,14 @@ def _groups(sequences: list[tuple[int, list[Piece]]], first: int) -> tuple[list[
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int | None, np.ndarray]]:
-    known = id_pieces(path)
+    known, added = id_pieces(path), added_tokens(path)
     end = packed_ids([END_ID])
     for batch in batches:
         block, size = [], 0
         texts = batch.column("text")
         for row, doc_id in enumerate(batch.column("doc_id").to_pylist()):
             text = texts[row].as_py() or ""
-            block.append((doc_id, byte_level_pieces(text)))
+            block.append((doc_id, byte_level_pieces(text, added)))
             size += len(text)
             if size >= TEXT_BLOCK or row == batch.num_rows - 1:
                 table = known.of([p for _, pieces in block for p in pieces])

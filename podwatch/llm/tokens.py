@@ -1,7 +1,7 @@
 """Token ids of public tokenizers, piece by piece.
 
 Both tokenizers cut a text into pieces before they look at their vocabulary, and no piece reaches over certain
-places. Texts are split at these, each distinct piece is encoded once a worker while the memory for pieces
+places. Added tokens, such as special strings, are cut out before that. Texts are split at these, each distinct piece is encoded once a worker while the memory for pieces
 lasts, and misses are encoded in batches of equal bytes. The result is the library's own, for every text.
 """
 
@@ -13,7 +13,7 @@ import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from typing import Any
+from typing import Any, NamedTuple
 
 KNOWN_PIECES = 100_000  # a worker's memory for pieces: some 30 MB, kept from task to task
 BATCH_BYTES = 1 << 20
@@ -23,9 +23,16 @@ _SPACE = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 _BYTE_LEVEL = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
-def byte_level_pieces(text: str) -> list[str]:
-    """Pieces of a byte-level tokenizer whose splitter is on."""
-    return _BYTE_LEVEL.findall(text)
+def byte_level_pieces(text: str, added: AddedTokens | None = None) -> list[str]:
+    """Pieces of a byte-level tokenizer whose splitter is on. ``added``: its added tokens, between which each segment is cut by itself."""
+    if added is None or not added.strings or not added.strings.search(text):
+        return _BYTE_LEVEL.findall(text)
+    if not added.plain:
+        return [text]
+    found = []
+    for k, part in enumerate(added.strings.split(text)):
+        found += [part] if k % 2 else _BYTE_LEVEL.findall(part)
+    return found
 
 
 def word_pieces(text: str) -> list[bytes]:
@@ -44,6 +51,23 @@ def tokenizer(path: str) -> Any:
     return found
 
 
+class AddedTokens(NamedTuple):
+    """Strings that the library cuts out of a text first; ``plain`` if they match as they are, whatever stands beside them."""
+
+    strings: re.Pattern[str] | None
+    plain: bool
+
+
+@lru_cache(maxsize=4)
+def added_tokens(path: str) -> AddedTokens:
+    found = tokenizer(path)
+    tokens = list(found.get_added_tokens_decoder().values())
+    plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized and found.normalizer for t in tokens)
+    # The first of all in the text, and of those at one place the longest.
+    strings = sorted({t.content for t in tokens if t.content}, key=len, reverse=True)
+    return AddedTokens(re.compile(f"({'|'.join(map(re.escape, strings))})") if strings else None, plain)
+
+
 def batches_by_bytes(pieces: Iterable[Any]) -> Iterator[list[Any]]:
     batch, size = [], 0
     for piece in pieces:

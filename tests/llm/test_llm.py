@@ -26,7 +26,7 @@ from podwatch.llm.quality import isotonic, quality_scores
 from podwatch.llm.queries import QUERIES, tokenizer_path
 from podwatch.llm.scratch import Scratch
 from podwatch.llm.token_counts import token_counts
-from podwatch.llm.tokens import byte_level_pieces, word_pieces
+from podwatch.llm.tokens import added_tokens, byte_level_pieces, word_pieces
 from podwatch.llm.url_filters import intervals, url_patterns, url_verdicts
 
 SF = "/root/testdata/sf0.001"
@@ -341,6 +341,34 @@ def test_pieces_give_the_librarys_ids():
             assert [i for p in pieces for i in tokenizer.encode(p, add_special_tokens=False).ids] == ids, repr(text)
 
 
+def test_white_space_before_special_strings_gives_the_librarys_ids(spark):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"{a}{space}{end}{b}" for a in ("", "x", "x ", end) for space in ("", " ", "  ", "\n", "\n\n", "\n\n\n", " \n\n", "\r\n\r\n", " " * 8, "\t\t", "\x85\x85") for b in ("", "y", " y", "\n\ny", f"\n\n{end}", "<|")]
+    path = tokenizer_path("byte_bpe_50k.json")
+    tokenizer, expected = Tokenizer.from_file(path), library_ids("byte_bpe_50k.json", texts)
+    for text, ids in zip(texts, expected, strict=True):
+        pieces = byte_level_pieces(text, added_tokens(path))
+        assert "".join(pieces) == text
+        assert [i for p in pieces for i in tokenizer.encode(p, add_special_tokens=False).ids] == ids, repr(text)
+    got = defaultdict(list)
+    for p in packed(rows(spark, *texts), path).collect():
+        got[p.doc_id].append((p.start, np.frombuffer(p.ids, dtype="<u4").tolist()))
+    assert [[i for _, ids in sorted(got[k]) for i in ids] for k in range(len(texts))] == [[*ids, 0] for ids in expected]
+
+
+def test_added_tokens_that_take_their_surroundings_are_left_to_the_library(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    tokenizer.add_special_tokens([AddedToken("<pad>", lstrip=True), AddedToken("<pad>>")])
+    tokenizer.save(path := str(tmp_path / "own.json"))
+    for text in ("a  <pad> b", "x\n\n<pad>>  y", "a  b", "x\n\n<|endoftext|>y"):
+        pieces = byte_level_pieces(text, added_tokens(path))
+        assert [i for p in pieces for i in tokenizer.encode(p, add_special_tokens=False).ids] == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_token_counts_are_the_librarys(spark, documents, monkeypatch):
     texts = [r.text for r in documents.collect()] + ODD + random_texts(100) + ["long words " * 150_000, "y" * 30_000]
     docs = rows(spark, *texts, None, "").withColumn("n_tokens", F.lit("clash"))
