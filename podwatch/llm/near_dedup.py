@@ -154,17 +154,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kinds = ", ".join(f"{s} long" for s in SKETCH)
     signed = docs.mapInArrow(_signatures, f"doc_id long, n_shingles long, digest binary, bands array<long>, {kinds}")
-    signed = scratch.written(signed, "signed")
+    signed = scratch.written(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
 
-    # Equal sets first: their smallest document stands for all of them.
+    # Equal sets first: one row of their smallest document stands for all of them.
     usable = signed.where("digest is not null and doc_id is not null")
-    groups = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    copies = usable.select("doc_id", "digest").join(groups.where("copies > 1").select("digest", "rep"), "digest")
-    copies = scratch.written(copies.where("doc_id <> rep").select("doc_id", "rep"), "copies")
-    unique = usable.join(copies.select("doc_id"), "doc_id", "left_anti")
+    groups = usable.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.count("*").alias("copies"))
+    groups = groups.where("copies > 1").select("digest", F.col("rep.doc_id").alias("rep"), F.col("rep.row").alias("rep_row"))
+    copies = usable.select("doc_id", "digest", "row").join(groups, "digest")
+    copies = scratch.written(copies.where("row <> rep_row").select("doc_id", "rep", "row"), "copies")
+    unique = usable.join(copies.select("row"), "row", "left_anti")
+    # A document with several texts has several rows in there.
+    several = not unique.groupBy("doc_id").count().where("count > 1").isEmpty()
     sketches = unique.select("doc_id", F.col("n_shingles").alias("n"), *SKETCH)
 
     members = unique.select("doc_id", F.explode("bands").alias("key"))
+    members = members.distinct() if several else members
     buckets = members.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"), F.count("*").alias("size"))
     buckets = scratch.written(buckets.where("centre <> last"), "buckets")
     spokes = members.join(buckets.select("key", "centre"), "key").select("key", "doc_id", "centre")
@@ -174,8 +178,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = ends.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), F.col("doc_id").alias("b"))
     left = sketches.select(F.col("doc_id").alias("a"), *_named(sketches, "x"))
     right = sketches.select(F.col("doc_id").alias("b"), *_named(sketches, "y"))
-    pairs = scratch.written(pairs.join(left, "a").join(right, "b").where(_alike("x", "y")).select("a", "b"), "pairs")
-    links = _confirm(docs, pairs, scratch, "stars").union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    pairs = pairs.join(left, "a").join(right, "b").where(_alike("x", "y")).select("a", "b")
+    pairs = scratch.written(pairs.distinct() if several else pairs, "pairs")
+    same = copies.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    links = _confirm(docs, pairs, scratch, "stars").union(same)
     comps = scratch.written(connected_components(links, scratch, "star"), "components-0")
 
     rest = spokes.select("key", "doc_id")
@@ -207,6 +213,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             if not links.isEmpty():
                 comps = _joined(comps, links, scratch, k)
         rest = rest.select("key", "doc_id").join(centres, ["key", "doc_id"], "left_anti")
+        rest = rest.distinct() if several else rest
         k += 1
 
     named = signed.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")

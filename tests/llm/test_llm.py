@@ -176,6 +176,21 @@ def test_near_duplicates_without_ids_repeated_ids_and_no_rows(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    def text(name, changed=0):
+        return " ".join([f"{name}{k}" for k in range(40 - changed)] + [f"{name}other{k}" for k in range(changed)])
+
+    found = [
+        (1, text("a")), (2, text("a")), (2, text("b")), (3, text("b", 1)),  # one text is a copy, the other near another document
+        (12, text("c")), (11, text("d")), (12, text("d")), (13, text("c")), (14, text("c", 1)),  # one stands for copies
+        (21, text("e")), (21, text("e", 1)), (21, text("e", 2)), (22, text("f")), (22, text("e", 3)), (23, text("f", 1)), (24, text("g")), (24, text("g")),
+    ]
+    docs = spark.createDataFrame([*found, (None, text("a")), (None, text("b"))], "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect())
+    of = {1: 1, 2: 1, 3: 1, 11: 11, 12: 11, 13: 11, 14: 11, 21: 21, 22: 21, 23: 21, 24: 24}
+    assert got == Counter([*((k, of[k], k == of[k]) for k, _ in found), (None, None, True), (None, None, True)])
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(1000, k) for k in range(900, 960)] + [(5000, 5001), (7, 7)]
     scratch = Scratch(spark, "components-test")
