@@ -4,7 +4,8 @@ A text becomes a template: numbers, units that follow them and capitalised words
 typed placeholders, the rest is lower case without punctuation. Windows of WINDOW template tokens are
 hashed and joined. Matches of one document and item at one distance are an alignment, and its slots are
 read again with their values: each value of the item must stand for one and the same value of the
-document. Windows with fewer than LITERAL ordinary words prove nothing by themselves; an alignment of
+document. Equal numbers before different words are different values. An alignment in which a value stands for several
+counts by its windows without such values: two of them that prove something and do not overlap. Windows with fewer than LITERAL ordinary words prove nothing by themselves; an alignment of
 such windows alone counts only if all values are equal. A window without slots is the passage itself.
 """
 
@@ -95,25 +96,31 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     if hits is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long, first_token int, n_slots int, same_values boolean")
     runs = hits.groupBy("doc_id", "text_hash", "item_id", "width", (F.col("place") - F.col("at")).alias("shift")).agg(
-        F.collect_set("at").alias("starts"), F.max("rich").alias("rich"), F.max("plain").alias("plain")
+        F.collect_set("at").alias("starts"), F.collect_set(F.when(F.col("rich"), F.col("at"))).alias("rich_starts"), F.max("plain").alias("plain")
     )
 
     in_docs = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text")
     in_docs = runs.join(in_docs, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h")))
-    in_docs = in_docs.select("doc_id", "item_id", "width", "shift", "starts", "rich", "plain", template(F.col("text"), values=True).alias("there"))
+    in_docs = in_docs.select("doc_id", "item_id", "width", "shift", "starts", "rich_starts", "plain", template(F.col("text"), values=True).alias("there"))
     in_items = items.select(F.col("item_id").alias("i"), template(F.col("text"), values=True).alias("here"))
     both = in_docs.join(in_items, F.col("item_id") == F.col("i"))
     covered = F.filter(
         F.sequence(F.lit(0), F.size("here") - 1), lambda k: F.exists("starts", lambda s: (s <= k) & (k < s + F.col("width")))
     )
-    slots = F.filter(
-        F.transform(covered, lambda k: F.struct(F.get("here", k).alias("x"), F.get("there", k + F.col("shift")).alias("y"))),
+    # A number is told apart by what follows it.
+    of = lambda k: F.when(F.get("here", k).startswith(NUMBER), F.coalesce(F.get("here", k + 1), F.lit(""))).otherwise("")
+    places = F.filter(
+        F.transform(covered, lambda k: F.struct(k.alias("k"), F.get("here", k).alias("x"), of(k).alias("of"), F.get("there", k + F.col("shift")).alias("y"))),
         lambda p: _is_slot(p["x"]),
     )
-    both = both.select("doc_id", "item_id", "starts", "shift", "rich", "plain", F.array_distinct(slots).alias("slots"))
+    both = both.select("doc_id", "item_id", "width", "starts", "shift", "rich_starts", "plain", places.alias("places"))
+    both = both.withColumn("slots", F.array_distinct(F.transform("places", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))))
     both = both.withColumn("equal", F.forall("slots", lambda p: p["x"] == p["y"]))
-    one_to_one = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda p: p["x"])))
-    proven = both.where(F.when(F.col("rich"), F.col("plain") | one_to_one).otherwise(F.col("equal")))
+    clashes = F.filter("places", lambda p: F.exists("places", lambda q: (p["x"] == q["x"]) & (p["of"] == q["of"]) & (p["y"] != q["y"])))
+    both = both.withColumn("clashes", F.transform(clashes, lambda p: p["k"]))
+    clean = F.filter("rich_starts", lambda s: ~F.exists("clashes", lambda k: (s <= k) & (k < s + F.col("width"))))
+    apart = F.coalesce(F.array_max(clean) - F.array_min(clean) >= F.col("width"), F.lit(False))
+    proven = both.where(F.when(F.size("rich_starts") > 0, F.col("plain") | (F.size("clashes") == 0) | apart).otherwise(F.col("equal")))
     return proven.groupBy("doc_id", "item_id").agg(
         F.sum(F.size("starts")).alias("n_windows"),
         F.min(F.col("shift") + F.array_min("starts")).cast("int").alias("first_token"),

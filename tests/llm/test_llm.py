@@ -479,6 +479,20 @@ def test_templates_catch_other_numbers_and_names(spark):
     assert contaminated(rows(spark), items).count() == 0 and contaminated(rows(spark, *docs), items.limit(0)).count() == 0
 
 
+def test_equal_numbers_may_stand_for_different_ones(spark):
+    fruit = "every child takes {} apples and carries {} pears while mother buys {} melons before uncle sells {} plums"
+    farm = "a farmer takes {} apples from tree number {} and later carries them over {} hills into town where people pay {} coins each until finally only {} apples remain"
+    items = spark.createDataFrame([(1, fruit.format(2, 2, 2, 5)), (2, farm.format(2, 7, 9, 4, 2))], "item_id long, text string")
+    docs = [fruit.format(3, 4, 6, 9), "so " + fruit.format(2, 2, 2, 5), farm.format(8, 1, 3, 6, 5), farm.format(8, 1, 3, 6, 8), " ".join(farm.format(8, 1, 3, 6, 5).split()[:12])]
+    got = {(r.doc_id, r.item_id): r for r in contaminated(rows(spark, *docs), items).collect()}
+    assert got.keys() == {(0, 1), (1, 1), (2, 2), (3, 2), (4, 2)}
+    assert [r.same_values for _, r in sorted(got.items())] == [False, True, False, False, False]
+    assert got[0, 1].n_slots == 4 and got[1, 1].n_slots == 2 and got[2, 2].n_slots == 5
+    # A value that clashes in a short passage proves nothing.
+    twice = spark.createDataFrame([(1, "you give 2 apples here and 2 apples there")], "item_id long, text string")
+    assert [r.doc_id for r in contaminated(rows(spark, "you give 3 apples here and 4 apples there", "you give 3 apples here and 3 apples there"), twice).collect()] == [1]
+
+
 def test_passages_of_the_test_benchmark_are_found(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     words = lambda t: re.findall(r"\w+", t.lower())
