@@ -7,6 +7,7 @@ read again with their values: each value of the item must stand for one and the
 document. Equal numbers before different words are different values. An alignment in which a value stands for several
 counts by its windows without such values: two of them that prove something and do not overlap. Windows with fewer than LITERAL ordinary words prove nothing by themselves; an alignment of
 such windows alone counts only if all values are equal. A window without slots is the passage itself.
+A short item, of fewer than WINDOW tokens and of them fewer than LITERAL ordinary words, matches only as whole lines.
 """
 
 from __future__ import annotations
@@ -51,9 +52,57 @@ def _is_slot(token: Column) -> Column:
     return F.substring(token, 1, 1).between(NUMBER, UNIT)
 
 
+def _words(tokens: Column) -> Column:
+    return F.size(F.filter(tokens, lambda t: ~_is_slot(t)))
+
+
+def _is_short(tokens: Column) -> Column:
+    return (F.size(tokens) < WINDOW) & (_words(tokens) < LITERAL)
+
+
+def _lines(text: Column) -> Column:
+    """The lines that have tokens."""
+    return F.filter(F.split(text, r"\R"), lambda x: x.rlike(rf"[\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{UNIT}]"))
+
+
+def _line_tokens(lines: Column, values: bool = False) -> Column:
+    return F.flatten(F.transform(lines, lambda x: template(x, values)))
+
+
+def _line_matches(docs: DataFrame, items: DataFrame) -> DataFrame | None:
+    """Lines of documents that have the template of a short item, as alignments of one window; None if there are no short items."""
+    tokens = _line_tokens(_lines(F.col("text")))
+    short = items.where(_is_short(template(F.col("text")))).select(
+        F.col("item_id"), F.xxhash64(tokens).alias("hash"), F.size(_lines(F.col("text"))).alias("n_lines"),
+        _words(tokens).alias("words"), F.size(tokens).alias("width"), _line_tokens(_lines(F.col("text")), True).alias("here"),
+    ).where("width > 0")
+    size = short.agg(F.count("*").alias("n"), F.collect_set("n_lines").alias("n_lines")).first()  # fewer than WINDOW numbers of lines
+    if size["n"] and size["n"] <= BROADCAST_WINDOWS:
+        short = F.broadcast(short)
+    found = None
+    for n in sorted(size["n_lines"]):
+        lines = _lines(F.col("text"))
+        runs = F.transform(F.sequence(F.lit(1), F.size(lines) - n + 1), lambda i: F.slice(lines, i, n))  # noqa: B023
+        runs = docs.where(F.size(lines) >= n).select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(runs).alias("place", "run"))
+        runs = runs.withColumn("hash", F.xxhash64(_line_tokens(F.col("run")))).withColumn("n_lines", F.lit(n))
+        hits = runs.join(short, ["hash", "n_lines"]).drop("hash", "n_lines")
+        found = hits if found is None else found.union(hits)
+    if found is None:
+        return None
+    in_docs = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text")
+    found = found.join(in_docs, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h")))
+    before = F.array_join(F.slice(_lines(F.col("text")), F.lit(1), F.col("place")), "\n")
+    at = F.array(F.lit(0))
+    return found.select(
+        "doc_id", "item_id", "width", F.lit(0).alias("shift"), at.alias("starts"),
+        F.when(F.col("words") > 0, at).otherwise(F.array().cast("array<int>")).alias("rich_starts"), (F.col("words") == F.col("width")).alias("plain"),
+        _line_tokens(F.col("run"), True).alias("there"), "here", F.size(template(before)).alias("first"),
+    )
+
+
 def item_windows(items: DataFrame) -> DataFrame:
-    """(hash, width, item_id, at, rich, plain) of items (item_id, text); a shorter item is one window of its own width."""
-    tokens = items.select("item_id", template(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
+    """(hash, width, item_id, at, rich, plain) of items (item_id, text) that are not short; one below WINDOW tokens is one window of its own width."""
+    tokens = items.select("item_id", template(F.col("text")).alias("tokens")).where((F.size("tokens") > 0) & ~_is_short(F.col("tokens")))
     tokens = tokens.withColumn("width", F.least(F.size("tokens"), F.lit(WINDOW)))
     starts = F.sequence(F.lit(1), F.size("tokens") - F.col("width") + 1)
     found = F.transform(
@@ -61,11 +110,11 @@ def item_windows(items: DataFrame) -> DataFrame:
         lambda i: F.struct(
             F.xxhash64(F.slice("tokens", i, F.col("width"))).alias("hash"),
             (i - 1).alias("at"),
-            F.size(F.filter(F.slice("tokens", i, F.col("width")), lambda t: ~_is_slot(t))).alias("words"),
+            _words(F.slice("tokens", i, F.col("width"))).alias("words"),
         ),
     )
     rows = tokens.select("item_id", "width", F.explode(found).alias("w"))
-    rich = F.col("w.words") >= F.least(F.col("width"), F.lit(LITERAL))
+    rich = F.col("w.words") >= LITERAL
     plain = F.col("w.words") == F.col("width")
     return rows.select(F.col("w.hash").alias("hash"), "width", "item_id", F.col("w.at").alias("at"), rich.alias("rich"), plain.alias("plain"))
 
@@ -93,8 +142,16 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         windows = tokens.select("doc_id", "text_hash", F.posexplode(_windows(F.col("tokens"), width)).alias("place", "hash"))
         found = windows.withColumn("width", F.lit(width)).join(known, ["hash", "width"])
         hits = found if hits is None else hits.union(found)
-    if hits is None:
+    lines = _line_matches(docs, items)
+    if hits is None and lines is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long, first_token int, n_slots int, same_values boolean")
+    both = lines if hits is None else _window_matches(docs, items, hits)
+    both = both if hits is None or lines is None else both.unionByName(lines)
+    return _proven(both)
+
+
+def _window_matches(docs: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
+    """The alignments of matching windows, with the values on both sides."""
     runs = hits.groupBy("doc_id", "text_hash", "item_id", "width", (F.col("place") - F.col("at")).alias("shift")).agg(
         F.collect_set("at").alias("starts"), F.collect_set(F.when(F.col("rich"), F.col("at"))).alias("rich_starts"), F.max("plain").alias("plain")
     )
@@ -103,7 +160,12 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     in_docs = runs.join(in_docs, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h")))
     in_docs = in_docs.select("doc_id", "item_id", "width", "shift", "starts", "rich_starts", "plain", template(F.col("text"), values=True).alias("there"))
     in_items = items.select(F.col("item_id").alias("i"), template(F.col("text"), values=True).alias("here"))
-    both = in_docs.join(in_items, F.col("item_id") == F.col("i"))
+    both = in_docs.join(in_items, F.col("item_id") == F.col("i")).drop("i")
+    return both.withColumn("first", F.col("shift") + F.array_min("starts"))
+
+
+def _proven(both: DataFrame) -> DataFrame:
+    """What holds of alignments (doc_id, item_id, width, shift, starts, rich_starts, plain, here, there, first), by document and item."""
     covered = F.filter(
         F.sequence(F.lit(0), F.size("here") - 1), lambda k: F.exists("starts", lambda s: (s <= k) & (k < s + F.col("width")))
     )
@@ -113,7 +175,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.transform(covered, lambda k: F.struct(k.alias("k"), F.get("here", k).alias("x"), of(k).alias("of"), F.get("there", k + F.col("shift")).alias("y"))),
         lambda p: _is_slot(p["x"]),
     )
-    both = both.select("doc_id", "item_id", "width", "starts", "shift", "rich_starts", "plain", places.alias("places"))
+    both = both.select("doc_id", "item_id", "width", "starts", "first", "rich_starts", "plain", places.alias("places"))
     both = both.withColumn("slots", F.array_distinct(F.transform("places", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))))
     both = both.withColumn("equal", F.forall("slots", lambda p: p["x"] == p["y"]))
     clashes = F.filter("places", lambda p: F.exists("places", lambda q: (p["x"] == q["x"]) & (p["of"] == q["of"]) & (p["y"] != q["y"])))
@@ -123,7 +185,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     proven = both.where(F.when(F.size("rich_starts") > 0, F.col("plain") | (F.size("clashes") == 0) | apart).otherwise(F.col("equal")))
     return proven.groupBy("doc_id", "item_id").agg(
         F.sum(F.size("starts")).alias("n_windows"),
-        F.min(F.col("shift") + F.array_min("starts")).cast("int").alias("first_token"),
+        F.min("first").cast("int").alias("first_token"),
         F.max(F.size("slots")).alias("n_slots"),
         F.max("equal").alias("same_values"),
     )

@@ -493,6 +493,19 @@ def test_equal_numbers_may_stand_for_different_ones(spark):
     assert [r.doc_id for r in contaminated(rows(spark, "you give 3 apples here and 4 apples there", "you give 3 apples here and 3 apples there"), twice).collect()] == [1]
 
 
+def test_short_items_match_whole_lines_only(spark):
+    short = {1: "yes", 2: "the answer", 3: "Add 3 and 5", 4: "7 8", 5: "true\nfalse", 6: "Give 3 apples, 3 apples"}
+    docs = [
+        "well yes that is the answer to it", "First line here.\n  Yes! \n\nlast", "Exercises\r\n * Add 12 and 40.\nmore", "we add 12 and 40 here", "7 8", "9 8",
+        "x\ntrue\n\n false\ny", "true\nx\nfalse", "Give 4 apples, 5 apples", "Give 4 apples, 4 apples", "a\nADD 3 and 5\nthe answer\nThe answer.", "", None,
+    ]
+    items = spark.createDataFrame([*short.items(), (7, ITEM)], "item_id long, text string")
+    expected = {(1, 1): (1, 3, 0, True), (2, 3): (1, 1, 2, False), (4, 4): (1, 0, 2, True), (6, 5): (1, 1, 0, True), (9, 6): (1, 0, 1, False), (10, 3): (1, 1, 2, True), (10, 2): (2, 5, 0, True)}
+    for of in (items, items.where("item_id < 7")):
+        got = contaminated(rows(spark, *docs), of).collect()
+        assert {(r.doc_id, r.item_id): (r.n_windows, r.first_token, r.n_slots, r.same_values) for r in got} == expected
+
+
 def test_passages_of_the_test_benchmark_are_found(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     words = lambda t: re.findall(r"\w+", t.lower())
