@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 SLOT_DAYS = 30
 _SLOT = SLOT_DAYS * 86_400
-PATH_PARTS = 8  # depth to which list entries may name paths
 
 
 def url_host(url: Column) -> Column:
@@ -28,15 +27,15 @@ def _path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
 
 
-def url_patterns(url: Column) -> Column:
-    """All patterns that can match the URL: its host, the domains above it, and its host with leading path parts."""
+def url_patterns(url: Column, depth: int | None = None) -> Column:
+    """All patterns that can match the URL: its host, the domains above it, and its host with leading path parts, ``depth`` of them at most."""
     host = url_host(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
     domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("*."), F.array_join(F.slice(labels, i, n), ".")))
     parts = F.filter(F.split(_path(url), "/"), lambda p: p != "")
-    depth = F.least(F.size(parts), F.lit(PATH_PARTS))
-    paths = F.when(depth > 0, F.transform(F.sequence(F.lit(1), depth), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
+    deepest = F.size(parts) if depth is None else F.least(F.size(parts), F.lit(depth))
+    paths = F.when(deepest > 0, F.transform(F.sequence(F.lit(1), deepest), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
     found = F.concat(F.array(host), domains, F.coalesce(paths, F.array().cast("array<string>")))
     return F.when(host != "", found).otherwise(F.array().cast("array<string>"))
 
@@ -67,13 +66,14 @@ def url_verdicts(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """
     captures = captures.select("page_id", "url", "fetched_at").distinct()
     last = captures.agg(F.max(F.unix_timestamp("fetched_at"))).first()[0]
+    depth = entries.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0  # no entry names more path parts
     spans = intervals(entries).where(F.unix_timestamp("since") <= F.lit(last))
     end = F.least(F.coalesce(F.unix_timestamp("until"), F.lit(last)), F.lit(last))
     slots = F.sequence(_slot(F.unix_timestamp("since")), _slot(end))
     spans = spans.select("list", "pattern", "action", "since", "until", F.explode(slots).alias("slot"))
 
     keys = captures.where("fetched_at is not null").select(
-        "page_id", "url", "fetched_at", _slot(F.unix_timestamp("fetched_at")).alias("slot"), F.explode(url_patterns(F.col("url"))).alias("pattern")
+        "page_id", "url", "fetched_at", _slot(F.unix_timestamp("fetched_at")).alias("slot"), F.explode(url_patterns(F.col("url"), depth)).alias("pattern")
     )
     active = (F.col("since") <= F.col("fetched_at")) & (F.col("until").isNull() | (F.col("fetched_at") < F.col("until")))
     hits = keys.join(spans, ["pattern", "slot"]).where(active)

@@ -457,6 +457,14 @@ def test_url_verdicts_follow_the_lists_history(spark):
     assert url_verdicts(frame, entries.limit(0)).where("verdict <> 'none'").count() == 0
 
 
+def test_url_verdicts_of_deep_paths(spark):
+    deep = "/".join(f"p{k}" for k in range(12))
+    entries = spark.createDataFrame([("a", f"x.com/{deep}", "block"), ("b", "x.com/p0", "allow")], "list string, pattern string, action string").withColumn("since", F.lit("2024-01-01").cast("timestamp"))
+    urls = {f"http://x.com/{deep}": "block", f"http://x.com/{deep}/more?q": "block", f"http://x.com/{deep[:-4]}": "allow", "http://x.com/": "none"}
+    captures = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string").withColumn("fetched_at", F.lit("2024-02-01").cast("timestamp"))
+    assert {r.url: r.verdict for r in url_verdicts(captures, entries).collect()} == urls
+
+
 # Decontamination
 
 
