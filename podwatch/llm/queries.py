@@ -13,9 +13,11 @@ from podwatch.llm.fingerprints import fingerprints
 from podwatch.llm.line_dedup import line_dedup
 from podwatch.llm.near_dedup import near_duplicates
 from podwatch.llm.packing import packed
+from podwatch.llm.periodic_runs import periodic_runs
 from podwatch.llm.quality import quality_scores
 from podwatch.llm.token_counts import token_counts
 from podwatch.llm.url_filters import url_host, url_verdicts
+from podwatch.llm.whitening import whitened
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,6 +133,48 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_columns(packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def repeated_texts(docs: DataFrame) -> DataFrame:
+    """The documents; in those whose crc32(doc_id) ends in 0 the words from some place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = docs.where((h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    chosen = chosen.select("doc_id", words.alias("w"), F.floor(h / 10).alias("g")).withColumn("n", F.size("w"))
+    chosen = chosen.withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    chosen = chosen.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    a, p = F.col("a"), F.col("p")
+    places = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+    text = F.array_join(F.transform(places, lambda i: F.get("w", i)), " ")
+    others = docs.where(~F.coalesce((h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return others.select("doc_id", "text").union(chosen.select("doc_id", text.alias("text")))
+
+
+def op12_columns(found: DataFrame) -> DataFrame:
+    # Greatest length / period, compared exactly; then the smallest start, then the smallest period.
+    def before(x: F.Column, y: F.Column) -> F.Column:
+        far = x["length"] * y["period"] - y["length"] * x["period"]
+        return F.when(far != 0, far > 0).when(x["start"] != y["start"], x["start"] < y["start"]).otherwise(x["period"] < y["period"])
+
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda x, y: F.when(before(y, x), y).otherwise(x))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_columns(periodic_runs(repeated_texts(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -144,5 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filters,
         op9_decontaminate,
         op10_packing,
+        op11_whitening,
+        op12_periodic_runs,
     )
 }
