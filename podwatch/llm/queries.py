@@ -11,6 +11,7 @@ from podwatch.llm import chat, warc
 from podwatch.llm.decontaminate import contaminated
 from podwatch.llm.fingerprints import fingerprints
 from podwatch.llm.line_dedup import line_dedup
+from podwatch.llm.mixing import mix
 from podwatch.llm.near_dedup import near_duplicates
 from podwatch.llm.packing import packed
 from podwatch.llm.periodic_runs import periodic_runs
@@ -175,6 +176,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_columns(periodic_runs(repeated_texts(table(spark, sf_dir, "documents"))))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda total, d: total + d["words"])
+    found = mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -190,5 +197,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_packing,
         op11_whitening,
         op12_periodic_runs,
+        op13_mixing,
     )
 }
