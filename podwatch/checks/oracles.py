@@ -11,7 +11,7 @@ from podwatch.checks import fixtures as fx
 from podwatch.schemas import METADATA_WIDTHS
 
 # By value, so that a wrong change on the Spark side is seen.
-PART_MESSAGES, ORDER_SLICE_DIGITS = 100, 2
+PART_MESSAGES = 100
 
 NOW = f"TIMESTAMP '{fx.AS_OF}'"
 
@@ -121,10 +121,9 @@ def _rendered(source: str) -> str:
 def _texts(alerts: str) -> str:
     return f"""
         SELECT timestamp, CAST((rn - 1) // {PART_MESSAGES} AS BIGINT) AS part,
-               string_agg(message, chr(10) ORDER BY rn) AS text
-        FROM (SELECT timestamp, message,
-                     row_number() OVER (PARTITION BY timestamp
-                                        ORDER BY rule_order, substr(md5(token), 1, {ORDER_SLICE_DIGITS}), token) AS rn
+               CAST((any_value(n) - 1) // {PART_MESSAGES} + 1 AS BIGINT) AS parts, string_agg(message, chr(10) ORDER BY rn) AS text
+        FROM (SELECT timestamp, message, count(*) OVER (PARTITION BY timestamp) AS n,
+                     row_number() OVER (PARTITION BY timestamp ORDER BY rule_order, token) AS rn
               FROM {alerts})
         GROUP BY timestamp, (rn - 1) // {PART_MESSAGES}"""
 
@@ -322,7 +321,7 @@ ORACLES: dict[str, str] = {
     "N1_poll_text": _with(
         "swaps alert_log token_metadata",
         {**ALERTS, "texts": _texts("alerts")},
-        f"""SELECT p.timestamp, coalesce(part, 0) AS part, coalesce(text, '{fv.NOTHING_TO_REPORT}') AS text,
+        f"""SELECT p.timestamp, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts, coalesce(text, '{fv.NOTHING_TO_REPORT}') AS text,
                    coalesce(text, '{fv.NOTHING_TO_REPORT}') = '{fv.NOTHING_TO_REPORT}' AS quiet
             FROM (SELECT {NOW} AS timestamp) p LEFT JOIN texts USING (timestamp)""",
     ),
@@ -336,7 +335,7 @@ ORACLES: dict[str, str] = {
             "alerts": _rendered("kept"),
             "texts": _texts("alerts"),
         },
-        f"""SELECT p.timestamp, coalesce(part, 0) AS part, coalesce(text, '{fv.NOTHING_TO_REPORT}') AS text
+        f"""SELECT p.timestamp, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts, coalesce(text, '{fv.NOTHING_TO_REPORT}') AS text
             FROM (SELECT unnest(generate_series(TIMESTAMP '{fx.REPLAY_SINCE}', TIMESTAMP '{fx.REPLAY_UNTIL}',
                                                 INTERVAL {fv.POLL_MINUTES} MINUTE)) AS timestamp) p
             LEFT JOIN texts USING (timestamp)""",

@@ -58,6 +58,7 @@ def whole_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.token_metadata(spark, sf_dir),
         fx.responses(spark, sf_dir),
         fx.AS_OF,
+        keep_known=False,
     )
     return alerts.alert_log_rows(found)
 
@@ -98,7 +99,11 @@ def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whale_poll.metadata_with_responses(
-        _candidates(spark, sf_dir), fx.token_metadata(spark, sf_dir), fx.responses(spark, sf_dir), fx.AS_OF
+        _candidates(spark, sf_dir),
+        fx.token_metadata(spark, sf_dir),
+        fx.responses(spark, sf_dir),
+        fx.AS_OF,
+        keep_known=False,
     )
 
 

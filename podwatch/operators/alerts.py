@@ -12,10 +12,10 @@ from podwatch import fixed_values as fv
 from podwatch.functions.text import fill_template, stripped
 from podwatch.functions.timing import instant, kind_of, minutes
 from podwatch.rules import RULES, Rule, cooldown_minutes, rule_order, rule_text
+from podwatch.session import settled
 
-# Messages in one part of a poll text, and slices of the token order numbered on their own.
+# Messages in one part of a poll text.
 PART_MESSAGES = 100
-ORDER_SLICE_DIGITS = 2
 
 
 def cooled_down(now: Column, last: Column, label: Column, rules: Sequence[Rule] = RULES) -> Column:
@@ -101,36 +101,43 @@ def outbox_rows(rendered: DataFrame) -> DataFrame:
     return rendered.select("timestamp", "rule_order", "token", "time_interval", "message")
 
 
+def message_places(outbox: DataFrame) -> DataFrame:
+    """(timestamp, rule_order, token, time_interval, place, messages) of every message: its place in its poll, and how many there are.
+
+    Places go by rule, then by token, from 0. The narrow keys are sorted over all tasks, each task numbers
+    its stretch, and counts per task and poll say where a stretch begins; so no task sees a whole poll that is large. The sorted keys
+    are checkpointed.
+    """
+    keys = outbox.select("timestamp", "rule_order", "token", "time_interval")
+    sorted_keys = keys.orderBy("timestamp", "rule_order", "token", "time_interval").withColumn("at", F.monotonically_increasing_id())
+    numbered = settled(sorted_keys.withColumn("task", F.shiftright("at", 33)))
+    # A row for each task and poll that meet: as many as there are tasks and polls, no more.
+    stretches = numbered.groupBy("timestamp", "task").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    poll = Window.partitionBy("timestamp")
+    stretches = stretches.select(
+        F.col("timestamp").alias("of"), F.col("task").alias("by"), "first",
+        (F.sum("n").over(poll.orderBy("task")) - F.col("n")).alias("before"), F.sum("n").over(poll).alias("messages"),
+    )
+    found = numbered.join(stretches, (F.col("timestamp") == F.col("of")) & (F.col("task") == F.col("by")))
+    return found.select(*keys.columns, (F.col("before") + F.col("at") - F.col("first")).alias("place"), "messages")
+
+
 def poll_text_parts(outbox: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
-    """The text of each poll in parts of at most ``part_messages`` messages.
+    """The text of each poll in parts of at most ``part_messages`` messages: (timestamp, part, parts, text).
 
-    Parts joined by a line end, in order, are the whole text; a poll that fits has the single part 0.
-    Messages go by rule, then by a digest slice of the token, then by token. Counts per slice give
-    each slice its starting number, so numbering a large poll needs no task that sees all of it.
-    The outbox is read twice: give a written or checkpointed one.
+    Parts joined by a line end, in order, are the whole text; a poll that fits has the single part 0 of 1.
+    Messages go by rule, then by token. They join the numbered keys and meet a part at a time. The outbox is read
+    twice: give a written or checkpointed one.
     """
-    keys = ["timestamp", "rule_order", "slice"]
-    slices = F.substring(F.md5(F.col("token")), 1, ORDER_SLICE_DIGITS)
-    sliced = outbox.withColumn("slice", slices)
-    order_of_slices = Window.partitionBy("timestamp").orderBy("rule_order", "slice")
-    starts = (
-        sliced.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("start", F.sum("n").over(order_of_slices) - F.col("n"))
-        .drop("n")
-    )
-    inside = Window.partitionBy(*keys).orderBy("token")
-    numbered = sliced.withColumn("rank", F.row_number().over(inside)).join(starts, keys)
-    place = F.col("start") + F.col("rank") - 1
+    key = ["timestamp", "rule_order", "token", "time_interval"]
+    placed = message_places(outbox).join(outbox.select(*key, "message"), key)
     joined = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("place", "message"))), lambda m: m["message"]),
         fv.MESSAGE_SEPARATOR,
     )
-    return (
-        numbered.select("timestamp", "message", place.alias("place"))
-        .groupBy("timestamp", F.floor(F.col("place") / part_messages).cast("bigint").alias("part"))
-        .agg(joined.alias("text"))
-    )
+    parts = F.ceil(F.col("messages") / part_messages).cast("bigint")
+    part = F.floor(F.col("place") / part_messages).cast("bigint")
+    return placed.groupBy("timestamp", part.alias("part"), parts.alias("parts")).agg(joined.alias("text"))
 
 
 def poll_texts(polls: DataFrame, outbox: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
@@ -138,6 +145,7 @@ def poll_texts(polls: DataFrame, outbox: DataFrame, part_messages: int = PART_ME
     return polls.join(poll_text_parts(outbox, part_messages), "timestamp", "left").select(
         "timestamp",
         F.coalesce("part", F.lit(0).cast("bigint")).alias("part"),
+        F.coalesce("parts", F.lit(1).cast("bigint")).alias("parts"),
         F.coalesce("text", F.lit(fv.NOTHING_TO_REPORT)).alias("text"),
     )
 

@@ -1,39 +1,70 @@
-"""Catalog work: create, find, describe and list tables, and replace a table's data as a whole."""
+"""Catalog work: create, find, describe and list tables, append to them, and add partitions once."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podwatch.schemas import ALERT_LOG, BTC_HISTORIC_DDL, OUTBOX, TOKEN_METADATA_DDL, TableNames
+from podwatch.schemas import ALERT_LOG, BTC_HISTORIC_DDL, OUTBOX, POLL_PARTITION, POLL_TEXTS, TableNames
 
 LISTING_SCHEMA = "table_name string, column_name string, data_type string, nullable boolean"
 
 
-def _create(spark: SparkSession, name: str, columns: str, folder: str | None) -> None:
+def _create(spark: SparkSession, name: str, columns: str, folder: str | None, partitions: str = "") -> None:
     location = f" LOCATION '{folder}'" if folder else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{location}")
-
-
-def create_token_metadata_table(spark: SparkSession, name: str, folder: str | None = None) -> None:
-    """Creates the metadata table, with its defaults, unless it is there."""
-    _create(spark, name, TOKEN_METADATA_DDL, folder)
-
-
-def create_tables(spark: SparkSession, names: TableNames, root: str | None = None) -> None:
-    """Creates what the jobs write to. Given a root folder, each table lies in a folder under it."""
-    for table, columns in (
-        (names.alert_log, ALERT_LOG),
-        (names.outbox, OUTBOX),
-        (names.btc_historic, BTC_HISTORIC_DDL),
-        (names.token_metadata, TOKEN_METADATA_DDL),
+    parted = f" PARTITIONED BY ({partitions})" if partitions else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parted}{location}")
+
+
+def create_poll_tables(spark: SparkSession, names: TableNames, root: str | None = None) -> None:
+    """Creates what the jobs append to. Given a root folder, each table lies in a folder under it."""
+    by_poll = ", ".join(f"{c} STRING" for c in POLL_PARTITION)
+    for table, columns, partitions in (
+        (names.alert_log, ALERT_LOG, by_poll),
+        (names.outbox, OUTBOX, by_poll),
+        (names.poll_texts, POLL_TEXTS, by_poll),
+        (names.btc_historic, BTC_HISTORIC_DDL, ""),
     ):
         database = table.rpartition(".")[0]
         if database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        _create(spark, table, columns, f"{root}/{table.rpartition('.')[2]}/first" if root else None)
+        _create(spark, table, columns, f"{root}/{table.rpartition('.')[2]}/first" if root else None, partitions)
+
+
+def _spec(values: Mapping[str, object]) -> str:
+    return ", ".join(f"{c} = '{v}'" if isinstance(v, str) else f"{c} = {v}" for c, v in values.items())
+
+
+def partition_values(spark: SparkSession, name: str) -> list[dict[str, str]]:
+    """The partitions of a table, by name only."""
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return [dict(part.split("=", 1) for part in row[0].split("/")) for row in rows]
+
+
+def add_once(df: DataFrame, name: str, values: Mapping[str, object]) -> bool:
+    """Makes ``df`` the partition ``values`` of a table unless that partition exists; returns whether it did.
+
+    The rows are written to a folder of their own first. The catalog then adds the partition or refuses, so
+    of any number of writers, retries and stragglers exactly one is seen, and never a part of it. What a loser wrote stays
+    unseen in its folder. An empty ``df`` makes an empty partition.
+    """
+    spark = df.sparkSession
+    columns = [c for c in spark.table(name).columns if c not in values]
+    where = "/".join(f"{c}={v}" for c, v in values.items())
+    folder = f"{table_location(spark, name).rstrip('/')}/{where}/{uuid.uuid4().hex}"
+    df.select(*columns).write.parquet(folder)
+    try:
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({_spec(values)}) LOCATION '{folder}'")
+    except AnalysisException as refused:
+        if refused.getCondition() != "PARTITIONS_ALREADY_EXIST":
+            raise
+        return False
+    spark.catalog.refreshTable(name)
+    return True
 
 
 def table_exists(spark: SparkSession, database: str, name: str) -> tuple[bool, str | None]:
@@ -76,19 +107,3 @@ def append(df: DataFrame, name: str) -> None:
 def table_location(spark: SparkSession, name: str) -> str:
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     return detail.where(F.col("col_name") == "Location").first()["data_type"]
-
-
-def replace_table_data(spark: SparkSession, name: str, df: DataFrame) -> str:
-    """Writes ``df`` to a new folder beside the table's and then points the table there.
-
-    The data being read is never written over, so ``df`` may come from the table itself, a lost
-    executor costs only a retry, and a job that dies leaves the table as it was. The earlier folder
-    stays for its readers. Returns the new folder.
-    """
-    parent = table_location(spark, name).rstrip("/").rpartition("/")[0]
-    folder = f"{parent}/version-{uuid.uuid4().hex}"
-    columns = spark.table(name).columns
-    df.select(*columns).write.mode("error").parquet(folder)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-    spark.catalog.refreshTable(name)
-    return folder

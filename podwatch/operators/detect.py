@@ -39,10 +39,14 @@ def swap_legs(swaps: DataFrame) -> DataFrame:
 
 
 def recent_tokens(
-    swaps: DataFrame, as_of: datetime | str, minutes: int = fv.RECENT_MINUTES, date_column: str | None = None
+    swaps: DataFrame,
+    as_of: datetime | str,
+    minutes: int = fv.RECENT_MINUTES,
+    date_column: str | None = None,
+    date_zone: str = "UTC",
 ) -> DataFrame:
     """Distinct tokens on either side of a swap in the last minutes, whatever the venue."""
-    legs = swap_legs(swaps_since(swaps, as_of, minutes, date_column))
+    legs = swap_legs(swaps_since(swaps, as_of, minutes, date_column, date_zone))
     return legs.select(F.col("token").alias("token_address")).distinct()
 
 
@@ -51,14 +55,19 @@ def _traders(side: str, seen: Column) -> Column:
 
 
 def trader_counts(
-    swaps: DataFrame, tokens: DataFrame, as_of: datetime | str, minutes: int, date_column: str | None = None
+    swaps: DataFrame,
+    tokens: DataFrame,
+    as_of: datetime | str,
+    minutes: int,
+    date_column: str | None = None,
+    date_zone: str = "UTC",
 ) -> DataFrame:
     """Distinct buyers and sellers of the given tokens in one trailing window.
 
     Repeats of a trader are dropped before the shuffle, and rows meet the token list only once they
     are down to one per token, so a token with a large share of the swaps stays spread out.
     """
-    legs = swap_legs(swaps_since(swaps, as_of, minutes, date_column)).where("counted")
+    legs = swap_legs(swaps_since(swaps, as_of, minutes, date_column, date_zone)).where("counted")
     traders = legs.select("token", "side", "user_address").distinct()
     per_token = traders.groupBy(F.col("token").alias("token_address")).agg(
         _traders("buy", F.lit(True)).alias("num_users_bought"),
@@ -78,6 +87,7 @@ def windowed_counts(
     rules: Sequence[Rule] = RULES,
     recent_minutes: int = fv.RECENT_MINUTES,
     date_column: str | None = None,
+    date_zone: str = "UTC",
 ) -> DataFrame:
     """Counts of every rule for every recent token, one row per (token, interval), from a single scan.
 
@@ -86,7 +96,7 @@ def windowed_counts(
     reduce on the map side; no task ever holds all the rows of a token.
     """
     longest = max([recent_minutes, *(r.length_minutes for r in rules)])
-    recent = swaps_since(swaps, as_of, longest, date_column)
+    recent = swaps_since(swaps, as_of, longest, date_column, date_zone)
     start = {m: instant_like(as_of, swaps, "timestamp", m) for m in {recent_minutes, *(r.length_minutes for r in rules)}}
 
     latest = (
@@ -138,9 +148,10 @@ def threshold_counts(
     rules: Sequence[Rule] = RULES,
     recent_minutes: int = fv.RECENT_MINUTES,
     date_column: str | None = None,
+    date_zone: str = "UTC",
 ) -> DataFrame:
     """Counts of one poll that are over their rule's threshold, with the poll's time."""
-    counts = windowed_counts(swaps, as_of, rules, recent_minutes, date_column).where(over_threshold())
+    counts = windowed_counts(swaps, as_of, rules, recent_minutes, date_column, date_zone).where(over_threshold())
     return counts.drop("threshold").withColumn("timestamp", instant_like(as_of, swaps))
 
 
@@ -151,9 +162,10 @@ def detect_candidates(
     rules: Sequence[Rule] = RULES,
     recent_minutes: int = fv.RECENT_MINUTES,
     date_column: str | None = None,
+    date_zone: str = "UTC",
 ) -> DataFrame:
     """Candidate alerts of one poll."""
-    counts = threshold_counts(swaps, as_of, rules, recent_minutes, date_column)
+    counts = threshold_counts(swaps, as_of, rules, recent_minutes, date_column, date_zone)
     return with_last_alert(counts, alert_log).select(
         "timestamp",
         "token",

@@ -114,6 +114,7 @@ def replay_counts(
     recent_minutes: int = fv.RECENT_MINUTES,
     poll_minutes: int = fv.POLL_MINUTES,
     date_column: str | None = None,
+    date_zone: str = "UTC",
 ) -> DataFrame:
     """Candidates of every poll up to ``until``: (timestamp, token, time_interval, counts).
 
@@ -124,7 +125,7 @@ def replay_counts(
     kind = kind_of(swaps, "timestamp")
     last = instant(until, kind)
     longest = max([recent_minutes, *(r.length_minutes for r in rules)])
-    read = swaps_until(swaps, until, since, longest, date_column)
+    read = swaps_until(swaps, until, since, longest, date_column, date_zone)
     changes = count_changes(trader_ticks(read, poll_minutes), rules)
     totals = running_counts(changes, rules, recent_minutes, poll_minutes).where(F.col("tick") <= last)
     if since is not None:

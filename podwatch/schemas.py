@@ -14,6 +14,10 @@ ALERT_LOG = (
 )
 
 OUTBOX = "timestamp timestamp, rule_order int, token string, time_interval string, message string"
+POLL_TEXTS = "timestamp timestamp, part bigint, parts bigint, text string"
+
+# Where a row was written: the UTC day of its poll and the poll, or the micro-batch of a stream. No row may be younger than its day.
+POLL_PARTITION = ("day", "poll")
 
 TOKEN_METADATA_COLUMNS = ("address", "symbol", "name", "decimals", "blockchain", "inserted_at")
 TOKEN_METADATA_DDL = (
@@ -45,3 +49,4 @@ class TableNames:
     token_metadata: str = "bronze.token_metadata"
     outbox: str = "bronze.whale_outbox"
     btc_historic: str = "bronze.btc_historic"
+    poll_texts: str = "bronze.whale_poll_texts"

@@ -2,16 +2,132 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from podwatch import fixed_values as fv
 from podwatch.functions.timing import minutes
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule
 
+# Spark's windows hold their start and not their end, polls the other way round.
+JUST_BEFORE = "INTERVAL '0.000001' SECOND"
+MINUTE_US = 60_000_000
+
+
+def instant_before(tick: int) -> datetime:
+    """The event time of a poll given in microseconds."""
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=tick - 1)
+
+
+def _count_columns(rules: Sequence[Rule]) -> list[str]:
+    return [f"{side}_{i}" for i in range(len(rules)) for side in ("buy", "sell")]
+
+
+class TraderChanges(StatefulProcessor):
+    """What a trader of a token changes in its counts, from the polls at which the trader swapped.
+
+    State is the last such poll. At a poll the trader comes into every window that no longer held them, and
+    is announced to leave it one length later; if they were still inside, the leaving announced before is taken back.
+    A row is the changes at one poll to come, so nothing ever has to be emitted by a timer; timers only end the state
+    once the longest window has passed.
+    """
+
+    def __init__(self, lengths: Sequence[int], recent_us: int, poll_us: int, columns: Sequence[str]) -> None:
+        self.lengths, self.recent_us, self.poll_us = tuple(lengths), recent_us, poll_us
+        self.row = Row("at", "token", "recent", *columns)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last_poll = handle.getValueState("last_poll", "tick bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        token, side, _ = key
+        offset = 0 if side == "buy" else 1
+        changes: dict[int, list[int]] = {}
+
+        def at(tick: int) -> list[int]:
+            return changes.setdefault(tick, [0] * (2 * len(self.lengths)))
+
+        ticks = sorted(row.tick for row in rows)
+        for tick in ticks:
+            for later in range(0, self.recent_us, self.poll_us):
+                at(tick + later)
+        if side is not None:
+            known = self.last_poll.get()
+            last = known[0] if known else None
+            for tick in ticks:
+                for i, length in enumerate(self.lengths):
+                    if last is not None and tick - last < length:
+                        at(last + length)[2 * i + offset] += 1
+                    else:
+                        at(tick)[2 * i + offset] += 1
+                    at(tick + length)[2 * i + offset] -= 1
+                last = tick
+            self.last_poll.update((last,))
+            if not known:
+                self.handle.registerTimer((last + max(self.lengths)) // 1000)
+        recent = {tick + later for tick in ticks for later in range(0, self.recent_us, self.poll_us)}
+        for tick, deltas in changes.items():
+            yield self.row(instant_before(tick), token, tick in recent, *deltas)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
+        known = self.last_poll.get()
+        over = known[0] + max(self.lengths) if known else 0
+        if known and over // 1000 > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(over // 1000)
+        else:
+            self.last_poll.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+class RunningCounts(StatefulProcessor):
+    """Counts of a token at every poll at which it is recent; the state goes when nobody is inside any window."""
+
+    def __init__(self, columns: Sequence[str]) -> None:
+        self.columns = tuple(columns)
+        self.row = Row("at", "token", "tick", *columns)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.inside = handle.getValueState("inside", ", ".join(f"{c} bigint" for c in self.columns))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        known = self.inside.get()
+        now = list(known) if known else [0] * len(self.columns)
+        for row in sorted(rows, key=lambda r: r.tick):
+            now = [before + row[c] for before, c in zip(now, self.columns, strict=True)]
+            if row.recent:
+                yield self.row(instant_before(row.tick), key[0], row.tick, *now)
+        if any(now):
+            self.inside.update(tuple(now))
+        elif known:
+            self.inside.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def per_rule(rules: Sequence[Rule]) -> Column:
+    """The counts of each rule as an array of rows."""
+    return F.array(
+        *(
+            F.struct(
+                F.lit(r.label).alias("time_interval"),
+                F.col(f"buy_{i}").alias("num_users_bought"),
+                F.col(f"sell_{i}").alias("num_users_sold"),
+                F.lit(r.threshold).alias("threshold"),
+            )
+            for i, r in enumerate(rules)
+        )
+    )
+
 
 def stream_candidates(
     swaps: DataFrame,
@@ -22,48 +138,40 @@ def stream_candidates(
 ) -> DataFrame:
     """Candidates (timestamp, token, time_interval, counts) of every closed poll, for append output.
 
-    Three chained aggregations: a trader's swaps inside one poll period become one row; of these, the
-    latest in the longest window; then counts per token. All windows of a poll end together, so the
-    latest period of a trader answers every rule, and the longest window is the only one kept. Swaps
-    later than ``lateness`` behind the newest are dropped.
+    Four steps: a trader's swaps inside one poll period become one row; each trader's state, their last poll,
+    turns these into changes at polls; changes add up per token and poll; a token's state, its counts, adds them to those
+    before. A trader is one small state row however long the windows are, and every step but the last
+    is spread over traders. Needs the RocksDB state store. Swaps later than ``lateness`` behind the newest are dropped.
 
-    Windows of Spark hold their start but not their end, polls the other way round; event times are
-    therefore moved back by a microsecond. Watermarks need an instant, so timestamps come out as one.
+    Watermarks need an instant, so timestamps come out as one.
     """
-    longest = max([recent_minutes, *(r.length_minutes for r in rules)])
-    event_time = F.col("timestamp").cast("timestamp") - F.expr("INTERVAL '0.000001' SECOND")
+    if any(r.length_minutes % poll_minutes for r in rules) or recent_minutes % poll_minutes:
+        raise ValueError("window lengths must be multiples of the poll period")
+    columns = _count_columns(rules)
+    event_time = F.col("timestamp").cast("timestamp") - F.expr(JUST_BEFORE)
     legs = swap_legs(swaps.withColumn("timestamp", event_time).withWatermark("timestamp", lateness))
-    traders = legs.groupBy(
-        F.window("timestamp", f"{poll_minutes} minutes").alias("period"), "token", "side", "user_address", "counted"
-    ).agg(F.count(F.lit(1)).alias("swaps"))
-
-    polls = F.window(F.window_time("period"), f"{longest} minutes", f"{poll_minutes} minutes").alias("poll")
-    latest = traders.groupBy(polls, "token", "side", "user_address").agg(
-        F.max("period.end").alias("any_tick"),
-        F.max(F.when(F.col("counted"), F.col("period.end"))).alias("counted_tick"),
+    period = f"{poll_minutes} minutes"
+    ticks = legs.groupBy(F.window("timestamp", period).alias("period"), "token", "side", "user_address").agg(F.count(F.lit(1)).alias("swaps"))
+    ticks = ticks.select("token", "side", "user_address", F.window_time("period").alias("at"), F.unix_micros("period.end").alias("tick"))
+
+    kinds = ", ".join(f"{c} bigint" for c in columns)
+    changes = ticks.groupBy("token", "side", "user_address").transformWithState(
+        statefulProcessor=TraderChanges([r.length_minutes * MINUTE_US for r in rules], recent_minutes * MINUTE_US, poll_minutes * MINUTE_US, columns),
+        outputStructType=f"at timestamp, token string, recent boolean, {kinds}",
+        outputMode="Append",
+        timeMode="EventTime",
+        eventTimeColumnName="at",
     )
-    tick = F.col("poll.end")
-    counts = []
-    for i, rule in enumerate(rules):
-        inside = F.col("counted_tick") > tick - minutes(rule.length_minutes)
-        for side in ("buy", "sell"):
-            counts.append(F.count_if((F.col("side") == side) & inside).alias(f"{side}_{i}"))
-    per_token = latest.groupBy("poll", "token").agg(F.max("any_tick").alias("last_tick"), *counts)
-    recent = F.col("last_tick") > tick - minutes(recent_minutes)
-    per_rule = F.array(
-        *(
-            F.struct(
-                F.lit(r.label).alias("time_interval"),
-                F.col(f"buy_{i}").alias("num_users_bought"),
-                F.col(f"sell_{i}").alias("num_users_sold"),
-                F.lit(r.threshold).alias("threshold"),
-            )
-            for i, r in enumerate(rules)
-        )
+    polls = changes.groupBy(F.window("at", period).alias("poll"), "token").agg(
+        F.max("recent").alias("recent"), *(F.sum(c).alias(c) for c in columns)
     )
-    return (
-        per_token.where(recent)
-        .select(tick.alias("timestamp"), "token", F.inline(per_rule))
-        .where(over_threshold())
-        .drop("threshold")
+    polls = polls.select(F.window_time("poll").alias("at"), "token", F.unix_micros("poll.end").alias("tick"), "recent", *columns)
+    counts = polls.groupBy("token").transformWithState(
+        statefulProcessor=RunningCounts(columns),
+        outputStructType=f"at timestamp, token string, tick bigint, {kinds}",
+        outputMode="Append",
+        timeMode="EventTime",
+        eventTimeColumnName="at",
     )
+    found = counts.select("at", F.timestamp_micros("tick").alias("timestamp"), "token", F.inline(per_rule(rules)))
+    return found.where(over_threshold()).drop("threshold")

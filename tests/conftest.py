@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 
 import pytest
@@ -35,6 +36,6 @@ def spark(tmp_path_factory):
 @pytest.fixture()
 def database(spark, request):
     """A fresh database of its own for a test."""
-    name = "db_" + request.node.name.lower().replace("[", "_").replace("]", "")
+    name = "db_" + re.sub(r"\W", "_", request.node.name.lower())
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
     return name

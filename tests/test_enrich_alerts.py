@@ -140,24 +140,25 @@ def test_poll_text_in_parts_joins_to_the_whole(spark):
         F.lit("2024-01-31 12:00:00").cast("timestamp_ntz").alias("timestamp"),
         (F.col("id") % 3 + 1).cast("int").alias("rule_order"),
         F.concat(F.lit("t"), F.col("id")).alias("token"),
+        F.lit("30min").alias("time_interval"),
         F.concat(F.lit("m"), F.col("id")).alias("message"),
-    )
+    ).repartition(7)
+    assert {r.parts for r in alerts.poll_text_parts(many, 100).collect()} == {13}
     parts = {r.part: r.text for r in alerts.poll_text_parts(many, 100).collect()}
     assert sorted(parts) == list(range(13))
     assert [len(parts[i].split("\n")) for i in range(13)] == [100] * 12 + [34]
     whole = [m for i in range(13) for m in parts[i].split("\n")]
     assert len(set(whole)) == 1234
-    order = [int(m[1:]) % 3 for m in whole]
-    assert order == sorted(order)
+    assert whole == sorted(whole, key=lambda m: (int(m[1:]) % 3, "t" + m[1:]))
     single = alerts.poll_text_parts(many, 5000).collect()
     assert len(single) == 1 and single[0].text == "\n".join(whole)
 
 
 def test_quiet_poll(spark):
-    empty = spark.createDataFrame([], "timestamp timestamp_ntz, rule_order int, token string, message string")
+    empty = spark.createDataFrame([], "timestamp timestamp_ntz, rule_order int, token string, time_interval string, message string")
     polls = alerts.single_poll(empty, "2024-01-31 12:00:00")
     row = alerts.poll_texts(polls, empty).withColumn("quiet", alerts.is_quiet(F.col("text"))).first()
-    assert (row.part, row.text, row.quiet) == (0, fv.NOTHING_TO_REPORT, True)
+    assert (row.part, row.parts, row.text, row.quiet) == (0, 1, fv.NOTHING_TO_REPORT, True)
     padded = spark.createDataFrame([("\n " + fv.NOTHING_TO_REPORT + " \n",), ("other",)], "text string")
     assert [r[0] for r in padded.select(alerts.is_quiet(F.col("text"))).collect()] == [True, False]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import timedelta
 
 import pytest
@@ -12,9 +13,13 @@ from podwatch import fixed_values as fv
 from podwatch.checks import fixtures as fx
 from podwatch.functions import payload
 from podwatch.functions.timing import parse_instant
-from podwatch.operators import alerts, catalog, landing
+from podwatch.operators import catalog, landing
+from podwatch.operators.keyed_table import current_rows, merge_rows
+from podwatch.plans import whale_poll
+from podwatch.plans.metadata_load import create_tables
 from podwatch.plans.price_landing import run_price_landing
 from podwatch.plans.whale_poll import poll_alerts, run_poll
+from podwatch.rules import RULES
 from podwatch.schemas import TableNames
 from podwatch.sources.landed import read_responses
 from podwatch.streaming.sinks import publish_batch, start_payload_landing
@@ -29,6 +34,7 @@ def names_in(database):
         f"{database}.token_metadata",
         f"{database}.whale_outbox",
         f"{database}.btc_historic",
+        f"{database}.poll_texts",
     )
 
 
@@ -40,14 +46,16 @@ def instants(df):
 
 
 def fill(spark, names, root):
-    catalog.create_tables(spark, names, root)
+    create_tables(spark, names, root)
     swaps = instants(fx.swaps(spark, SF)).withColumn("day", F.to_date("timestamp"))
     swaps.write.partitionBy("day").format("parquet").saveAsTable(names.swaps)
     log = instants(fx.alert_log(spark, SF))
     for missing, kind in (("timestamp", "timestamp"), ("symbol", "string"), ("name", "string"), ("num_users_bought", "bigint"), ("num_users_sold", "bigint")):
         log = log.withColumn(missing, F.lit(None).cast(kind))
-    log.select(*spark.table(names.alert_log).columns).write.mode("append").format("parquet").saveAsTable(names.alert_log)
-    catalog.replace_table_data(spark, names.token_metadata, instants(fx.token_metadata(spark, SF)).withColumn("decimals", F.col("decimals").cast("decimal(38,0)")))
+    log = log.withColumns({"day": F.lit(None).cast("string"), "poll": F.lit(None).cast("string")})
+    log.select(*spark.table(names.alert_log).columns).write.insertInto(names.alert_log)
+    known = instants(fx.token_metadata(spark, SF)).withColumn("decimals", F.col("decimals").cast("decimal(38,0)"))
+    merge_rows(spark, names.token_metadata, known, lambda target, source: source)
 
 
 def test_poll_job(spark, database, tmp_path):
@@ -55,10 +63,10 @@ def test_poll_job(spark, database, tmp_path):
     fill(spark, names, str(tmp_path))
     answers = fx.responses(spark, SF)
     expected = poll_alerts(
-        spark.table(names.swaps), spark.table(names.alert_log), spark.table(names.token_metadata), answers, fx.AS_OF
+        spark.table(names.swaps), spark.table(names.alert_log), current_rows(spark, names.token_metadata), answers, fx.AS_OF
     )
     want = sorted((r.token, r.time_interval, r.num_users_bought, r.num_users_sold, r.message) for r in expected.collect())
-    metadata_before = spark.table(names.token_metadata).count()
+    metadata_before = current_rows(spark, names.token_metadata).count()
     log_before = spark.table(names.alert_log).count()
 
     first = run_poll(spark, names, answers, fx.AS_OF, date_column="day")
@@ -70,8 +78,13 @@ def test_poll_job(spark, database, tmp_path):
     got = sorted((r.token, r.time_interval, r.num_users_bought, r.num_users_sold, r.message) for r in outbox.collect())
     assert got == want
     assert spark.table(names.alert_log).count() == log_before + len(want)
-    assert spark.table(names.token_metadata).count() > metadata_before
-    assert spark.table(names.token_metadata).where("inserted_at = timestamp'2024-01-31 00:00:00'").count() > 0
+    after = current_rows(spark, names.token_metadata)
+    assert after.count() > metadata_before
+    assert after.where("inserted_at = timestamp'2024-01-31 00:00:00'").count() > 0
+    parts = spark.table(names.poll_texts).orderBy("part").collect()
+    rule = {r.label: k for k, r in enumerate(RULES)}
+    assert "\n".join(r.text for r in parts) == "\n".join(m for *_, m in sorted(((rule[i], t, m) for t, i, *_, m in want)))
+    assert {r.parts for r in parts} == {len(parts)}
 
     again = run_poll(spark, names, answers, fx.AS_OF, date_column="day")
     assert not again.resumed and again.alerts == 0
@@ -82,47 +95,94 @@ def test_poll_job(spark, database, tmp_path):
     assert repeated == 0 and soon.alerts >= 0
 
 
-def test_poll_resumes_after_the_log_was_written(spark, database, tmp_path):
+def once(spark, names):
+    """Messages of the outbox, each of which must be there once; and texts, one per poll and part."""
+    outbox = spark.table(names.outbox)
+    assert outbox.groupBy("timestamp", "token", "time_interval").count().where("count > 1").count() == 0
+    assert spark.table(names.poll_texts).groupBy("timestamp", "part").count().where("count > 1").count() == 0
+    return outbox.count()
+
+
+def test_a_poll_that_died_after_its_log_is_published_two_days_later(spark, database, tmp_path, monkeypatch):
     names = names_in(database)
     fill(spark, names, str(tmp_path))
     answers = fx.responses(spark, SF)
-    found = poll_alerts(
-        spark.table(names.swaps), spark.table(names.alert_log), spark.table(names.token_metadata), answers, fx.AS_OF
-    )
-    alerts.alert_log_rows(found).write.mode("overwrite").parquet(str(tmp_path / "logged"))
-    spark.read.parquet(str(tmp_path / "logged")).write.mode("append").format("parquet").saveAsTable(names.alert_log)
-    result = run_poll(spark, names, answers, fx.AS_OF)
-    assert result.resumed and result.alerts == spark.read.parquet(str(tmp_path / "logged")).count() > 0
-    assert spark.table(names.outbox).count() == result.alerts
 
-
-def test_a_log_cut_short_is_completed_without_as_of(spark, database, tmp_path, monkeypatch):
+    def dies(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(whale_poll, "publish", dies)
+        with pytest.raises(RuntimeError, match="executor lost"):
+            run_poll(spark, names, answers, fx.AS_OF)
+    logged = spark.table(names.alert_log).where("timestamp is not null").count()
+    assert logged > 10 and once(spark, names) == 0
+    result = run_poll(spark, names, answers, "2024-02-02 00:00:00")
+    assert result.resumed and result.alerts == logged == once(spark, names)
+    assert spark.table(names.poll_texts).where("timestamp = timestamp'2024-01-31 00:00:00'").count() > 0
+    quiet = spark.table(names.poll_texts).where("timestamp = timestamp'2024-02-02 00:00:00'").collect()
+    assert [(r.part, r.parts, r.text) for r in quiet] == [(0, 1, fv.NOTHING_TO_REPORT)]
+    assert run_poll(spark, names, answers, "2024-02-02 00:00:00").alerts == 0 and once(spark, names) == logged
+
+
+@pytest.mark.parametrize("other", [fx.AS_OF, "2024-01-31 00:05:00"])
+@pytest.mark.parametrize("between", ["log", "outbox"])
+def test_overlapping_polls_publish_once(spark, database, tmp_path, monkeypatch, other, between):
+    """Another poll runs as a whole just before this one writes its log, or its outbox."""
     names = names_in(database)
     fill(spark, names, str(tmp_path))
     answers = fx.responses(spark, SF)
-    found = poll_alerts(
-        spark.table(names.swaps), spark.table(names.alert_log), spark.table(names.token_metadata), answers, fx.AS_OF
-    )
-    alerts.alert_log_rows(found).write.parquet(str(tmp_path / "whole"))
-    whole = spark.read.parquet(str(tmp_path / "whole"))
-    part = whole.where("pmod(hash(address), 2) = 0")
-    assert 0 < part.count() < whole.count()
-    part.write.mode("append").format("parquet").saveAsTable(names.alert_log)
+    add, calls = catalog.add_once, []
+
+    def other_first(df, name, key):
+        if name == getattr(names, "alert_log" if between == "log" else "outbox") and not calls:
+            calls.append(1)
+            run_poll(spark, names, answers, other)
+        return add(df, name, key)
+
+    monkeypatch.setattr(whale_poll, "add_once", other_first)
+    run_poll(spark, names, answers, fx.AS_OF)
+    logged = spark.table(names.alert_log).where("timestamp is not null")
+    assert calls and once(spark, names) == logged.count() > 10
+    assert logged.groupBy("timestamp", "address", "time_interval").count().where("count > 1").count() == 0
+    assert run_poll(spark, names, answers, "2024-01-31 00:10:00").resumed is False
+
+
+def test_the_last_poll_of_the_grid_is_made_without_as_of(spark, database, tmp_path, monkeypatch):
+    names = names_in(database)
+    fill(spark, names, str(tmp_path))
     clock = parse_instant(fx.AS_OF) + timedelta(minutes=2, microseconds=7)
     monkeypatch.setattr("podwatch.plans.whale_poll.utc_now", lambda: clock)
-    result = run_poll(spark, names, answers)
-    assert result.resumed and result.alerts == whole.count()
-    once = spark.table(names.outbox).groupBy("timestamp", "token", "time_interval").count()
-    assert once.count() == whole.count() and once.where("count > 1").count() == 0
-    assert run_poll(spark, names, answers).alerts == 0
+    assert run_poll(spark, names, fx.responses(spark, SF)).alerts > 10
+    assert {str(r.timestamp) for r in spark.table(names.outbox).collect()} == {fx.AS_OF}
+    assert run_poll(spark, names, fx.responses(spark, SF)).alerts == 0
 
 
-def test_quiet_poll_writes_nothing(spark, database, tmp_path):
+def test_quiet_poll_leaves_the_sentence(spark, database, tmp_path):
     names = names_in(database)
     fill(spark, names, str(tmp_path))
     result = run_poll(spark, names, fx.responses(spark, SF), "2030-01-01 00:00:00")
     assert (result.alerts, result.resumed) == (0, False)
     assert spark.table(names.outbox).count() == 0
+    assert [r.text for r in spark.table(names.poll_texts).collect()] == [fv.NOTHING_TO_REPORT]
+
+
+def test_a_poll_reads_the_days_of_its_cooldowns_only(spark, database, tmp_path):
+    names = names_in(database)
+    create_tables(spark, names, str(tmp_path))
+    log = spark.table(names.alert_log)
+    text = whale_poll.alerts_that_matter(log, fx.AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[\(isnull\(day#\d+\) OR \(day#\d+ >= 2024-01-30\)\)\]", text)
+
+
+def test_answers_that_say_nothing_new_write_nothing(spark, database, tmp_path):
+    names = names_in(database)
+    fill(spark, names, str(tmp_path))
+    answers = fx.responses(spark, SF)
+    run_poll(spark, names, answers, fx.AS_OF)
+    before = catalog.partition_values(spark, names.token_metadata)
+    run_poll(spark, names, answers, "2024-01-31 00:00:00.000001")
+    assert catalog.partition_values(spark, names.token_metadata) == before
 
 
 def test_publishing_a_batch_twice_adds_nothing(spark, database, tmp_path):
@@ -133,8 +193,8 @@ def test_publishing_a_batch_twice_adds_nothing(spark, database, tmp_path):
         [("T2solanaMintAddress", "30min", 5, 1), ("T3solanaMintAddress", "30min", 5, 1), ("unknown", "1hour", 1, 4)],
         "token string, time_interval string, num_users_bought bigint, num_users_sold bigint",
     ).withColumn("timestamp", F.lit("2024-01-31 00:00:00").cast("timestamp"))
-    publish_batch(batch, names)
-    publish_batch(batch, names)
+    assert publish_batch(batch, names, "stream-x-1") == 2
+    assert publish_batch(batch, names, "stream-x-1") == 0
     assert sorted(r.token for r in spark.table(names.outbox).collect()) == ["T2solanaMintAddress", "unknown"]
     assert spark.table(names.alert_log).count() == before + 2
     logged = spark.table(names.alert_log).where("address = 'unknown'").first()

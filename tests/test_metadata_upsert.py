@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -10,8 +12,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from podwatch.functions.timing import instant_like
-from podwatch.operators import catalog, metadata, upsert
-from podwatch.plans.metadata_load import load_batch, run_metadata_load
+from podwatch.operators import catalog, keyed_table, metadata, upsert
+from podwatch.operators.keyed_table import current_rows
+from podwatch.plans.metadata_load import create_token_metadata_table, load_batch, merge_metadata, run_metadata_load
+from podwatch.schemas import TOKEN_METADATA_DDL
 from podwatch.sources.relational import extract_raw_metadata, read_jdbc
 from podwatch.sources.tables import run_sql
 
@@ -172,15 +176,15 @@ def test_bad_keys_fail_the_load(spark, keys):
 def test_catalog_round_trip(spark, database, tmp_path):
     table = f"{database}.token_metadata"
     assert catalog.table_exists(spark, database, "token_metadata") == (False, None)
-    catalog.create_token_metadata_table(spark, table, str(tmp_path / "token_metadata" / "first"))
-    catalog.create_token_metadata_table(spark, table)
+    create_token_metadata_table(spark, table, str(tmp_path / "token_metadata" / "first"))
+    create_token_metadata_table(spark, table)
     assert catalog.table_exists(spark, database, "TOKEN_METADATA") == (True, "token_metadata")
     assert catalog.table_exists(spark, database, "tokenXmetadata") == (False, None)
     described = {r.column_name: (r.data_type, r.nullable) for r in catalog.describe_table(spark, table).collect()}
     assert described["symbol"] == ("varchar(50)", True)
     assert described["decimals"] == ("decimal(38,0)", True)
-    assert [r.table_name for r in catalog.list_tables(spark, database).collect()] == ["token_metadata"]
-    run_sql(spark, f"INSERT INTO {table} (address) VALUES (:address)", address="it's")
+    assert sorted(r.table_name for r in catalog.list_tables(spark, database).collect()) == ["token_metadata", "token_metadata_current"]
+    run_sql(spark, f"INSERT INTO {table} (address, bucket, version) VALUES (:address, 0, 0)", address="it's")
     row = spark.table(table).first()
     assert (row.address, row.blockchain, row.symbol) == ("it's", "solana", None)
     assert row.inserted_at is not None
@@ -198,14 +202,12 @@ def test_metadata_load_job(spark, database, tmp_path):
     folder = str(tmp_path / "token_metadata" / "first")
     result = run_metadata_load(spark, raw(spark), table, "ord", "2024-01-31 10:00:00", folder=folder)
     assert (result.extracted, result.without_key, result.unique, result.rejected, result.table_rows) == (4, 1, 2, 0, 2)
-    before = catalog.table_location(spark, table)
     later = spark.createDataFrame([(1, "a", "renamed", "R", "tron", 7), (2, "c", "new", "C", "tron", 8), (3, "l", "x", "y" * 51, "t", 1)], RAW)
     with pytest.raises(ValueError, match="do not fit"):
         run_metadata_load(spark, later, table, "ord", "2024-01-31 11:00:00")
     result = run_metadata_load(spark, later, table, "ord", "2024-01-31 11:00:00", rejects_table=f"{database}.rejects")
     assert (result.rejected, result.table_rows) == (1, 3)
-    assert catalog.table_location(spark, table) != before
-    rows = {r.address: (r.symbol, r.decimals, r.blockchain, r.at) for r in spark.table(table).withColumn("at", F.date_format("inserted_at", "HH:mm")).collect()}
+    rows = {r.address: (r.symbol, r.decimals, r.blockchain, r.at) for r in current_rows(spark, table).withColumn("at", F.date_format("inserted_at", "HH:mm")).collect()}
     assert rows == {
         "a": ("R", Decimal(7), "tron", "11:00"),
         "b": (None, None, None, "10:00"),
@@ -214,7 +216,71 @@ def test_metadata_load_job(spark, database, tmp_path):
     assert [r.address for r in spark.table(f"{database}.rejects").collect()] == ["l"]
     with pytest.raises(upsert.BadLoadError):
         load_batch(spark, later.limit(1).unionByName(later.limit(1)), table, NOW)
-    assert spark.table(table).count() == 3
+    assert current_rows(spark, table).count() == spark.table(f"{table}_current").count() == 3
+
+
+def batch_of(spark, *rows):
+    return spark.createDataFrame(rows, "address string, symbol string, name string, decimals int, blockchain string")
+
+
+def versions_of(spark, table):
+    return {(p["bucket"], p["version"]) for p in catalog.partition_values(spark, table)}
+
+
+def test_only_touched_buckets_are_written(spark, database, tmp_path):
+    table = f"{database}.token_metadata"
+    create_token_metadata_table(spark, table, str(tmp_path / "first"))
+    many = [(f"a{k}", f"S{k}", f"N{k}", k, "solana") for k in range(300)]
+    load_batch(spark, batch_of(spark, *many), table, "2024-01-31 10:00:00")
+    before = versions_of(spark, table)
+    files = {f for f in (tmp_path / "first").rglob("*.parquet")}
+    assert len(before) == keyed_table.BUCKETS and merge_metadata(spark, table, batch_of(spark).limit(0), "2024-01-31 11:00:00") == 0
+    assert versions_of(spark, table) == before and {f for f in (tmp_path / "first").rglob("*.parquet")} == files
+    assert merge_metadata(spark, table, batch_of(spark, ("a7", "new", "N", 1, "tron")), "2024-01-31 11:00:00") == 1
+    assert len(versions_of(spark, table) - before) == 1 and len({f for f in (tmp_path / "first").rglob("*.parquet")} - files) == 1
+    assert current_rows(spark, table).count() == spark.table(f"{table}_current").count() == 300
+    assert current_rows(spark, table).where("address = 'a7'").first().symbol == "new"
+    text = current_rows(spark, table)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*version", text)
+
+
+def test_interleaved_writers_keep_both_updates(spark, database, tmp_path, monkeypatch):
+    table = f"{database}.token_metadata"
+    create_token_metadata_table(spark, table, str(tmp_path / "first"))
+    load_batch(spark, batch_of(spark, *[(f"a{k}", "old", "old", 1, "solana") for k in range(200)]), table, "2024-01-31 10:00:00")
+    first = batch_of(spark, *[(f"a{k}", "first", "x", 2, "solana") for k in range(0, 100)], ("new1", "first", "x", 2, "solana"))
+    second = batch_of(spark, *[(f"a{k}", "second", "x", 3, "solana") for k in range(100, 200)], ("new2", "second", "x", 3, "solana"))
+    add, calls = keyed_table._add, []
+
+    def other_writer_first(spark, name, *args):
+        if not calls:
+            calls.append(1)
+            merge_metadata(spark, name, second, "2024-01-31 12:00:00")
+        return add(spark, name, *args)
+
+    monkeypatch.setattr(keyed_table, "_add", other_writer_first)
+    merge_metadata(spark, table, first, "2024-01-31 12:00:01")
+    got = Counter(r.symbol for r in current_rows(spark, table).collect())
+    assert got == {"first": 101, "second": 101}
+
+
+def test_a_writer_long_overtaken_does_not_win_with_a_version_that_is_free_again(spark, database, tmp_path, monkeypatch):
+    table = f"{database}.token_metadata"
+    monkeypatch.setattr(keyed_table, "KEPT_VERSIONS", 2)
+    keyed_table.create_keyed_table(spark, table, TOKEN_METADATA_DDL, str(tmp_path / "first"), buckets=1)
+    load_batch(spark, batch_of(spark, ("a", "old", "x", 1, "solana")), table, "2024-01-31 10:00:00")
+    add, calls = keyed_table._add, []
+
+    def overtaken(spark, name, *args):
+        if not calls:
+            calls.append(1)
+            for k in range(4):
+                merge_metadata(spark, name, batch_of(spark, (f"b{k}", "other", "x", 1, "solana")), "2024-01-31 12:00:00")
+        return add(spark, name, *args)
+
+    monkeypatch.setattr(keyed_table, "_add", overtaken)
+    merge_metadata(spark, table, batch_of(spark, ("a", "late", "x", 1, "solana")), "2024-01-31 12:00:01")
+    assert {r.address: r.symbol for r in current_rows(spark, table).collect()} == {"a": "late", **{f"b{k}": "other" for k in range(4)}}
 
 
 def test_preview(spark):

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from podwatch.checks import fixtures as fx
-from podwatch.operators.catalog import create_tables
 from podwatch.operators.replay import replay_counts, suppress_replay
+from podwatch.plans.metadata_load import create_tables, merge_metadata
 from podwatch.schemas import TableNames
 from podwatch.streaming.cooldown import stream_alerts
 from podwatch.streaming.detect import stream_candidates
@@ -68,9 +68,11 @@ def test_stream_cooldown_equals_batch_and_publishes(spark, tmp_path, database):
         alert_log=f"{database}.log",
         token_metadata=f"{database}.metadata",
         btc_historic=f"{database}.btc",
+        poll_texts=f"{database}.texts",
     )
     create_tables(spark, names, str(tmp_path / "tables"))
-    spark.sql(f"INSERT INTO {names.token_metadata} (address, symbol, name) VALUES ('T3solanaMintAddress', 'sol', 'Sol')")
+    known = spark.createDataFrame([("T3solanaMintAddress", "sol", "Sol", 9)], "address string, symbol string, name string, decimals int")
+    merge_metadata(spark, names.token_metadata, known, fx.AS_OF)
     alerts.withColumn("timestamp", F.col("timestamp").cast("timestamp")).write.parquet(str(tmp_path / "timed"))
     timed = spark.readStream.schema(spark.read.parquet(str(tmp_path / "timed")).schema).parquet(str(tmp_path / "timed"))
     start_alert_publishing(timed, names, str(tmp_path / "publishing")).awaitTermination()
