@@ -15,19 +15,20 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from podwatch.llm.tokens import added_tokens, byte_level_pieces, id_pieces, packed_ids
+from podwatch.llm.tokens import SLICE_CHARS, added_tokens, byte_level_pieces, id_pieces, packed_ids
 
 TIERS = (128, 256, 512, 1024)
 END_ID = 0
 STEP_TOKENS = 16_384
 BLOCK_TOKENS = 2_000_000
-TEXT_BLOCK = 4 << 20
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 Piece = tuple[int, int, int]  # document of the block, first token, tokens
@@ -117,20 +118,39 @@ def _groups(sequences: list[tuple[int, list[Piece]]], first: int) -> tuple[list[
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Ids of each text in order; some SLICE_CHARS of text are in pieces at a time, also of one long text."""
     known, added = id_pieces(path), added_tokens(path)
     end = packed_ids([END_ID])
+
+    def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+        """(row, ids of a part of its text); a row has one part at least."""
+        rows: list[int] = []
+        sizes: list[int] = []
+        waiting: list[str] = []
+        held = 0
+
+        def parts() -> Iterator[tuple[int, bytes]]:
+            values, at = known.of(waiting), 0
+            for row, size in zip(rows, sizes, strict=True):
+                yield row, b"".join(values[at : at + size])
+                at += size
+
+        for row, text in enumerate(batch.column("text")):
+            text = text.as_py() or ""
+            for pieces in byte_level_pieces(text, added):
+                rows.append(row)
+                sizes.append(len(pieces))
+                waiting += pieces
+                held += min(len(text), SLICE_CHARS)
+                if held >= SLICE_CHARS:
+                    yield from parts()
+                    rows, sizes, waiting, held = [], [], [], 0
+        yield from parts()
+
     for batch in batches:
-        block, size = [], 0
-        texts = batch.column("text")
-        for row, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-            text = texts[row].as_py() or ""
-            block.append((doc_id, byte_level_pieces(text, added)))
-            size += len(text)
-            if size >= TEXT_BLOCK or row == batch.num_rows - 1:
-                table = known.of([p for _, pieces in block for p in pieces])
-                for of, pieces in block:
-                    yield of, np.frombuffer(b"".join(map(table.__getitem__, pieces)) + end, dtype="<u4")
-                block, size = [], 0
+        ids = batch.column("doc_id").to_pylist()
+        for row, parts in groupby(encoded(batch), key=itemgetter(0)):
+            yield ids[row], np.frombuffer(b"".join(part for _, part in parts) + end, dtype="<u4")
 
 
 def packed(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from podwatch.llm.tokens import count_pieces, word_pieces
 
 LIMIT = 2048
-BLOCK_BYTES = 4 << 20
-LONG_TEXT = 1 << 20
+BLOCK_BYTES = 1 << 20
+LONG_TEXT = 256 << 10
 
 
 def _parts(text: str) -> Iterator[str]:
@@ -43,9 +43,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> Da
             held = 0
 
             def flush() -> None:
-                known = pieces.of([p for _, part in block for p in part])
+                values, at = pieces.of([p for _, part in block for p in part]), 0
                 for row, part in block:
-                    counts[row] += sum(map(known.__getitem__, part))
+                    counts[row] += sum(values[at : at + len(part)])
+                    at += len(part)
                 block.clear()
 
             for row, value in enumerate(batch.column("text")):

@@ -1,8 +1,9 @@
 """Token ids of public tokenizers, piece by piece.
 
 Both tokenizers cut a text into pieces before they look at their vocabulary, and no piece reaches over certain
-places. Added tokens, such as special strings, are cut out before that. Texts are split at these, each distinct piece is encoded once a worker while the memory for pieces
-lasts, and misses are encoded in batches of equal bytes. The result is the library's own, for every text.
+places. Added tokens, such as special strings, are cut out before that. Texts are split at these, slice by slice.
+A worker remembers the pieces it met lately, in two generations of bounded bytes, and misses are encoded in
+batches of equal bytes. The result is the library's own, for every text.
 """
 
 from __future__ import annotations
@@ -15,26 +16,81 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from typing import Any, NamedTuple
 
-KNOWN_PIECES = 100_000  # a worker's memory for pieces: some 30 MB, kept from task to task
+import numpy as np
+
+GENERATION_BYTES = 64 << 20  # a worker remembers pieces of twice as much, kept from task to task
+ENTRY_BYTES = 240  # of a piece in a worker's memory, with its value and besides its characters
 BATCH_BYTES = 1 << 20
+ROW_PIECES = 4096  # encoded in a row
+SLICE_CHARS = 256 << 10  # of text that is in pieces at a time
 _SPACE = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE_SET = frozenset(map(chr, (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 # White space as the byte-level tokenizer's own splitter sees it: a word takes one space before it, and a
 # run of white space leaves its last character to what follows.
 _BYTE_LEVEL = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
-def byte_level_pieces(text: str, added: AddedTokens | None = None) -> list[str]:
-    """Pieces of a byte-level tokenizer whose splitter is on. ``added``: its added tokens, between which each segment is cut by itself."""
-    if added is None or not added.strings or not added.strings.search(text):
-        return _BYTE_LEVEL.findall(text)
-    if not added.plain:
-        return [text]
-    found = []
-    for k, part in enumerate(added.strings.split(text)):
-        found += [part] if k % 2 else _BYTE_LEVEL.findall(part)
+# Places at which a piece always ends: before a space between two words, and where a letter meets a digit or a mark.
+# Only characters that every version of the library's tables classes alike; an apostrophe is never on the left.
+_ENDS = re.compile(
+    f"(?<=[^{_SPACE}])(?= [^{_SPACE}])|(?<=[A-Za-z\u00c0-\u00d6\u0400-\u0481\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3])"
+    "(?=[0-9.,;:!?\u3001\u3002\uff01\uff0c\uff1f])"
+)
+
+
+def slices(text: str, chars: int = SLICE_CHARS) -> Iterator[str]:
+    """A text in slices of about ``chars`` characters whose pieces are those of the text. Without any such place it stays whole."""
+    start = 0
+    while len(text) - start > chars:
+        end = _ENDS.search(text, start + chars)
+        if end is None:
+            break
+        yield text[start : end.start()]
+        start = end.start()
+    yield text[start:] if start else text
+
+
+# White space other than single blanks and line ends between words.
+_OTHER_SPACE = re.compile(f"[\t\x0b-\r{_SPACE[6:]}]|[ \n][ \n]")
+
+
+def _cut(text: str) -> list[str | bytes]:
+    """Pieces of a slice: a str is a word with one blank before it, which is left out; bytes are anything else, as it is."""
+    if not text:
+        return []
+    inner = text[1:] if text[0] == " " else text
+    if not inner or inner[0] in " \n" or inner[-1] in " \n" or _OTHER_SPACE.search(inner):
+        return [p[1:] if len(p) > 1 and p[0] == " " and p[1] not in _SPACE_SET else p.encode() for p in _BYTE_LEVEL.findall(text)]
+    found: list[str | bytes] = []
+    for line in inner.split("\n"):
+        words = line.split(" ")
+        if found or inner is text:
+            if found:
+                found.append(b"\n")
+            found.append(words[0].encode())
+            del words[0]
+        found += words
     return found
 
 
+def byte_level_pieces(text: str, added: AddedTokens | None = None) -> Iterator[list[str | bytes]]:
+    """Pieces of a byte-level tokenizer whose splitter is on, slice by slice; ``added``: its added tokens, between which each segment is cut by itself.
+
+    A str is a word with one blank before it, which is left out; bytes are anything else, as it is.
+    """
+    if added is None or not added.strings or not added.strings.search(text):
+        yield from map(_cut, slices(text))
+    elif not added.plain:
+        yield [text.encode()]
+    else:
+        start = 0
+        for hit in added.strings.finditer(text):
+            yield from map(_cut, slices(text[start : hit.start()]))
+            yield [hit.group().encode()]
+            start = hit.end()
+        yield from map(_cut, slices(text[start:]))
+
+
 def word_pieces(text: str) -> list[bytes]:
     """Pieces of a tokenizer that drops white space: what stands between ASCII white space."""
     return text.encode().split()
@@ -90,45 +146,85 @@ def packed_ids(ids: list[int]) -> bytes:
 
 def count_pieces(path: str) -> Pieces:
     """Token counts of pieces, shared by all tasks of a worker."""
-    return _shared(path, len)
+    return _shared(path, _counts)
 
 
 def id_pieces(path: str) -> Pieces:
-    """Packed ids of pieces, shared by all tasks of a worker."""
-    return _shared(path, _ids_of)
+    """Packed ids of pieces of a byte-level tokenizer, shared by all tasks of a worker."""
+    return _shared(path, _ids)
+
 
+@lru_cache(maxsize=2)
+def _shared(path: str, encode: Callable[[str, list[Any], dict[Any, Any]], None]) -> Pieces:
+    return Pieces(path, encode)
 
-def _ids_of(encoded: Any) -> bytes:
-    return packed_ids(encoded.ids)
+
+def _counts(path: str, pieces: list[bytes], into: dict[Any, Any]) -> None:
+    for batch in batches_by_bytes(pieces):
+        into.update(zip(batch, map(len, tokenizer(path).encode_batch_fast([p.decode() for p in batch], add_special_tokens=False)), strict=True))
 
 
 @lru_cache(maxsize=2)
-def _shared(path: str, value: Callable[[Any], Any]) -> Pieces:
-    return Pieces(path, value)
+def _token_bytes(path: str) -> np.ndarray | None:
+    """Bytes that each id stands for; a byte-level vocabulary writes one character a byte. None if an added token has a space."""
+    found = tokenizer(path)
+    if any(" " in t.content for t in found.get_added_tokens_decoder().values()):
+        return None
+    sizes = np.zeros(found.get_vocab_size(), dtype=np.int64)
+    for token, i in found.get_vocab(with_added_tokens=False).items():
+        sizes[i] = len(token)
+    return sizes
+
+
+def _ids(path: str, pieces: list[str | bytes], into: dict[Any, Any]) -> None:
+    """Packed ids of each piece. Words are encoded in a row, as the tokenizer begins anew at each blank before one."""
+    sizes = _token_bytes(path)
+    encode = tokenizer(path).encode_batch_fast
+    words = [p for p in pieces if type(p) is str]
+    others = [p for p in pieces if type(p) is bytes]
+    if sizes is None:
+        words, others = [], pieces
+    rows = [words[k : k + ROW_PIECES] for k in range(0, len(words), ROW_PIECES)]
+    for row in rows:
+        encoded = encode([" " + " ".join(row)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, dtype="<u4")
+        ends = np.cumsum(sizes[ids])
+        until = np.cumsum([len(p) + 1 if p.isascii() else len(p.encode()) + 1 for p in row])
+        at = np.searchsorted(ends, until)
+        if at[-1] < len(ends) and np.array_equal(ends[at], until):
+            raw, cuts = ids.tobytes(), [0, *((at + 1) * 4).tolist()]
+            into.update(zip(row, map(raw.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+        else:
+            others += row
+    for batch in batches_by_bytes(others):
+        texts = [p.decode() if type(p) is bytes else " " + p for p in batch]
+        into.update(zip(batch, (packed_ids(x.ids) for x in encode(texts, add_special_tokens=False)), strict=True))
 
 
 class Pieces:
-    """What ``value`` makes of the encoding of each piece, remembered."""
-
-    def __init__(self, path: str, value: Callable[[Any], Any]) -> None:
-        self.path, self.value, self.known = path, value, {}
-
-    def of(self, pieces: list[Any]) -> dict[Any, Any]:
-        """A table with at least these pieces."""
-        known = self.known
-        missing = [p for p in set(pieces) if p not in known]
-        if not missing:
-            return known
-        found = {}
-        encode = tokenizer(self.path).encode_batch_fast
-        for batch in batches_by_bytes(missing):
-            texts = [p.decode() if isinstance(p, bytes) else p for p in batch]
-            for piece, encoded in zip(batch, encode(texts, add_special_tokens=False), strict=True):
-                found[piece] = self.value(encoded)
-        room = KNOWN_PIECES - len(known)
-        if len(found) <= room:
-            known.update(found)
-            return known
-        for piece in list(found)[: max(0, room)]:
-            known[piece] = found[piece]
-        return {p: known[p] if p in known else found[p] for p in set(pieces)}
+    """What ``encode`` makes of pieces, remembered while they keep coming; it puts the value of each piece into a table.
+
+    A generation ends when it has GENERATION_BYTES; what is met again in the next moves there, the rest goes with the one after.
+    """
+
+    def __init__(self, path: str, encode: Callable[[str, list[Any], dict[Any, Any]], None]) -> None:
+        self.path, self.encode = path, encode
+        self.young: dict[Any, Any] = {}
+        self.old: dict[Any, Any] = {}
+        self.bytes = 0
+
+    def of(self, pieces: list[Any]) -> list[Any]:
+        """The value of each piece, in order."""
+        if self.bytes >= GENERATION_BYTES:
+            self.old, self.young, self.bytes = self.young, {}, 0
+        young, old = self.young, self.old
+        found = list(map(young.get, pieces))
+        places = [k for k, value in enumerate(found) if value is None]
+        if places:
+            absent = {pieces[k] for k in places}
+            young.update((p, old[p]) for p in absent if p in old)
+            self.encode(self.path, [p for p in absent if p not in young], young)
+            self.bytes += ENTRY_BYTES * len(absent) + sum(map(len, absent))
+            for k in places:
+                found[k] = young[pieces[k]]
+        return found
