@@ -356,3 +356,29 @@ ORACLES: dict[str, str] = {
         recursive=True,
     ),
 }
+
+# The jobs leave what the operators give.
+ORACLES |= {
+    "K6_logged_alerts": ORACLES["W1_whole_poll"],
+    "K8_published_text": _with(
+        "swaps alert_log token_metadata responses",
+        {**WHOLE, "alerts": _rendered("cooled"), "texts": _texts("alerts")},
+        f"""SELECT p.timestamp, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts, coalesce(text, '{fv.NOTHING_TO_REPORT}') AS text
+            FROM (SELECT {NOW} AS timestamp) p LEFT JOIN texts USING (timestamp)""",
+    ),
+    "K5_refreshed_metadata": ORACLES["M4_upsert_api"],
+    "K12_loaded_metadata": ORACLES["M3_upsert_batch"],
+    "K12_load_figures": _with(
+        "token_metadata_raw",
+        {},
+        "SELECT count(*) AS extracted, count(*) - count(address) AS without_key, count(DISTINCT address) AS unique,"
+        " 0 AS rejected, count(DISTINCT address) AS table_rows FROM token_metadata_raw",
+    ),
+    "K1_landed_rows": f"SELECT first_k, raw_text FROM ({ORACLES['B2_payload_fields']})",
+    "A5_incremental_candidates": ORACLES["D4_candidates"],
+    "R3_stream_candidates": _with(
+        "swaps",
+        REPLAY,
+        "SELECT * FROM tick_candidates WHERE timestamp < (SELECT max(timestamp) FROM swaps) - INTERVAL 10 MINUTE",
+    ),
+}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podwatch.checks import fixtures as fx
+from podwatch.checks.job_queries import QUERIES as JOB_QUERIES
 from podwatch.functions import payload, text, timing
 from podwatch.operators import alerts, catalog, detect, enrich, landing, metadata, replay, upsert
 from podwatch.plans import replay as replay_plan
@@ -225,4 +226,5 @@ QUERIES: dict[str, Query] = {
     "X2_quoting": quoting,
     "R1_replay_counts": replay_counts,
     "R2_suppressed_alerts": suppressed_alerts,
+    **JOB_QUERIES,
 }

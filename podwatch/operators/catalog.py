@@ -99,9 +99,10 @@ def drop_stage(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
-def append(df: DataFrame, name: str) -> None:
+def append(df: DataFrame, name: str, *partitions: str) -> None:
     """Appends rows, columns by name, in files of a sensible size however many tasks made them."""
-    df.hint("rebalance").write.mode("append").format("parquet").saveAsTable(name)
+    writer = df.hint("rebalance", *partitions).write.mode("append").format("parquet")
+    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
 
 
 def table_location(spark: SparkSession, name: str) -> str:

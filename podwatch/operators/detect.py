@@ -97,17 +97,26 @@ def windowed_counts(
     """
     longest = max([recent_minutes, *(r.length_minutes for r in rules)])
     recent = swaps_since(swaps, as_of, longest, date_column, date_zone)
-    start = {m: instant_like(as_of, swaps, "timestamp", m) for m in {recent_minutes, *(r.length_minutes for r in rules)}}
-
-    latest = (
-        swap_legs(recent)
-        .where(F.col("counted") | (F.col("timestamp") > start[recent_minutes]))
-        .groupBy("token", "side", "user_address")
-        .agg(
-            F.max("timestamp").alias("any_ts"),
-            F.max(F.when(F.col("counted"), F.col("timestamp"))).alias("counted_ts"),
-        )
+    gate = instant_like(as_of, swaps, "timestamp", recent_minutes)
+    legs = swap_legs(recent).where(F.col("counted") | (F.col("timestamp") > gate))
+    return counts_of_latest(latest_swaps(legs), as_of, rules, recent_minutes)
+
+
+def latest_swaps(legs: DataFrame, *slots: Column) -> DataFrame:
+    """(token, side, user_address, any_ts, counted_ts): the latest swap and the latest that counts of each trader, in each of ``slots`` if any.
+
+    Both are maxima, so rows of several parts of the swaps add up to those of all by taking maxima again.
+    """
+    return legs.groupBy("token", "side", "user_address", *slots).agg(
+        F.max("timestamp").alias("any_ts"), F.max(F.when(F.col("counted"), F.col("timestamp"))).alias("counted_ts")
     )
+
+
+def counts_of_latest(
+    latest: DataFrame, as_of: datetime | str, rules: Sequence[Rule] = RULES, recent_minutes: int = fv.RECENT_MINUTES
+) -> DataFrame:
+    """Counts of every rule for every recent token, from the latest swap of each trader."""
+    start = {m: instant_like(as_of, latest, "any_ts", m) for m in {recent_minutes, *(r.length_minutes for r in rules)}}
     counts = []
     for i, rule in enumerate(rules):
         inside = F.col("counted_ts") > start[rule.length_minutes]
@@ -155,6 +164,18 @@ def threshold_counts(
     return counts.drop("threshold").withColumn("timestamp", instant_like(as_of, swaps))
 
 
+def candidates_of_counts(counts: DataFrame, alert_log: DataFrame) -> DataFrame:
+    """Candidate alerts of counts over their threshold: (timestamp, token, time_interval, counts, last_notification)."""
+    return with_last_alert(counts, alert_log).select(
+        "timestamp",
+        "token",
+        "time_interval",
+        "num_users_bought",
+        "num_users_sold",
+        "last_notification",
+    )
+
+
 def detect_candidates(
     swaps: DataFrame,
     alert_log: DataFrame,
@@ -166,11 +187,4 @@ def detect_candidates(
 ) -> DataFrame:
     """Candidate alerts of one poll."""
     counts = threshold_counts(swaps, as_of, rules, recent_minutes, date_column, date_zone)
-    return with_last_alert(counts, alert_log).select(
-        "timestamp",
-        "token",
-        "time_interval",
-        "num_users_bought",
-        "num_users_sold",
-        "last_notification",
-    )
+    return candidates_of_counts(counts, alert_log)

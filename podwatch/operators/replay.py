@@ -8,10 +8,9 @@ these changes; it never copies a swap once per window.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,20 +147,40 @@ def replay_counts(
     )
 
 
-def _first_past_cooldown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows that alert, from rows in order of key and time; only the last alert is carried along."""
-    last = 0
-    for batch in batches:
-        at = batch.column("timestamp").cast(pa.int64()).to_pylist()
-        starts = batch.column("starts").to_pylist()
-        wait = batch.column("wait_us").to_pylist()
-        keep = []
-        for now, fresh, cooldown in zip(at, starts, wait, strict=True):
-            alert = fresh or now - last >= cooldown
-            if alert:
-                last = now
-            keep.append(alert)
-        yield batch.filter(pa.array(keep, pa.bool_())).drop_columns(["starts", "wait_us"])
+def _reached(c: Column) -> Column:
+    """Places, from 1, that are reached from the first by following ``next`` (a place, or one past the end) in an array.
+
+    Steps of 1, 2, 4, ... are tabled by doubling; the s-th place reached is then the sum of the steps in s.
+    """
+    n = F.size(c)
+    one = F.concat(F.transform(c, lambda x: x["next"]), F.array(n + 1))
+    doublings = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int"))
+
+    def longer(tables: Column, _: Column) -> Column:
+        last = F.element_at(tables, -1)
+        return F.concat(tables, F.array(F.transform(last, lambda place: F.element_at(last, place))))
+
+    def reached(tables: Column) -> Column:
+        def further(at: Column, k: Column) -> Column:
+            there = F.element_at(F.element_at(tables, k), at["place"])
+            step = F.call_function("shiftleft", F.lit(1), k - 1)
+            return F.when(there <= n, F.struct(there.alias("place"), (at["steps"] + step).alias("steps"))).otherwise(at)
+
+        start = F.struct(F.lit(1).alias("place"), F.lit(0).alias("steps"))
+        steps = F.aggregate(F.sequence(F.size(tables), F.lit(1)), start, further, lambda at: at["steps"])
+
+        def place(s: Column) -> Column:
+            def follow(at: Column, table: Column) -> Column:
+                odd = at["left"].bitwiseAND(1) == 1
+                there = F.when(odd, F.element_at(table, at["place"])).otherwise(at["place"])
+                return F.struct(there.alias("place"), F.shiftright(at["left"], 1).alias("left"))
+
+            return F.aggregate(tables, F.struct(F.lit(1).alias("place"), s.alias("left")), follow, lambda at: at["place"])
+
+        return F.transform(F.sequence(F.lit(0), steps), place)
+
+    tables = F.aggregate(doublings, F.array(one), longer)
+    return F.get(F.transform(F.array(tables), reached), F.lit(0))
 
 
 def suppress_replay(
@@ -169,10 +188,9 @@ def suppress_replay(
 ) -> DataFrame:
     """Candidates that alert when every alert starts the cooldown of its (token, interval).
 
-    Each alert depends on the one before it, which no built-in aggregate expresses, so rows sorted by
-    key and time pass once through Arrow batches with a single carried timestamp. A key has at most
-    one row per poll, and keys are spread by hash. A wait of a cooldown or more after the row before
-    settles an alert without looking further back.
+    Each alert depends on the one before it. Were a candidate an alert, the next would be the first that is a cooldown
+    later; a sliding count finds that successor for all candidates at once, and the alerts are those that successors reach from
+    the first candidate of the key, found by doubling steps. A key has at most one row per poll, and keys are spread by hash.
     ``earlier_alerts`` (address, time_interval, last_notification) are alerts sent before the replay.
     """
     key = ["token", "time_interval"]
@@ -185,16 +203,19 @@ def suppress_replay(
         out = F.col("seed").isNull() | (F.col("timestamp") - F.col("seed") >= minutes(cooldown))
         timed = timed.join(seeds, key, "left").where(out).drop("seed")
     own = Window.partitionBy(*key).orderBy("timestamp")
-    waited = F.col("timestamp") - F.lag("timestamp").over(own)
-    marked = timed.withColumns(
-        {
-            "starts": F.coalesce(waited >= minutes(cooldown), F.lit(True)),
-            "wait_us": cooldown.cast("bigint") * 60_000_000,
-        }
-    )
-    # Arrow batches go back by position, hence the columns in the order of the result.
-    ordered = marked.select(*candidates.columns, "starts", "wait_us").sortWithinPartitions(*key, "timestamp")
-    return ordered.mapInArrow(_first_past_cooldown, candidates.schema)
+    within = None
+    for wait in sorted({fv.DEFAULT_COOLDOWN_MINUTES, *(r.cooldown_minutes for r in rules)}):
+        n = F.expr(
+            "count(1) OVER (PARTITION BY token, time_interval ORDER BY timestamp"
+            f" RANGE BETWEEN CURRENT ROW AND INTERVAL '{wait * 60 - 1}.999999' SECOND FOLLOWING)"
+        )
+        n = n if wait else F.lit(1)
+        within = F.when(cooldown == wait, n) if within is None else within.when(cooldown == wait, n)
+    place = F.row_number().over(own)
+    placed = timed.select(*key, place.alias("place"), (place + within).cast("int").alias("next"), F.struct(*candidates.columns).alias("row"))
+    whole = placed.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("place", "next", "row"))).alias("c"))
+    sent = whole.select("c", F.explode(_reached(F.col("c"))).alias("at"))
+    return sent.select(F.element_at("c", F.col("at"))["row"].alias("row")).select("row.*")
 
 
 def poll_grid(

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from podwatch.operators.landing import append_payloads, payload_counts
+from podwatch.operators.landing import append_payloads
 from podwatch.sources.landed import read_payload_files
 
 
 def land_payloads(payloads: DataFrame, table: str) -> int:
     """Appends payloads; returns how many records they hold. Bad JSON raises and nothing is stored."""
-    append_payloads(payloads, table)
-    return payload_counts(payloads).agg(F.coalesce(F.sum("record_count"), F.lit(0))).first()[0]
+    return append_payloads(payloads, table)
 
 
 def run_price_landing(spark: SparkSession, path: str, table: str) -> int:
