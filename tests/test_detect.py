@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from podwatch.operators import detect
+from podwatch.operators.replay import replay_counts
 from podwatch.rules import RULES, rules_frame
 
 AS_OF = "2024-01-31 12:00:00"
@@ -137,3 +138,22 @@ def test_rules_table(spark):
         (2, "1hour", 60, 3, 30, "1 hour"),
         (3, "3hours", 180, 5, 60, "3 hours"),
     ]
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+@pytest.mark.parametrize("moment", ["2024-01-31 00:30:00", "2024-01-31 05:10:00", "2024-01-31 15:20:00"])
+def test_dates_of_another_zone_prune_no_swap(spark, zone, moment):
+    """The table's dates are of the exchange's zone, the session is in UTC."""
+    history = spark.range(0, 26 * 60, 7).select(
+        (F.lit("2024-01-30 14:00:00Z").cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("timestamp"),
+        F.concat(F.lit("u"), F.col("id")).alias("user_address"), F.lit("A").alias("swapfromtoken"), F.lit("B").alias("swaptotoken"), F.lit("X").alias("source"),
+    )
+    dated = history.withColumn("day", F.to_date(F.from_utc_timestamp("timestamp", zone)))
+    kept = {"date_column": "day", "date_zone": zone}
+
+    def same(plain, pruned):
+        return sorted(map(tuple, plain.collect())) == sorted(map(tuple, pruned.collect())) != []
+
+    assert same(detect.windowed_counts(history, moment), detect.windowed_counts(dated, moment, **kept))
+    assert same(detect.recent_tokens(history, moment), detect.recent_tokens(dated, moment, **kept))
+    assert same(replay_counts(history, moment, "2024-01-31 00:00:00"), replay_counts(dated, moment, "2024-01-31 00:00:00", **kept))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from podwatch.checks import fixtures as fx
+from podwatch.operators.enrich import attach_metadata, drop_denied
+from podwatch.operators.keyed_table import current_rows
 from podwatch.operators.replay import replay_counts, suppress_replay
 from podwatch.plans.metadata_load import create_tables, merge_metadata
 from podwatch.schemas import TableNames
 from podwatch.streaming.cooldown import stream_alerts
 from podwatch.streaming.detect import stream_candidates
-from podwatch.streaming.sinks import start_alert_publishing, start_candidate_log
+from podwatch.streaming.sinks import start_alert_publishing, start_candidate_log, start_whale_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -99,3 +101,49 @@ def test_stream_cooldown_starts_from_earlier_alerts(spark, tmp_path):
     query.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("token", F.date_format("timestamp", "HH:mm").alias("at"))
     assert rows(got) == [("A", "12:10"), ("A", "12:25"), ("B", "12:05")]
+
+
+def test_state_of_traders_and_cooldowns_goes_away(spark, tmp_path):
+    """A burst of swaps, then one swap five hours later: what the burst left in the state is gone."""
+    burst = [(f"2024-01-31 12:0{k % 5}:01", f"u{k}", "SOL", f"T{k % 3}", "RAYDIUM") for k in range(60)]
+    end = [(f"2024-01-31 {t}:01", "z", "SOL", "Z", "RAYDIUM") for t in ("12:20", "12:26", "17:00", "17:30", "18:00")]
+    for k, part in enumerate(([*burst], *[[x] for x in end])):
+        df = spark.createDataFrame(part, "t string, user_address string, swapfromtoken string, swaptotoken string, source string")
+        df.select(F.to_timestamp("t").alias("timestamp"), "user_address", "swapfromtoken", "swaptotoken", "source").coalesce(1).write.mode("append").parquet(str(tmp_path / "swaps"))
+    schema = spark.read.parquet(str(tmp_path / "swaps")).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "swaps"))
+    query = start_candidate_log(stream_alerts(stream_candidates(stream)), str(tmp_path / "alerts"), str(tmp_path / "state"))
+    query.awaitTermination()
+    steps = [[(o.operatorName, o.numRowsTotal) for o in p.stateOperators] for p in query.recentProgress]
+    most = [max(step[k][1] for step in steps) for k in range(len(steps[0]))]
+    last = [n for _, n in steps[-1]]
+    # From the last operator to the first: cooldowns, counts of tokens, changes at polls, traders, periods.
+    assert [name for name, _ in steps[0]].count("transformWithStateInPySparkExec") == 3
+    assert most[0] >= 4 and most[3] >= 60
+    assert last[0] == 0 and last[1] <= 2 and last[3] <= 4
+    alerts = spark.read.parquet(str(tmp_path / "alerts"))
+    assert {r.token for r in alerts.collect()} == {"SOL", "T0", "T1", "T2"}
+
+
+def test_whole_stream_from_swaps_to_outbox(spark, tmp_path, database):
+    """The stream publishes what a replay alerts in the polls it closes, each message once, over two runs."""
+    names = TableNames(*(f"{database}.{t}" for t in ("swaps", "log", "metadata", "outbox", "btc", "texts")))
+    create_tables(spark, names, str(tmp_path / "tables"))
+    swaps = fx.swaps(spark, SF).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    known = fx.token_metadata(spark, SF).drop("inserted_at", "blockchain")
+    merge_metadata(spark, names.token_metadata, known, "2024-01-30 00:00:00")
+    path, checkpoint = str(tmp_path / "swaps"), str(tmp_path / "state")
+    half = F.lit("2024-01-30 22:00:00").cast("timestamp")
+    for part in (swaps.where(F.col("timestamp") < half), swaps.where(F.col("timestamp") >= half)):
+        part.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(swaps.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        start_whale_stream(stream, names, checkpoint, fx.responses(spark, SF)).awaitTermination()
+    outbox = spark.table(names.outbox)
+    newest = outbox.agg(F.max("timestamp")).first()[0]
+    counts = replay_counts(swaps, fx.REPLAY_UNTIL).where(F.col("timestamp") <= F.lit(newest))
+    named = drop_denied(attach_metadata(counts, current_rows(spark, names.token_metadata), none_found=False))
+    expected = suppress_replay(named).select("timestamp", "token", "time_interval")
+    assert rows(outbox.select("timestamp", "token", "time_interval")) == rows(expected) and outbox.count() > 1000
+    assert spark.table(names.alert_log).count() == outbox.count()
+    assert current_rows(spark, names.token_metadata).count() > known.count()
+    assert spark.table(names.poll_texts).select("timestamp").distinct().count() == outbox.select("timestamp").distinct().count()
