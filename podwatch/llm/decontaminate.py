@@ -8,6 +8,7 @@ document. Equal numbers before different words are different values. An alignmen
 counts by its windows without such values: two of them that prove something and do not overlap. Windows with fewer than LITERAL ordinary words prove nothing by themselves; an alignment of
 such windows alone counts only if all values are equal. A window without slots is the passage itself.
 A short item, of fewer than WINDOW tokens and of them fewer than LITERAL ordinary words, matches only as whole lines.
+In scripts that write no spaces between words every letter is a token, and an item that is mostly in such letters has windows twice as long.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podwatch.llm.scratch import Scratch
+
 WINDOW, LITERAL = 8, 5
 # Rows of (hash, item, position), some 100 MB on an executor; beyond, Spark picks a shuffle join.
 BROADCAST_WINDOWS = 1_000_000
@@ -25,26 +28,34 @@ UNITS = (
     "months year years cent cents dollar dollars euro euros usd eur degrees percent"
 ).split()
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
-_NAME = r"(?<=[\p{Ll}\p{N},;:] )(\p{Lu}\p{Ll}+)"
+# What is rare is looked at first: the capital before what stands before it, the mark before its neighbours.
+_NAME = r"(\p{Lu}(?<=[\p{Ll}\p{N},;:] .)\p{Ll}+)"
 _UNIT = rf"({NUMBER}[^ ]* ) ?({'|'.join(sorted(UNITS, key=len, reverse=True))})(?!\p{{L}})"
+# Letters of scripts without spaces between words, with their marks; all lie beyond the range looked at first.
+_SCRIPTS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+_UNSPACED = rf"[\u0e00-\x{{10ffff}}](?<={_SCRIPTS})\p{{M}}*"
 # What separates tokens: all but letters, marks, digits, placeholders and the separators inside a number.
-_BETWEEN = rf"(?:[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{UNIT}.,:/]|(?<!\p{{N}})[.,:/]|[.,:/](?!\p{{N}}))+"
+_BETWEEN = rf"(?:[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{UNIT}.,:/]|[.,:/](?<!\p{{N}}.)|[.,:/](?!\p{{N}}))+"
 
 
 def template(text: Column, values: bool = False) -> Column:
     """The template's tokens; with ``values`` each placeholder is followed by what stood there."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")
+    spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
+    spaced = F.regexp_replace(F.regexp_replace(spaced, " {2,}", " "), _UNSPACED, " $0 ")
     named = F.regexp_replace(spaced, _NAME, f" {NAME}$1 " if values else f" {NAME} ")
     counted = F.regexp_replace(named, _NUMBER, f" {NUMBER}$0 " if values else f" {NUMBER} ")
     measured = F.regexp_replace(counted, _UNIT, f"$1 {UNIT}$2 " if values else f"$1 {UNIT} ")
-    plain = F.trim(F.regexp_replace(F.lower(measured), _BETWEEN, " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " +"))
+    return F.filter(F.split(F.lower(measured), _BETWEEN), lambda t: t != "")
+
+
+def _hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def _windows(tokens: Column, width: int) -> Column:
-    """Hash of every window, in order."""
-    last = F.size(tokens) - F.lit(width)
-    found = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.xxhash64(F.slice(tokens, i, F.lit(width))))
+def _windows(hashes: Column, width: int) -> Column:
+    """Hash of every window of token hashes, in order."""
+    last = F.size(hashes) - F.lit(width)
+    found = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.xxhash64(F.slice(hashes, i, F.lit(width))))
     return F.when(last >= 0, found).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -101,14 +112,16 @@ def _line_matches(docs: DataFrame, items: DataFrame) -> DataFrame | None:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(hash, width, item_id, at, rich, plain) of items (item_id, text) that are not short; one below WINDOW tokens is one window of its own width."""
+    """(hash, width, item_id, at, rich, plain) of items (item_id, text) that are not short; one of fewer tokens than its windows should have is one window of its own width."""
     tokens = items.select("item_id", template(F.col("text")).alias("tokens")).where((F.size("tokens") > 0) & ~_is_short(F.col("tokens")))
-    tokens = tokens.withColumn("width", F.least(F.size("tokens"), F.lit(WINDOW)))
+    unspaced = F.size(F.filter("tokens", lambda t: t.rlike("^" + _SCRIPTS)))
+    longest = F.when(unspaced * 2 > F.size("tokens"), F.lit(2 * WINDOW)).otherwise(F.lit(WINDOW))
+    tokens = tokens.withColumn("width", F.least(F.size("tokens"), longest)).withColumn("hashes", _hashes(F.col("tokens")))
     starts = F.sequence(F.lit(1), F.size("tokens") - F.col("width") + 1)
     found = F.transform(
         starts,
         lambda i: F.struct(
-            F.xxhash64(F.slice("tokens", i, F.col("width"))).alias("hash"),
+            F.xxhash64(F.slice("hashes", i, F.col("width"))).alias("hash"),
             (i - 1).alias("at"),
             _words(F.slice("tokens", i, F.col("width"))).alias("words"),
         ),
@@ -131,17 +144,17 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text <> ''")
     items = items.select("item_id", "text").where("item_id is not null and text <> ''")
     known = item_windows(items)
-    size = known.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()  # WINDOW widths at most
+    size = known.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()  # twice WINDOW at most
     widths = sorted(size["widths"])
     if size["n"] <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
     # Rows of one doc_id are told apart by their text.
-    tokens = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), template(F.col("text")).alias("tokens"))
+    tokens = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _hashes(template(F.col("text"))).alias("hashes"))
     hits = None
-    for width in widths:
-        windows = tokens.select("doc_id", "text_hash", F.posexplode(_windows(F.col("tokens"), width)).alias("place", "hash"))
-        found = windows.withColumn("width", F.lit(width)).join(known, ["hash", "width"])
-        hits = found if hits is None else hits.union(found)
+    if widths:
+        each = F.inline(F.array(*(F.struct(F.lit(w).alias("width"), _windows(F.col("hashes"), w).alias("of")) for w in widths)))
+        windows = tokens.select("doc_id", "text_hash", each).select("doc_id", "text_hash", "width", F.posexplode("of").alias("place", "hash"))
+        hits = windows.join(known, ["hash", "width"])
     lines = _line_matches(docs, items)
     if hits is None and lines is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long, first_token int, n_slots int, same_values boolean")
@@ -156,6 +169,10 @@ def _window_matches(docs: DataFrame, items: DataFrame, hits: DataFrame) -> DataF
         F.collect_set("at").alias("starts"), F.collect_set(F.when(F.col("rich"), F.col("at"))).alias("rich_starts"), F.max("plain").alias("plain")
     )
 
+    # The texts stay where they are unless the alignments are many.
+    runs = Scratch(docs.sparkSession, "decontaminate").written(runs, "alignments")
+    if runs.count() <= BROADCAST_WINDOWS:
+        runs = F.broadcast(runs)
     in_docs = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text")
     in_docs = runs.join(in_docs, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h")))
     in_docs = in_docs.select("doc_id", "item_id", "width", "shift", "starts", "rich_starts", "plain", template(F.col("text"), values=True).alias("there"))
