@@ -7,11 +7,12 @@ comparison first looks at sizes and sketches, then at the full shingle sets. Set
 shingles have parity sketches, which refuse no link; larger sets have one-bit sketches, which refuse a pair at
 0.75 with odds of about 5 in a million. A small and a large set go to the full sets without a look at sketches.
 
-The first round compares a document with the first and the last centre of its buckets only, which joins groups
-of copies at two pairs a document. A bucket whose members are not all in one component then is open: its
-members of other components are compared with its centre, the centre, whose links are all known then,
-leaves it, and in the next round it has CELLS times as many centres, drawn by hash. It ends when no bucket
-is open; nothing is capped. Members of one component are never compared again.
+Every member of a bucket is compared with its centre, a document with each centre once. A bucket whose members
+are not all in one component then is open, and members of different components still have to be compared. Most
+of that is settled by the metric: 1 - J is a distance, so of two members, one linked with the centre (at most 0.25 from it)
+and one far from it (over 0.5), neither can be a link. What is left are the members that are not linked with the
+centre, among themselves, and those of them that are near it with the linked ones. These are compared by bits inside a
+join on the bucket; nothing is capped, and only pairs that their bits do not refuse leave it.
 """
 
 from __future__ import annotations
@@ -33,13 +34,15 @@ THRESHOLD = 75  # percent
 BINS, ROWS = 384, 6
 SKETCH_BINS = 1536
 SKETCH = [f"s{i}" for i in range(SKETCH_BINS // 64)]
-CELLS = 64  # more centres of an open bucket in each round, by this factor
 # Ids that are sent to every executor instead of shuffling the texts; some 100 MB there. Beyond, a join shuffles.
 BROADCAST_IDS = 2_000_000
 SMALL = 1024  # shingles; a parity sketch of fewer still tells sets apart that are not alike
 # Bits in which two one-bit sketches may differ: the mean at the threshold and 4.5 standard deviations.
 _UNLIKE = (1 - THRESHOLD / 100) / 2
 SKETCH_BITS = int(SKETCH_BINS * _UNLIKE + 4.5 * (SKETCH_BINS * _UNLIKE * (1 - _UNLIKE)) ** 0.5)
+# The same at twice the distance of the threshold: sets whose bits differ in more are further apart.
+_FAR = 2 * _UNLIKE
+FAR_BITS = int(SKETCH_BINS * _FAR + 4.5 * (SKETCH_BINS * _FAR * (1 - _FAR)) ** 0.5)
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -112,14 +115,27 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _apart(x: str, y: str) -> F.Column:
+    """Bits in which two sketches differ."""
+    return sum((F.bit_count(F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}"))) for s in SKETCH), F.lit(0))
+
+
 def _alike(x: str, y: str) -> F.Column:
     """Sizes and sketches leave room for a link."""
-    apart = sum((F.bit_count(F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}"))) for s in SKETCH), F.lit(0))
+    return _within(x, y, THRESHOLD, SKETCH_BITS)
+
+
+def _near(x: str, y: str) -> F.Column:
+    """Sizes and sketches leave room for at most twice the distance of a link."""
+    return _within(x, y, 2 * THRESHOLD - 100, FAR_BITS)
+
+
+def _within(x: str, y: str, percent: int, bits: int) -> F.Column:
     nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
-    # A link has at most (nx + ny) (1 - T) / (1 + T) shingles in one set only.
-    small = apart * (100 + THRESHOLD) <= (nx + ny) * (100 - THRESHOLD)
-    room = F.when(F.greatest(nx, ny) < SMALL, small).when(F.least(nx, ny) >= SMALL, apart <= SKETCH_BITS).otherwise(True)
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * THRESHOLD) & room
+    # Sets of similarity T have at most (nx + ny) (1 - T) / (1 + T) shingles in one of them only.
+    small = _apart(x, y) * (100 + percent) <= (nx + ny) * (100 - percent)
+    room = F.when(F.greatest(nx, ny) < SMALL, small).when(F.least(nx, ny) >= SMALL, _apart(x, y) <= bits).otherwise(True)
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & room
 
 
 def _named(df: DataFrame, prefix: str) -> list[F.Column]:
@@ -173,62 +189,50 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = scratch.written(buckets.where("centre <> last"), "buckets")
     spokes = members.join(buckets.select("key", "centre"), "key").select("key", "doc_id", "centre")
     spokes = scratch.written(spokes, "spokes")
-    # Two pairs a document at most: the first and the last centre of its buckets.
-    ends = spokes.where("doc_id <> centre").groupBy("doc_id").agg(F.min("centre").alias("x"), F.max("centre").alias("y"))
-    pairs = ends.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), F.col("doc_id").alias("b"))
     left = sketches.select(F.col("doc_id").alias("a"), *_named(sketches, "x"))
     right = sketches.select(F.col("doc_id").alias("b"), *_named(sketches, "y"))
-    pairs = pairs.join(left, "a").join(right, "b").where(_alike("x", "y")).select("a", "b")
-    pairs = scratch.written(pairs.distinct() if several else pairs, "pairs")
+    stars = spokes.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = stars.join(left, "a").join(right, "b").where(_near("x", "y")).select("a", "b", _alike("x", "y").alias("alike"))
+    # A document with several texts is near if one of them is.
+    stars = scratch.written(stars.groupBy("a", "b").agg(F.max("alike").alias("alike")) if several else stars, "near")
     same = copies.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = _confirm(docs, pairs, scratch, "stars").union(same)
-    comps = scratch.written(connected_components(links, scratch, "star"), "components-0")
-
-    rest = spokes.select("key", "doc_id")
-    tested, k = pairs, 0
-    while True:
-        named = rest.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        named = named.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        unsettled = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        rest = scratch.written(named.join(unsettled, "key").join(sketches, "doc_id"), f"open-{k}")
-        if rest.isEmpty():
-            break
-        cell = F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(CELLS**k))
-        centres = rest.groupBy("key", cell.alias("cell")).agg(F.min("doc_id").alias("doc_id")).select("key", "doc_id")
-        centres = scratch.written(centres, f"centres-{k}")
-        # A pair that shares several buckets is compared in the first of them only; at most one key a band and document.
-        held = rest.groupBy("doc_id").agg(F.collect_set("key").alias("held"))
-        led = centres.groupBy("doc_id").agg(F.collect_set("key").alias("led"))
-        hub = rest.join(centres, ["key", "doc_id"], "left_semi").join(led, "doc_id")
-        hub = hub.select("key", F.col("doc_id").alias("a"), F.col("component").alias("c"), "led", *_named(hub, "x"))
-        spoke = rest.join(held, "doc_id")
-        spoke = spoke.select("key", F.col("doc_id").alias("b"), F.col("component").alias("d"), "held", *_named(spoke, "y"))
-        once = F.col("key") == F.array_min(F.array_intersect("led", "held"))
-        pairs = hub.join(spoke, "key").where((F.col("c") != F.col("d")) & _alike("x", "y") & once)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = scratch.written(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{k}")
-        if not pairs.isEmpty():
-            tested = tested.union(pairs)
-            links = _confirm(docs, pairs, scratch, f"round-{k}")
-            if not links.isEmpty():
-                comps = _joined(comps, links, scratch, k)
-        rest = rest.select("key", "doc_id").join(centres, ["key", "doc_id"], "left_anti")
-        rest = rest.distinct() if several else rest
-        k += 1
+    linked = _confirm(docs, stars.where("alike").select("a", "b"), scratch, "stars")
+    comps = scratch.written(connected_components(linked.union(same), scratch, "star"), "components-0")
+
+    named = spokes.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    named = scratch.written(named.withColumn("component", F.coalesce("component", "doc_id")), "memberships")
+    unsettled = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    # Of each membership: whether the document is linked with the centre, and if not, whether it is near it.
+    how = stars.select("a", "b").join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").withColumnsRenamed({"a": "centre", "b": "doc_id"})
+    rest = named.join(unsettled, "key").join(how.withColumn("near", F.lit(True)), ["centre", "doc_id"], "left")
+    is_centre = F.col("doc_id") == F.col("centre")
+    rest = rest.select("key", "doc_id", "component", (is_centre | F.coalesce("linked", F.lit(False))).alias("linked"), F.coalesce("near", F.lit(False)).alias("near"))
+    rest = scratch.written(rest, "open")
+    full = rest.join(sketches, "doc_id")
+    # A document with several texts keeps all of them apart from the metric.
+    full = full.withColumn("linked", F.lit(False)) if several else full
+    x = full.where("not linked").select("key", F.col("doc_id").alias("a"), F.col("component").alias("c"), "near", *_named(full, "x"))
+    y = full.select("key", F.col("doc_id").alias("b"), F.col("component").alias("d"), F.col("linked").alias("by"), *_named(full, "y"))
+    once = F.when(F.col("by"), F.col("near")).otherwise(F.col("a") < F.col("b"))
+    pairs = x.join(y, "key").where((F.col("c") != F.col("d")) & once & _alike("x", "y"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = scratch.written(pairs.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        comps = _joined(comps, _confirm(docs, pairs, scratch, "open"), scratch)
 
     named = signed.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     named = named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return named.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
-def _joined(comps: DataFrame, links: DataFrame, scratch: Scratch, k: int) -> DataFrame:
+def _joined(comps: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """The components after more links: links between components are solved, then every node is renamed."""
     of_a = comps.select(F.col("node").alias("a"), F.col("component").alias("x"))
     of_b = comps.select(F.col("node").alias("b"), F.col("component").alias("y"))
     found = links.join(of_a, "a", "left").join(of_b, "b", "left")
     between = found.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
-    renamed = connected_components(between, scratch, f"round-{k}").select("node", F.col("component").alias("new"))
+    renamed = connected_components(between, scratch, "open").select("node", F.col("component").alias("new"))
     nodes = comps.join(renamed.withColumnRenamed("node", "component"), "component", "left")
     nodes = nodes.select("node", F.coalesce("new", "component").alias("component"))
     single = renamed.join(comps, "node", "left_anti").select("node", F.col("new").alias("component"))
-    return scratch.written(nodes.union(single), f"components-{k + 1}")
+    return scratch.written(nodes.union(single), "components-1")
