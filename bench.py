@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from podwatch.checks import fixtures as fx  # noqa: E402
+from podwatch.checks.job_queries import QUERIES as JOB_QUERIES  # noqa: E402
 from podwatch.checks.queries import QUERIES  # noqa: E402
 from podwatch.functions.timing import after_minutes_ago  # noqa: E402
 from podwatch.operators import detect  # noqa: E402
@@ -84,7 +85,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
-    chosen = {**QUERIES, **(LITERAL if os.environ.get("BENCH_LITERAL") == "1" else {})}
+    # Queries that run whole jobs write tables of their own each time; BENCH_ONLY can name them.
+    single = {k: v for k, v in QUERIES.items() if k not in JOB_QUERIES or k in os.environ.get("BENCH_ONLY", "").split(",")}
+    chosen = {**single, **(LITERAL if os.environ.get("BENCH_LITERAL") == "1" else {})}
     only = os.environ.get("BENCH_ONLY", "").split(",")
     for name, query in chosen.items():
         if only != [""] and name not in only:

@@ -359,6 +359,7 @@ ORACLES: dict[str, str] = {
 
 # The jobs leave what the operators give.
 ORACLES |= {
+    "R1_late_corrections": ORACLES["R1_replay_counts"],
     "K6_logged_alerts": ORACLES["W1_whole_poll"],
     "K8_published_text": _with(
         "swaps alert_log token_metadata responses",

@@ -190,6 +190,15 @@ def replay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay_counts(spark, sf_dir)
 
 
+def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All swaps, those of one venue after the polls that should have counted them."""
+    swaps = fx.swaps(spark, sf_dir)
+    is_late = F.coalesce(F.col("source") == "ORCA", F.lit(False))
+    known, late = swaps.where(~is_late), swaps.where(is_late)
+    changes = settled(replay.late_corrections(known, late, fx.REPLAY_UNTIL))
+    return replay.corrected(replay.replay_counts(known, fx.REPLAY_UNTIL), changes)
+
+
 def suppressed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.suppress_replay(_replay_counts(spark, sf_dir))
 
@@ -225,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "X1_time_text": time_text,
     "X2_quoting": quoting,
     "R1_replay_counts": replay_counts,
+    "R1_late_corrections": late_corrections,
     "R2_suppressed_alerts": suppressed_alerts,
     **JOB_QUERIES,
 }

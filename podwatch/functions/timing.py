@@ -58,6 +58,12 @@ def instant_like(as_of: datetime | str, df: DataFrame, column: str = "timestamp"
     return instant(moment, kind_of(df, column))
 
 
+def collected_instants(row: DataFrame) -> list[datetime | None]:
+    """The timestamps of a one-row frame as datetimes without zone, in UTC, whatever the zones of session and driver."""
+    plain = [F.col(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.unix_micros(f.name).alias(f.name) for f in row.schema.fields]
+    return [datetime(1970, 1, 1) + timedelta(microseconds=v) if isinstance(v, int) else v for v in row.select(*plain).first()]
+
+
 def after_minutes_ago(df: DataFrame, as_of: datetime | str, minutes: int, column: str = "timestamp") -> Column:
     """Trailing window test: strictly later than ``minutes`` before the run time, with no upper bound."""
     return F.col(column) > instant_like(as_of, df, column, minutes)

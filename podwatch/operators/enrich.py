@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podwatch import fixed_values as fv
 from podwatch.functions.payload import RESPONSE_SCHEMA, is_true
 from podwatch.functions.text import is_blank, leading, or_empty
+from podwatch.functions.timing import instant_like
 
 LOOKUP_COLUMNS = ("address", "symbol", "name", "decimals")
 
@@ -36,42 +39,51 @@ def tokens_to_fetch(tokens: DataFrame, metadata: DataFrame) -> DataFrame:
     """Missing and incomplete tokens, each once.
 
     One left join over the distinct tokens answers both questions: a token without a row has no
-    symbol either.
+    symbol either. Metadata has one row per address, so none is repeated.
     """
     keys = tokens.select(F.col("token").alias("address")).where(F.col("address").isNotNull()).distinct()
     known = metadata.select("address", "symbol", "name")
-    return (
-        keys.join(known, "address", "left")
-        .where(is_blank(F.col("symbol")) | is_blank(F.col("name")))
-        .select("address")
-        .distinct()
-    )
+    return keys.join(known, "address", "left").where(is_blank(F.col("symbol")) | is_blank(F.col("name"))).select("address")
 
 
-def accepted_responses(responses: DataFrame) -> DataFrame:
-    """Responses with status 200, a true ``success`` and a ``data`` member; one per address.
+def _accepted(responses: DataFrame, as_of: datetime | str | None) -> DataFrame:
+    """(address, answer): when it was fetched and its data, of responses with status 200, a true ``success`` and a ``data`` member.
 
-    Where an address was answered more than once, the greatest (symbol, name, decimals) is taken, so
-    a rerun gives the same row.
+    Responses without a column ``fetched_at``, or without a time, count as older than all others. With ``as_of``, later ones are not seen.
     """
-    parsed = responses.select("address", "status_code", F.from_json("body", RESPONSE_SCHEMA).alias("r"))
+    timed = "fetched_at" in (c.lower() for c in responses.columns)
+    if timed and as_of is not None:
+        responses = responses.where(F.col("fetched_at").isNull() | (F.col("fetched_at") <= instant_like(as_of, responses, "fetched_at")))
+    at = F.col("fetched_at") if timed else F.lit(None).cast("timestamp")
+    parsed = responses.select("address", "status_code", at.alias("at"), F.from_json("body", RESPONSE_SCHEMA).alias("r"))
     accepted = (F.col("status_code") == 200) & is_true(F.col("r.success")) & F.col("r.data").isNotNull()
-    return (
-        parsed.where(accepted)
-        .groupBy("address")
-        .agg(F.max("r.data").alias("data"))
-        .select("address", "data.symbol", "data.name", "data.decimals")
-    )
+    return parsed.where(accepted).select("address", F.struct("at", F.col("r.data").alias("data")).alias("answer"))
+
 
+def accepted_responses(responses: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
+    """The newest valid response of each address, as of a run time if one is given.
 
-def resolve_responses(addresses: DataFrame, responses: DataFrame) -> DataFrame:
-    """One row per distinct address asked for; a failed one has empty symbol and name, NULL decimals."""
-    keys = addresses.select("address").where(F.col("address").isNotNull()).distinct()
-    return keys.join(accepted_responses(responses.join(keys, "address", "left_semi")), "address", "left").select(
+    Where several were fetched at once, or without a time, the greatest (symbol, name, decimals) is taken, so a rerun
+    gives the same row.
+    """
+    newest = _accepted(responses, as_of).groupBy("address").agg(F.max("answer").alias("a"))
+    return newest.select("address", "a.data.symbol", "a.data.name", "a.data.decimals")
+
+
+def resolve_responses(addresses: DataFrame, responses: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
+    """One row per distinct address asked for; a failed one has empty symbol and name, NULL decimals.
+
+    Only responses of wanted addresses are parsed. They and the addresses meet in one grouping.
+    """
+    keys = addresses.select("address").where(F.col("address").isNotNull())
+    answers = _accepted(responses.join(keys, "address", "left_semi"), as_of)
+    both = answers.unionByName(keys.withColumn("answer", F.lit(None)))
+    found = both.groupBy("address").agg(F.max("answer").alias("a"))
+    return found.select(
         "address",
-        or_empty(F.col("symbol")).alias("symbol"),
-        or_empty(F.col("name")).alias("name"),
-        "decimals",
+        or_empty(F.col("a.data.symbol")).alias("symbol"),
+        or_empty(F.col("a.data.name")).alias("name"),
+        F.col("a.data.decimals").alias("decimals"),
     )
 
 

@@ -9,16 +9,17 @@ these changes; it never copies a swap once per window.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podwatch import fixed_values as fv
-from podwatch.functions.timing import instant, kind_of, minutes, on_grid, poll_tick
+from podwatch.functions.timing import collected_instants, instant, kind_of, minutes, on_grid, parse_instant, poll_tick
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule, cooldown_minutes
+from podwatch.session import broadcast_if_small, settled
 from podwatch.sources.tables import swaps_until
 
 
@@ -27,10 +28,12 @@ def _check_grid(poll_minutes: int, lengths: Sequence[int]) -> None:
         raise ValueError("window lengths must be multiples of the poll period")
 
 
-def trader_ticks(swaps: DataFrame, poll_minutes: int = fv.POLL_MINUTES) -> DataFrame:
-    """Distinct (token, side, user, counted, tick); repeats inside a poll period go before the shuffle."""
+def trader_ticks(swaps: DataFrame, poll_minutes: int = fv.POLL_MINUTES, tokens: DataFrame | None = None) -> DataFrame:
+    """Distinct (token, side, user, counted, tick), of ``tokens`` only if they are given; repeats inside a poll period go before the shuffle."""
     tick = poll_tick(F.col("timestamp"), poll_minutes)
-    return swap_legs(swaps).select("token", "side", "user_address", "counted", tick.alias("tick")).distinct()
+    legs = swap_legs(swaps)
+    legs = legs if tokens is None else legs.join(tokens.select("token"), "token", "left_semi")
+    return legs.select("token", "side", "user_address", "counted", tick.alias("tick")).distinct()
 
 
 def count_changes(ticks: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -114,18 +117,19 @@ def replay_counts(
     poll_minutes: int = fv.POLL_MINUTES,
     date_column: str | None = None,
     date_zone: str = "UTC",
+    tokens: DataFrame | None = None,
 ) -> DataFrame:
     """Candidates of every poll up to ``until``: (timestamp, token, time_interval, counts).
 
     Each poll sees the swaps up to itself. With ``since``, polls before it are left out, and swaps too
-    old to matter are not read.
+    old to matter are not read. ``tokens`` restricts the replay to some tokens.
     """
     _check_grid(poll_minutes, [recent_minutes, *(r.length_minutes for r in rules)])
     kind = kind_of(swaps, "timestamp")
     last = instant(until, kind)
     longest = max([recent_minutes, *(r.length_minutes for r in rules)])
     read = swaps_until(swaps, until, since, longest, date_column, date_zone)
-    changes = count_changes(trader_ticks(read, poll_minutes), rules)
+    changes = count_changes(trader_ticks(read, poll_minutes, tokens), rules)
     totals = running_counts(changes, rules, recent_minutes, poll_minutes).where(F.col("tick") <= last)
     if since is not None:
         totals = totals.where(F.col("tick") >= instant(since, kind))
@@ -147,6 +151,58 @@ def replay_counts(
     )
 
 
+def late_corrections(
+    swaps: DataFrame,
+    late: DataFrame,
+    until: datetime | str,
+    rules: Sequence[Rule] = RULES,
+    recent_minutes: int = fv.RECENT_MINUTES,
+    poll_minutes: int = fv.POLL_MINUTES,
+    date_column: str | None = None,
+    date_zone: str = "UTC",
+) -> DataFrame:
+    """What swaps that came late change in the candidates of past polls: rows to ``retract`` and rows to ``add``.
+
+    (change, timestamp, token, time_interval, counts); a candidate whose counts changed is both. Only tokens that ``late`` has are
+    counted again, and only polls from its first swap until the longest window after its last has passed; of ``swaps``, those
+    known before, no others are read. Applied to the candidates of ``swaps`` they give those of all swaps, in whatever order late ones come.
+    """
+    tick = poll_tick(F.col("timestamp"), poll_minutes)
+    touched = settled(swap_legs(late).groupBy("token").agg(F.min(tick).alias("first"), F.max(tick).alias("last")))
+    key = ["timestamp", "token", "time_interval"]
+    counts = ("num_users_bought", "num_users_sold")
+    first, last = collected_instants(touched.agg(F.min("first").alias("first"), F.max("last").alias("last")))
+    if first is None:
+        nothing = replay_counts(swaps.limit(0), until, None, rules, recent_minutes, poll_minutes)
+        return nothing.select(F.lit("add").alias("change"), *key, *counts)
+    longest = max([recent_minutes, *(r.length_minutes for r in rules)])
+    end = min(parse_instant(until), last + timedelta(minutes=longest))
+    tokens = broadcast_if_small(touched.select("token"))
+
+    def counted(of: DataFrame) -> DataFrame:
+        return replay_counts(of, end, first, rules, recent_minutes, poll_minutes, date_column, date_zone, tokens).select(*key, *counts)
+
+    before, after = counted(swaps).alias("x"), counted(swaps.unionByName(late)).alias("y")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in key]
+    both = before.join(after, same[0] & same[1] & same[2], "full_outer")
+    unchanged = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in counts]
+    sides = F.array(
+        *(
+            F.struct(F.lit(change).alias("change"), *(F.col(f"{side}.{c}").alias(c) for c in (*key, *counts)))
+            for change, side in (("retract", "x"), ("add", "y"))
+        )
+    )
+    return both.where(~(unchanged[0] & unchanged[1])).select(F.inline(sides)).where("token is not null")
+
+
+def corrected(candidates: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Candidates after corrections."""
+    rows = ["timestamp", "token", "time_interval", "num_users_bought", "num_users_sold"]
+    gone = corrections.where("change = 'retract'").select(*rows)
+    added = corrections.where("change = 'add'").select(*rows)
+    return candidates.select(*rows).join(gone, rows, "left_anti").unionByName(added)
+
+
 def _reached(c: Column) -> Column:
     """Places, from 1, that are reached from the first by following ``next`` (a place, or one past the end) in an array.
 

@@ -43,7 +43,7 @@ def metadata_with_responses(
     candidates: DataFrame, metadata: DataFrame, responses: DataFrame, as_of: datetime | str, keep_known: bool = True
 ) -> DataFrame:
     """Metadata after the answers for missing and incomplete candidate tokens were put in."""
-    fetched = resolve_responses(tokens_to_fetch(candidates, metadata), responses)
+    fetched = resolve_responses(tokens_to_fetch(candidates, metadata), responses, as_of)
     fitting, _ = split_rejects(fetched)
     now = instant_like(as_of, metadata, "inserted_at")
     return upsert(metadata, fitting, now, API_UPDATES, keep_known)
@@ -100,7 +100,7 @@ def refresh_metadata(
     """Puts the answers for missing and incomplete tokens into the metadata table. With ``keep_known``, answers that say nothing new write nothing."""
     known = lookup_metadata(current_rows(spark, table), tokens)
     wanted = tokens_to_fetch(candidates, known)
-    fetched, _ = split_rejects(resolve_responses(wanted, responses))
+    fetched, _ = split_rejects(resolve_responses(wanted, responses, as_of))
     if keep_known:
         fetched = news(fetched, known)
     merge_metadata(spark, table, fetched, as_of, API_UPDATES, keep_known)

@@ -36,7 +36,7 @@ METADATA_WIDTHS = {
 }
 
 RAW_METADATA_COLUMNS = ("address", "name", "symbol", "blockchain", "decimals")
-METADATA_RESPONSES = "address string, status_code int, body string"
+METADATA_RESPONSES = "address string, status_code int, body string, fetched_at timestamp"
 BTC_HISTORIC_DDL = "raw_data VARIANT"
 
 

@@ -56,6 +56,29 @@ def test_missing_incomplete_and_wanted(spark):
     assert sorted(r[0] for r in enrich.tokens_to_fetch(tokens, meta).collect()) == ["b", "c", "d"]
 
 
+def test_the_newest_valid_answer_as_of_the_poll_counts(spark):
+    def good(symbol):
+        return f'{{"success":true,"data":{{"symbol":"{symbol}","name":"N","decimals":6}}}}'
+
+    answers = spark.createDataFrame(
+        [
+            ("a", 200, good("Z"), "2024-01-31 10:00:00"),
+            ("a", 200, good("A"), "2024-01-31 11:00:00"),
+            ("a", 500, good("X"), "2024-01-31 11:30:00"),
+            ("a", 200, good("later"), "2024-01-31 12:30:00"),
+            ("b", 200, good("untimed"), None),
+            ("c", 200, good("untimed"), None),
+            ("c", 200, good("C"), "2024-01-30 00:00:00"),
+            ("d", 200, good("later"), "2024-01-31 12:30:00"),
+        ],
+        "address string, status_code int, body string, at string",
+    ).withColumn("fetched_at", F.col("at").cast("timestamp")).drop("at")
+    asked = spark.createDataFrame([(x,) for x in "abcde"], "address string")
+    got = {r.address: r.symbol for r in enrich.resolve_responses(asked, answers, "2024-01-31 12:00:00").collect()}
+    assert got == {"a": "A", "b": "untimed", "c": "C", "d": "", "e": ""}
+    assert {r.address: r.symbol for r in enrich.resolve_responses(asked, answers).collect()}["a"] == "later"
+
+
 def test_responses_give_one_row_per_address(spark):
     good = '{"success":true,"data":{"symbol":"S","name":"N","decimals":6}}'
     answers = spark.createDataFrame(

@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from podwatch.operators.detect import detect_candidates
-from podwatch.operators.replay import poll_grid, replay_counts, suppress_replay
+from podwatch.operators.replay import corrected, late_corrections, poll_grid, replay_counts, suppress_replay
 from podwatch.plans.replay import replay_alerts, replay_texts
 from podwatch.rules import RULES, Rule
+from podwatch.session import settled
 
 START = datetime(2024, 1, 31, 0, 0, 0)
 SWAP_SCHEMA = "timestamp timestamp_ntz, user_address string, swapfromtoken string, swaptotoken string, source string"
@@ -153,3 +154,35 @@ def test_texts_cover_every_poll(spark):
 def test_empty_history(spark):
     none = spark.createDataFrame([], SWAP_SCHEMA)
     assert suppress_replay(replay_counts(none, START)).count() == 0
+
+
+def test_late_swaps_in_any_order_give_the_result_of_swaps_in_order(spark):
+    rows = random_swaps(7)
+    until = START + timedelta(hours=8)
+    expected = {tuple(r) for r in corrected_columns(replay_counts(spark.createDataFrame(rows, SWAP_SCHEMA), until)).collect()}
+    rng = random.Random(3)
+    rng.shuffle(rows)
+    cuts = [0, len(rows) * 5 // 8, len(rows) * 6 // 8, len(rows) * 7 // 8, len(rows)]
+    parts = [rows[a:b] for a, b in zip(cuts, cuts[1:])]
+    known = spark.createDataFrame(parts[0], SWAP_SCHEMA)
+    found = settled(corrected_columns(replay_counts(known, until)))
+    for part in parts[1:]:
+        late = spark.createDataFrame(part, SWAP_SCHEMA)
+        found = settled(corrected(found, settled(late_corrections(known, late, until))))
+        known = known.unionByName(late)
+    assert {tuple(r) for r in found.collect()} == expected and found.count() == len(expected) > 200
+
+
+def corrected_columns(df):
+    return df.select("timestamp", "token", "time_interval", "num_users_bought", "num_users_sold")
+
+
+def test_corrections_touch_the_tokens_and_polls_of_late_swaps_only(spark):
+    rows = random_swaps(8)
+    known = spark.createDataFrame(rows, SWAP_SCHEMA)
+    at = START + timedelta(hours=4, minutes=2)
+    late = spark.createDataFrame([(at, f"new{k}", "SOL", "A", "RAYDIUM") for k in range(9)], "timestamp timestamp_ntz, user_address string, swapfromtoken string, swaptotoken string, source string").select(*known.columns)
+    got = late_corrections(known, late, START + timedelta(hours=8)).collect()
+    assert got and {r.token for r in got} <= {"A", "SOL"}
+    assert min(r.timestamp for r in got) >= at and max(r.timestamp for r in got) <= at + timedelta(hours=3, minutes=5)
+    assert late_corrections(known, late.limit(0), START + timedelta(hours=8)).count() == 0
