@@ -132,8 +132,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def line_dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with n_lines, n_dropped and kept_text; columns of these names that were there are replaced.
 
-    Lines are split at the line feed; a NULL or empty text is one empty line. A row is a document: rows that
-    repeat a doc_id count each, and all of them keep what the largest doc_id keeps. A row with a NULL doc_id
+    Lines are split at the line feed; a NULL or empty text is one empty line. Rows that repeat a doc_id are one
+    document: a line counts once for them, and all of them keep what the largest doc_id keeps. A row with a NULL doc_id
     is not counted and loses nothing. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -141,6 +141,9 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     docs = docs.drop("n_lines", "n_dropped", "kept_text", "gone")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = narrow.mapInArrow(_lines, "h1 long, h2 long, doc_id long")
+    # Rows have each line once; documents too, unless rows repeat a doc_id.
+    if not narrow.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        lines = lines.distinct()
     seen = Observation()
     counted = lines.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.max("doc_id").alias("keeper"))
     counted = counted.observe(seen, F.sum("docs").alias("lines"), F.sum(F.when(F.col("docs") >= MIN_DOCS, 1).otherwise(0)).alias("keys"))

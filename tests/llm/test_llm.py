@@ -236,6 +236,13 @@ def test_lines_without_ids_repeated_ids_and_no_rows(spark):
     assert line_dedup(docs.limit(0)).count() == 0
 
 
+def test_lines_count_documents_not_rows(spark):
+    line = "a line that is long enough to be looked at by the operator"
+    docs = spark.createDataFrame([(k, f"{line}\nown {k}") for k in (1, 1, 1, 1, 2)] + [(k, f"{line} too") for k in (3, 3, 4, 5, 6, 7, 7)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_dropped) for r in line_dedup(docs).collect())
+    assert got == [(1, 0)] * 4 + [(2, 0)] + [(3, 1)] * 2 + [(4, 1), (5, 1), (6, 1), (7, 0), (7, 0)]
+
+
 def test_perfect_hash_is_minimal():
     keys = np.unique(np.random.default_rng(0).integers(0, 2**64, 20_000, dtype=np.uint64))
     sizes, bits, index = perfect_hash.build(keys)
@@ -518,18 +525,104 @@ def test_short_items_match_whole_lines_only(spark):
         assert {(r.doc_id, r.item_id): (r.n_windows, r.first_token, r.n_slots, r.same_values) for r in got} == expected
 
 
-def test_passages_of_the_test_benchmark_are_found(spark):
-    docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
-    words = lambda t: re.findall(r"\w+", t.lower())
+def plain_passages(docs, items):
+    """(doc_id, item_id) that share eight words in a row."""
+    words = lambda t: re.findall(r"\w+", (t or "").lower())
     where = defaultdict(set)
-    for r in items.collect():
-        w = words(r.text)
+    for i, text in items:
+        w = words(text)
         for k in range(len(w) - 7):
-            where[tuple(w[k : k + 8])].add(r.item_id)
-    expected = {(r.doc_id, i) for r in docs.collect() for w in [words(r.text)] for k in range(len(w) - 7) for i in where.get(tuple(w[k : k + 8]), ())}
+            where[tuple(w[k : k + 8])].add(i)
+    return {(d, i) for d, text in docs for w in [words(text)] for k in range(len(w) - 7) for i in where.get(tuple(w[k : k + 8]), ())}
+
+
+def test_passages_of_the_test_benchmark_are_found(spark):
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    expected = plain_passages(docs.select("doc_id", "text").collect(), items.select("item_id", "text").collect())
     assert expected and {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()} == expected
 
 
+def plain_template(text):
+    """(token, value) of plain lower-case words, numbers and names; a name stands after a lower-case word or a number."""
+    out = []
+    for k, w in enumerate(text.split(" ")):
+        kind = "#" if w.isdigit() else "@" if k and w[0].isupper() and (text.split(" ")[k - 1][-1].islower() or text.split(" ")[k - 1].isdigit()) else None
+        out.append((kind or w.lower(), w.lower()))
+    return out
+
+
+def plain_reparameterised(doc, item):
+    """Whether some alignment of the two shares a window of eight template tokens that proves something, by the operator's rules."""
+    there, here = plain_template(doc), plain_template(item)
+    for shift in range(-len(here), len(there)):
+        starts = [s for s in range(len(here) - 7) if 0 <= s + shift <= len(there) - 8 and all(here[s + j][0] == there[s + j + shift][0] for j in range(8))]
+        if not starts:
+            continue
+        words = {s: sum(here[s + j][0] not in "#@" for j in range(8)) for s in starts}
+        rich = [s for s in starts if words[s] >= 5]
+        covered = sorted({s + j for s in starts for j in range(8)})
+        slots = [(k, here[k][0], here[k][1], here[k + 1][1] if here[k][0] == "#" and k + 1 < len(here) and here[k + 1][0] not in "#@" else here[k + 1][0] + here[k + 1][1] if here[k][0] == "#" and k + 1 < len(here) else "", there[k + shift][1]) for k in covered if here[k][0] in "#@"]
+        if not rich:
+            if all(x == y for _, _, x, _, y in slots):
+                return True
+            continue
+        clash = {k for k, t, x, of, y in slots if any(t == t2 and x == x2 and of == of2 and y != y2 for _, t2, x2, of2, y2 in slots)}
+        clean = [s for s in rich if not any(s <= k < s + 8 for k in clash)]
+        if any(words[s] == 8 for s in starts) or not clash or clean and max(clean) - min(clean) >= 8:
+            return True
+    return False
+
+
+def test_reparameterised_passages_match_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = "every child takes apples and carries pears while mother buys melons before uncle sells plums near our town".split()
+    names = "Maria Ivana Lopez Petrov Chen Okoro".split()
+
+    def token():
+        x = rng.random()
+        return str(rng.choice((2, 3, 5, 7, 11))) if x < 0.2 else rng.choice(names) if x < 0.28 else rng.choice(vocabulary)
+
+    items = {k: " ".join(["the", *(token() for _ in range(rng.randint(9, 22)))]) for k in range(25)}
+
+    def changed(text):
+        """The passage with other values: consistent ones, or each by itself."""
+        by, alone = {}, rng.random() < 0.5
+        out = []
+        for w in text.split(" "):
+            if w.isdigit() or w[0].isupper():
+                new = (lambda: str(rng.choice((2, 3, 4, 6, 8, 11)))) if w.isdigit() else (lambda: rng.choice(names))
+                w = new() if alone else by.setdefault(w, new())
+            out.append(w)
+        return " ".join(out)
+
+    docs = []
+    for _ in range(160):
+        words = changed(items[rng.randrange(25)]).split(" ")
+        if rng.random() < 0.4:
+            words[rng.randrange(len(words))] = "replaced"
+        docs.append(" ".join(["so", *(rng.choice(vocabulary) for _ in range(rng.randrange(5))), *words, *(rng.choice(vocabulary) for _ in range(rng.randrange(5)))]))
+    expected = {(d, i) for d, doc in enumerate(docs) for i, item in items.items() if plain_reparameterised(doc, item)}
+    got = {(r.doc_id, r.item_id) for r in contaminated(rows(spark, *docs), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert got == expected
+    assert 40 < len(expected) < 160
+
+
+def test_contamination_in_a_script_without_spaces(spark):
+    question = "小明有三个苹果和五个梨他把两个苹果给了他的妹妹然后又从市场买了四个苹果请问小明现在一共有多少个水果呢"
+    docs = [f"前言部分。我们来看一道题{question}答案在后面", "今天天气很好我们去公园玩", question[:20], "今天小明有三个苹果很好吃", "x " + question[5:40] + " y"]
+    items = spark.createDataFrame([(7, question)], "item_id long, text string")
+    assert {r.doc_id for r in contaminated(rows(spark, *docs), items).collect()} == {0, 2, 4}
+
+
+def test_contamination_of_repeated_ids_long_texts_and_clashing_columns(spark):
+    long = "filler words that say nothing at all " * 60_000
+    docs = spark.createDataFrame([(1, "nothing here"), (1, f"Before. {ITEM} After."), (2, long + ITEM + " " + long), (None, ITEM), (3, long)], "doc_id long, text string")
+    docs = docs.withColumns({c: F.lit("clash") for c in ("item_id", "hash", "width", "tokens", "place", "n_windows")})
+    items = spark.createDataFrame([(1, ITEM, "clash")], "item_id long, text string, doc_id string")
+    found = contaminated(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 1)]
+
+
 # Packing
 
 
@@ -615,7 +708,7 @@ def test_pipeline_against_plain_stages(spark):
             assert {r.doc_id for r in out.collect()} == {k for k, v in expected.items() if k == v}
         if name == "benchmark_decontamination":
             items = spark.read.parquet(f"{folder}/benchmark.parquet")
-            found = {r.doc_id for r in contaminated(docs, items).collect()}
+            found = {d for d, _ in plain_passages([(k, r.text) for k, r in before.items()], items.select("item_id", "text").collect())}
             assert {r.doc_id for r in out.collect()} == set(before) - found
         if name == "packing":
             assert {r.doc_id for r in out.collect()} == set(before)
