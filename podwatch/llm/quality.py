@@ -1,8 +1,8 @@
 """Quality scores of documents: ridge regression on random Fourier features, with isotonic calibration.
 
 Statistics of each whole text are standardised, mapped to random cosines that approximate a Gaussian kernel,
-and fitted by ridge regression. Each partition of labelled rows sums its own normal equations; the driver
-adds one small matrix a partition and solves. Scores of labelled rows that the fit did not see are
+and fitted by ridge regression. Each partition of labelled rows sums its own normal equations; these are added a few
+at a time until one small matrix is left, which the driver solves. Scores of labelled rows that the fit did not see are
 binned by Spark, and an isotonic curve through the bins turns scores into probabilities.
 """
 
@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podwatch.llm.scratch import Scratch
+from podwatch.llm.tree import PART, combined, one_part, summed
 
 FEATURES = 256
 RIDGE = 1e-3  # of the number of rows
 SEED = 20_240_131
-SUMS = 32  # partitions of the labelled rows, and so matrices on the driver
+BROADCAST_LABELS = 2_000_000  # labels that are sent to every executor, some 100 MB there; beyond, a join shuffles
 BINS = 400
 BLOCK = 1_000  # rows whose features are in memory at a time
 REJECT_BELOW = 0.3
@@ -138,7 +139,7 @@ def isotonic(total: np.ndarray, good: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(k), g / n) for g, n, k in blocks])
 
 
-def fit(rows: DataFrame) -> Model | None:
+def fit(rows: DataFrame, scratch: Scratch) -> Model | None:
     """The model of labelled rows (doc_id, x, y); None if there are none.
 
     Rows whose crc32 of the doc_id's text leaves 4 modulo 5 are kept for calibration; if they or the others
@@ -162,11 +163,11 @@ def fit(rows: DataFrame) -> Model | None:
             features = Model.features(_matrix(batch), mean, scale)
             y = batch.column("y").to_numpy(zero_copy_only=False)
             total += features.T @ np.column_stack([features, y])
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+        yield one_part(total.tobytes())
 
-    # SUMS matrices of half a megabyte, whatever the number of rows.
-    parts = fitted.select("x", "y").repartition(SUMS).mapInArrow(sums, "total binary").toLocalIterator()
-    total = sum((np.frombuffer(r["total"]).reshape(size, size + 1) for r in parts), np.zeros((size, size + 1)))
+    # A matrix of half a megabyte for each partition of rows, added up a few at a time.
+    found = combined(fitted.select("x", "y").mapInArrow(sums, PART), summed, scratch, "equations")
+    total = np.frombuffer(found).reshape(size, size + 1)
     count = max(1.0, total[-1, size - 1])
     penalty = RIDGE * count * np.eye(size)
     penalty[-1, -1] = 1e-9
@@ -196,14 +197,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, keep_text: bool = False)
     Learns ``labels.quality`` (doc_id, quality) from rows that are not held out; a document with several
     labels counts with the largest. A NULL or empty text is scored like any other. A NULL doc_id is held out.
     Without labelled rows nothing speaks against a document: every score is 1. Empty tables give an empty
-    result. With ``keep_text`` the statistics are computed again rather than joined to the texts.
+    result. With ``keep_text`` statistics are computed of labelled rows first, and of all rows with their score.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     docs = docs.drop("held_out", "score", "predicted", "x")
-    known = scratch.written(measured(docs.select("doc_id", "text") if keep_text else docs), "statistics")
+    known = None if keep_text else scratch.written(measured(docs), "statistics")
     marks = labels.where("quality is not null").groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").cast("double").alias("y"))
-    rows = known.join(marks, known["doc_id"] == marks["of"]).where(~held_out(known["doc_id"])).select("doc_id", "x", "y")
-    model = fit(scratch.written(rows, "labelled"))
+    if keep_text:  # texts stay where they are unless labels are many
+        marks = scratch.written(marks, "labels")
+        marks = F.broadcast(marks) if marks.count() <= BROADCAST_LABELS else marks
+        texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
+        rows = measured(texts.join(marks, texts["doc_id"] == marks["of"]).select("doc_id", "text", "y"))
+    else:
+        rows = known.join(marks, known["doc_id"] == marks["of"]).where(~held_out(known["doc_id"]))
+    model = fit(scratch.written(rows.select("doc_id", "x", "y"), "labelled"), scratch)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):

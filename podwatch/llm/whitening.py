@@ -1,7 +1,7 @@
 """Whitening of embeddings by an incremental eigendecomposition.
 
 Every partition follows the spectrum of its own scatter matrix, one centred rank-one update a vector. Spectra are
-combined in groups of FAN_IN, again by rank-one updates, until one is left. Its basis then is refined by
+combined in groups of eight, again by rank-one updates, until one is left. Its basis then is refined by
 a Rayleigh-Ritz step: the covariance inside the basis is summed over all vectors in one more pass and solved.
 Tasks hold a few matrices of dimensions x dimensions; only one such matrix comes to the driver.
 
@@ -14,21 +14,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podwatch.llm.rank_one import Spectrum
 from podwatch.llm.scratch import Scratch
+from podwatch.llm.tree import PART, combined, one_part, summed
 
 SCALE, SHIFT = 64, 1_000_000
 COMPONENTS = 32
-FAN_IN = 8
 BLOCK = 1024  # vectors multiplied at a time
 LARGEST = 2**40  # entries beyond would leave the range in which sums are exact
 # Eigenvalues below this part of the trace are zero but for rounding.
 NOTHING = 1e-13
-PART = "part long, payload binary"
 OUT = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
@@ -40,7 +38,7 @@ def usable(vector: Column) -> Column:
 
 def quantised(vector: Column) -> Column:
     """Entries as long: floor(SCALE * c) + SHIFT."""
-    return F.transform(vector, lambda c: F.floor(c.cast("double") * SCALE) + SHIFT)
+    return F.transform(vector, lambda c: F.try_add(F.floor(c.cast("double") * SCALE), F.lit(SHIFT)))
 
 
 def _matrix(batch: pa.RecordBatch, size: int) -> np.ndarray:
@@ -54,37 +52,6 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.R
             yield part, _matrix(part, size)
 
 
-def _one(payload: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([payload], pa.binary())], ["part", "payload"]
-    )
-
-
-def combined(parts: DataFrame, join: Callable[[list[bytes]], bytes], scratch: Scratch, name: str) -> bytes | None:
-    """The payloads of all parts as one, joined FAN_IN at a time in order of parts; None if there is none."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("part")
-        part = table.column("part")[0].as_py() // FAN_IN
-        return pa.table({"part": pa.array([part], pa.int64()), "payload": pa.array([join(table.column("payload").to_pylist())], pa.binary())})
-
-    level = 0
-    parts = scratch.written(parts, f"{name}-0")
-    while (top := parts.agg(F.max("part")).first()[0] or 0) > 0:
-        level += 1
-        # Parts are numbered by partition; numbers of groups are the places of the next level.
-        grouped = parts.groupBy(F.floor(F.col("part") / FAN_IN)).applyInArrow(run, PART)
-        parts = scratch.written(grouped, f"{name}-{level}")
-        if top < FAN_IN:
-            break
-    found = parts.first()
-    return None if found is None else bytes(found["payload"])
-
-
-def _summed(payloads: list[bytes]) -> bytes:
-    return np.sum([np.frombuffer(p) for p in payloads], axis=0).tobytes()
-
-
 def _centred(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
     """x - sums / n, from the exact integers n * x - sums. ``sums`` are Python's integers."""
     low = np.array([s // n for s in sums], dtype=np.int64)
@@ -123,7 +90,7 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     if commonest is None:
         return spark.createDataFrame([], OUT)
     size = commonest["size"]
-    fits = F.assert_true(F.forall("v", lambda c: F.abs(c) < LARGEST), F.lit("an entry of an embedding is 2^40 or more"))
+    fits = F.assert_true(~usable(F.col("v")) | F.forall("v", lambda c: F.abs(c) < LARGEST), F.lit("an entry of an embedding is 2^40 or more"))
     rows = rows.where(F.size("v") == size).where(fits.isNull()).select("vec_id", quantised(F.col("v")).alias("x"))
     n = int(commonest["count"])
     entries = rows.select(F.posexplode("x").alias("k", "c")).groupBy("k").agg(F.sum(F.col("c").cast("decimal(38,0)")).alias("s"))
@@ -136,7 +103,7 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
             for v in (x - start).astype(np.float64):
                 spectrum.add(v)
         if spectrum.n:
-            yield _one(spectrum.tobytes())
+            yield one_part(spectrum.tobytes())
 
     def joined(payloads: list[bytes]) -> bytes:
         first, *others = (Spectrum.frombytes(p, size) for p in payloads)
@@ -154,12 +121,12 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
                 y = _centred(x, n, sums) @ project
                 total[:-1] += y.T @ y
                 total[-1] += y.sum(axis=0)
-            yield _one(total.tobytes())
+            yield one_part(total.tobytes())
 
         return run
 
     def measured(project: np.ndarray, name: str) -> np.ndarray:
-        total = np.frombuffer(combined(rows.mapInArrow(covariance(project), PART), _summed, scratch, name))
+        total = np.frombuffer(combined(rows.mapInArrow(covariance(project), PART), summed, scratch, name))
         total = total.reshape(-1, project.shape[1]) / n
         return total[:-1] - np.outer(total[-1], total[-1])
 
