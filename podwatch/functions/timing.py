@@ -76,6 +76,15 @@ def minutes(n: Column | int) -> Column:
     return F.lit(timedelta(minutes=1)) * n
 
 
+def minute_number(df: DataFrame, column: str) -> Column:
+    """Minutes from 1970 to a timestamp of whole minutes, in UTC or without zone, as a bigint; the session's zone plays no part."""
+    if isinstance(kind_of(df, column), T.TimestampType):
+        return F.expr(f"unix_micros(`{column}`) DIV 60000000")
+    since = F.col(column) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    days, hours, left = (F.extract(F.lit(unit), since).cast("bigint") for unit in ("DAY", "HOUR", "MINUTE"))
+    return days * 1440 + hours * 60 + left
+
+
 def poll_tick(ts: Column, poll_minutes: int) -> Column:
     """First poll at or after ``ts`` on a regular grid: 12:00:00 stays, 12:00:00.000001 moves on."""
     just_before = ts - F.expr("INTERVAL '0.000001' SECOND")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podwatch import fixed_values as fv
-from podwatch.functions.timing import collected_instants, instant, kind_of, minutes, on_grid, parse_instant, poll_tick
+from podwatch.functions.timing import collected_instants, instant, kind_of, minute_number, minutes, on_grid, parse_instant, poll_tick
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule, cooldown_minutes
 from podwatch.session import broadcast_if_small, settled
@@ -29,83 +29,102 @@ def _check_grid(poll_minutes: int, lengths: Sequence[int]) -> None:
 
 
 def trader_ticks(swaps: DataFrame, poll_minutes: int = fv.POLL_MINUTES, tokens: DataFrame | None = None) -> DataFrame:
-    """Distinct (token, side, user, counted, tick), of ``tokens`` only if they are given; repeats inside a poll period go before the shuffle."""
+    """(token, side, user, counted, tick) of every leg, of ``tokens`` only if they are given; a trader may come several times inside a poll period."""
     tick = poll_tick(F.col("timestamp"), poll_minutes)
     legs = swap_legs(swaps)
     legs = legs if tokens is None else legs.join(tokens.select("token"), "token", "left_semi")
-    return legs.select("token", "side", "user_address", "counted", tick.alias("tick")).distinct()
+    return legs.select("token", "side", "user_address", "counted", tick.alias("tick"))
 
 
-def count_changes(ticks: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Traders coming in at each (token, tick), and traders last seen there, per side and rule.
+# Histories that are counted together: the prefix of a history's columns, and which rows belong to it (SQL; None: all).
+Version = tuple[str, str | None]
+WHOLE: tuple[Version, ...] = (("", None),)
+KNOWN_AND_ALL: tuple[Version, ...] = (("before_", "NOT late"), ("after_", None))
+
+
+def _count_names(rules: Sequence[Rule]) -> list[str]:
+    return [f"{side}_{i}" for i in range(len(rules)) for side in ("buy", "sell")]
+
+
+def count_changes(ticks: DataFrame, rules: Sequence[Rule], versions: Sequence[Version] = WHOLE) -> DataFrame:
+    """Traders coming in at each (token, tick), and traders last seen there, per version, side and rule; ``seen``: whether a leg of the version is there.
 
     A trader comes in at a tick unless an earlier tick still covers it, and drops out one length after
-    a tick unless a later one takes over before. A group of the window function holds at most one row
-    per poll of the history; the sums reduce on the map side. The hash in front of the keys, added
-    after the shuffle, makes the sort compare numbers first, and texts of equal traders only.
+    a tick unless a later one takes over before. Of legs with the same tick the first has the gap before and the last the gap after, the
+    others have gaps of zero and count nowhere, so repeats need no grouping of their own: nearly all keys differ, and a hash table of them
+    on the map side would hold a whole split. Legs that are not counted share one trader and are spread by their tick. The sums reduce on the
+    map side. The hash in front of the keys, added after the shuffle, makes the sort compare numbers first, and texts of equal traders only.
     """
-    trader = ["token", "side", "user_address", "counted"]
-    own = Window.partitionBy("trader", *trader).orderBy("tick")
-    together = ticks.repartition(*trader).withColumn("trader", F.xxhash64(*trader))
-    spans = together.select(
-        "token",
-        "side",
-        "counted",
-        "tick",
-        (F.col("tick") - F.lag("tick").over(own)).alias("gap_before"),
-        (F.lead("tick").over(own) - F.col("tick")).alias("gap_after"),
-    )
-
-    def traders(side: str, gap: str, rule: Rule) -> Column:
-        alone = F.col(gap).isNull() | (F.col(gap) >= minutes(rule.length_minutes))
-        return F.count_if(F.col("counted") & (F.col("side") == side) & alone)
+    trader = ["token", "side", "user_address", "counted", "spread"]
+    spread = ticks.withColumn("spread", F.when(~F.col("counted"), F.col("tick")))
+    together = spread.repartition(*trader).withColumn("trader", F.xxhash64(*trader))
+    over = f"IGNORE NULLS OVER (PARTITION BY trader, {', '.join(trader)} ORDER BY tick)"
+    gaps = []
+    for name, which in versions:
+        mine = f"IF({which}, tick, NULL)" if which else "tick"
+        gaps += [F.expr(f"tick - lag({mine}) {over}").alias(f"{name}gap_before"), F.expr(f"lead({mine}) {over} - tick").alias(f"{name}gap_after")]
+    spans = together.select("token", "side", "counted", "tick", *(F.expr(which).alias(f"{name}mine") for name, which in versions if which), *gaps)
+
+    def traders(name: str, which: str | None, side: str, gap: str, rule: Rule) -> Column:
+        gap = F.col(f"{name}{gap}")
+        alone = F.col("counted") & (F.col("side") == side) & (gap.isNull() | (gap >= minutes(rule.length_minutes)))
+        return F.count_if(alone & F.col(f"{name}mine") if which else alone)
 
     return spans.groupBy("token", "tick").agg(
+        *(F.max(f"{name}mine").alias(f"{name}seen") for name, which in versions if which),
         *(
-            traders(side, gap, rule).alias(f"{side}_{end}_{i}")
+            traders(name, which, side, gap, rule).alias(f"{name}{side}_{end}_{i}")
+            for name, which in versions
             for i, rule in enumerate(rules)
             for side in ("buy", "sell")
             for end, gap in (("in", "gap_before"), ("out", "gap_after"))
-        )
+        ),
     )
 
 
 def running_counts(
-    changes: DataFrame, rules: Sequence[Rule], recent_minutes: int, poll_minutes: int
+    changes: DataFrame, rules: Sequence[Rule], recent_minutes: int, poll_minutes: int, versions: Sequence[Version] = WHOLE
 ) -> DataFrame:
-    """Traders inside each window at every (token, tick) at which the token is recent.
+    """Traders inside each window at every (token, tick) at which the token is recent; ``recent``: whether it is in that version.
 
-    Those who came in so far, less those last seen a length ago or before. A token has at most a few
-    rows per poll here, however many swaps it had.
+    Those who came in so far, less those last seen a length ago or before. A token has at most one row a poll here, however many
+    swaps it had. A row also answers the polls without legs until its token is no longer recent or has a row again; these are made
+    after the sums, so the sort holds each (token, tick) once. Frames compare numbers of minutes, as polls are whole minutes.
     """
-    names = [c for c in changes.columns if c not in ("token", "tick")]
-    later = F.explode(F.array(*(F.lit(m) for m in range(0, recent_minutes, poll_minutes))))
-    polls = (
-        changes.withColumn("later", later)
-        .select(
-            "token",
-            (F.col("tick") + minutes(F.col("later"))).alias("tick"),
-            *(F.when(F.col("later") == 0, F.col(name)).otherwise(0).alias(name) for name in names),
+    own = "PARTITION BY token ORDER BY minute"
+    so_far = f"{own} RANGE BETWEEN UNBOUNDED PRECEDING AND"
+
+    def until(length: int) -> str:
+        return f"{abs(length)} {'PRECEDING' if length >= 0 else 'FOLLOWING'}"
+
+    laters = range(0, recent_minutes, poll_minutes)
+    sums = [F.expr(f"lead(tick) OVER ({own})").alias("next")]
+    for name, which in versions:
+        if which:
+            sums.append(F.expr(f"max(IF({name}seen, tick, NULL)) OVER ({so_far} CURRENT ROW)").alias(f"{name}last"))
+        for i, rule in enumerate(rules):
+            for side in ("buy", "sell"):
+                sums.append(F.expr(f"sum({name}{side}_in_{i}) OVER ({so_far} CURRENT ROW)").alias(f"{name}{side}_{i}"))
+                for later in laters:
+                    left = f"sum({name}{side}_out_{i}) OVER ({so_far} {until(rule.length_minutes - later)})"
+                    sums.append(F.coalesce(F.expr(left), F.lit(0)).alias(f"{name}{side}_left_{i}_{later}"))
+
+    def poll(later: int) -> Column:
+        at = F.col("tick") + minutes(later)
+        told = F.col("next").isNull() | (F.col("next") > at)
+        return F.struct(
+            F.when(told, at).alias("tick"),
+            *((at - F.col(f"{name}last") < minutes(recent_minutes)).alias(f"{name}recent") for name, which in versions if which),
+            *(
+                (F.col(f"{name}{side}_{i}") - F.col(f"{name}{side}_left_{i}_{later}")).alias(f"{name}{side}_{i}")
+                for name, _ in versions
+                for i in range(len(rules))
+                for side in ("buy", "sell")
+            ),
         )
-        .repartition("token")
-        .groupBy("token", "tick")
-        .agg(*(F.sum(name).alias(name) for name in names))
-    )
-    so_far = Window.partitionBy("token").orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def inside(side: str, i: int, rule: Rule) -> Column:
-        came = F.sum(f"{side}_in_{i}").over(so_far)
-        left = F.expr(
-            f"sum({side}_out_{i}) OVER (PARTITION BY token ORDER BY tick RANGE BETWEEN UNBOUNDED PRECEDING"
-            f" AND INTERVAL '{rule.length_minutes}' MINUTE PRECEDING)"
-        )
-        return came - F.coalesce(left, F.lit(0))
-
-    return polls.select(
-        "token",
-        "tick",
-        *(inside(side, i, rule).alias(f"{side}_{i}") for i, rule in enumerate(rules) for side in ("buy", "sell")),
-    )
+    summed = changes.repartition("token").withColumn("minute", minute_number(changes, "tick")).select("token", "tick", *sums)
+    return summed.select("token", F.inline(F.array(*(poll(later) for later in laters)))).where("tick IS NOT NULL")
 
 
 def replay_counts(
@@ -166,7 +185,9 @@ def late_corrections(
     (change, timestamp, token, time_interval, counts); a candidate whose counts changed is both. Only tokens that ``late`` has are
     counted again, and only polls from its first swap until the longest window after its last has passed; of ``swaps``, those
     known before, no others are read. Applied to the candidates of ``swaps`` they give those of all swaps, in whatever order late ones come.
+    Both counts, without late swaps and with them, come from one pass and stand in one row a poll, so they meet without a join.
     """
+    _check_grid(poll_minutes, [recent_minutes, *(r.length_minutes for r in rules)])
     tick = poll_tick(F.col("timestamp"), poll_minutes)
     touched = settled(swap_legs(late).groupBy("token").agg(F.min(tick).alias("first"), F.max(tick).alias("last")))
     key = ["timestamp", "token", "time_interval"]
@@ -179,20 +200,24 @@ def late_corrections(
     end = min(parse_instant(until), last + timedelta(minutes=longest))
     tokens = broadcast_if_small(touched.select("token"))
 
-    def counted(of: DataFrame) -> DataFrame:
-        return replay_counts(of, end, first, rules, recent_minutes, poll_minutes, date_column, date_zone, tokens).select(*key, *counts)
-
-    before, after = counted(swaps).alias("x"), counted(swaps.unionByName(late)).alias("y")
-    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in key]
-    both = before.join(after, same[0] & same[1] & same[2], "full_outer")
-    unchanged = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in counts]
-    sides = F.array(
-        *(
-            F.struct(F.lit(change).alias("change"), *(F.col(f"{side}.{c}").alias(c) for c in (*key, *counts)))
-            for change, side in (("retract", "x"), ("add", "y"))
-        )
-    )
-    return both.where(~(unchanged[0] & unchanged[1])).select(F.inline(sides)).where("token is not null")
+    ticks = None
+    for of, is_late in ((swaps, False), (late, True)):
+        read = swaps_until(of, end, first, longest, date_column, date_zone)
+        part = trader_ticks(read, poll_minutes, tokens).withColumn("late", F.lit(is_late))
+        ticks = part if ticks is None else ticks.unionByName(part)
+    totals = running_counts(count_changes(ticks, rules, KNOWN_AND_ALL), rules, recent_minutes, poll_minutes, KNOWN_AND_ALL)
+    kind = kind_of(swaps, "timestamp")
+    totals = totals.where((F.col("tick") >= instant(first, kind)) & (F.col("tick") <= instant(end, kind)))
+    per_rule = []
+    for i, r in enumerate(rules):
+        (b0, s0), (b1, s1) = (tuple(F.col(f"{name}{side}_{i}") for side in ("buy", "sell")) for name, _ in KNOWN_AND_ALL)
+        was = F.coalesce(F.col("before_recent"), F.lit(False)) & ((b0 > r.threshold) | (s0 > r.threshold))
+        now = (b1 > r.threshold) | (s1 > r.threshold)
+        same = was & now & (b0 == b1) & (s0 == s1)
+        for change, there, b, s in (("retract", was, b0, s0), ("add", now, b1, s1)):
+            row = [F.when(there & ~same, F.lit(change)).alias("change"), F.col("tick").alias("timestamp"), F.col("token"), F.lit(r.label).alias("time_interval")]
+            per_rule.append(F.struct(*row, b.alias("num_users_bought"), s.alias("num_users_sold")))
+    return totals.select(F.inline(F.array(*per_rule))).where("change IS NOT NULL")
 
 
 def corrected(candidates: DataFrame, corrections: DataFrame) -> DataFrame:

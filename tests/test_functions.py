@@ -147,3 +147,15 @@ def test_success_takes_any_true_value(spark):
     cases = {"true": True, "1": True, "yes": True, "0.5": True, "false": False, "0": False, "0.0": False, "": False, None: False}
     got = spark.createDataFrame([(k,) for k in cases], "s string").select("s", is_true(F.col("s")).alias("t")).collect()
     assert {r.s: r.t for r in got} == cases
+
+
+def test_minute_number_is_the_same_in_any_zone(spark):
+    texts = spark.createDataFrame([("2024-03-31 02:35:00",), ("1969-12-31 23:58:00",)], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        for kind, text in (("timestamp_ntz", F.col("t")), ("timestamp", F.concat("t", F.lit("Z")))):
+            df = texts.select(text.cast(kind).alias("at"))
+            assert [r[0] for r in df.select(timing.minute_number(df, "at")).collect()] == [28530875, -2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -186,3 +186,35 @@ def test_corrections_touch_the_tokens_and_polls_of_late_swaps_only(spark):
     assert got and {r.token for r in got} <= {"A", "SOL"}
     assert min(r.timestamp for r in got) >= at and max(r.timestamp for r in got) <= at + timedelta(hours=3, minutes=5)
     assert late_corrections(known, late.limit(0), START + timedelta(hours=8)).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_replay_holds_no_table_of_nearly_distinct_keys_before_its_first_shuffle(spark):
+    """A hash table of traders and polls on the map side holds a whole split; each (token, tick) is sorted once, before polls are made of it."""
+    df = spark.createDataFrame(random_swaps(5), SWAP_SCHEMA)
+    plan = plan_of(replay_counts(df, START + timedelta(hours=9)))
+    grouped = [line for line in plan.split("\n") if "HashAggregate(" in line and "user_address" in line]
+    assert grouped == [] and plan.count("Exchange hashpartitioning(") == 3
+
+
+def test_repeats_of_a_trader_inside_a_period_count_once(spark):
+    rows = [(START + timedelta(minutes=m, seconds=s), f"u{u}", "SOL", "A", "ORCA") for m in (1, 6, 31, 66) for s in (0, 0, 7, 9) for u in range(4)]
+    rows += [(START + timedelta(minutes=1), None, "SOL", "A", "ORCA")] * 3
+    until = START + timedelta(hours=5)
+    got = {tuple(r) for r in replay_counts(spark.createDataFrame(rows, SWAP_SCHEMA), until).collect()}
+    assert got == brute_counts(rows, RULES, until) and len(got) > 10
+
+
+def test_corrections_come_from_one_pass(spark):
+    """Counts with and without late swaps stand in one row; known and late swaps of one trader may share a poll period."""
+    rows = random_swaps(11)
+    until = START + timedelta(hours=9)
+    twins = [(t, u, x, y, s) for t, u, x, y, s in rows[:200]]
+    known, late = spark.createDataFrame(rows[100:], SWAP_SCHEMA), spark.createDataFrame(twins, SWAP_SCHEMA)
+    changes = late_corrections(known, late, until)
+    assert "FullOuter" not in plan_of(changes)
+    got = corrected(replay_counts(known, until), settled(changes)).collect()
+    assert {tuple(r) for r in got} == brute_counts([*rows[100:], *twins], RULES, until) and len({tuple(r) for r in got}) == len(got)
