@@ -5,18 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from podwatch import fixed_values as fv
-from podwatch.functions.timing import minutes
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule
 
 # Spark's windows hold their start and not their end, polls the other way round.
 JUST_BEFORE = "INTERVAL '0.000001' SECOND"
 MINUTE_US = 60_000_000
+# Traders, and tokens, share state by hash in so many groups. Fixed for the life of a checkpoint.
+GROUPS = 1024
+TRADER_COLUMNS = ("tick", "side_number", "hash_0", "hash_1")
 
 
 def instant_before(tick: int) -> datetime:
@@ -28,87 +33,155 @@ def _count_columns(rules: Sequence[Rule]) -> list[str]:
     return [f"{side}_{i}" for i in range(len(rules)) for side in ("buy", "sell")]
 
 
+def in_one(*columns: str) -> Column:
+    """Whole numbers as one text; Spark hands rows to a processor cell by cell, so few columns cost less than many."""
+    return F.concat_ws(",", *(F.col(c).cast("bigint").cast("string") for c in columns)).alias("numbers")
+
+
+def frame_of(rows: Iterator[Row], columns: Sequence[str]) -> pd.DataFrame:
+    """Rows of a token and ``columns`` in one text."""
+    found = [(row["token"], row["numbers"]) for row in rows]
+    numbers = np.array(",".join(n for _, n in found).split(","), dtype=object).astype(np.int64)
+    return pd.DataFrame(numbers.reshape(len(found), -1), columns=list(columns)).assign(token=[token for token, _ in found])
+
+
+def rows_by_poll(ticks: np.ndarray, columns: Sequence[np.ndarray], row: Row) -> Iterator[Row]:
+    """A row a poll, its event time and each column as an array: far fewer rows to hand over than one for each token."""
+    order = np.argsort(ticks, kind="stable")
+    ticks, columns = ticks[order], [c[order] for c in columns]
+    ends = np.append(np.flatnonzero(np.diff(ticks)) + 1, len(ticks)).tolist() if len(ticks) else []
+    for start, end in zip([0, *ends], ends, strict=False):
+        yield row(instant_before(int(ticks[start])), *(c[start:end].tolist() for c in columns))
+
+
+def unrolled(by_poll: DataFrame, *columns: str) -> DataFrame:
+    """A row a token again; the event time keeps its watermark."""
+    return by_poll.select("at", F.inline(F.arrays_zip(*columns)))
+
+
 class TraderChanges(StatefulProcessor):
-    """What a trader of a token changes in its counts, from the polls at which the trader swapped.
+    """What the traders of a group change in the counts of tokens, from the polls at which they swapped.
 
-    State is the last such poll. At a poll the trader comes into every window that no longer held them, and
-    is announced to leave it one length later; if they were still inside, the leaving announced before is taken back.
-    A row is the changes at one poll to come, so nothing ever has to be emitted by a timer; timers only end the state
-    once the longest window has passed.
+    State is one value a group: each trader's 128-bit hash and last such poll, as long as a window can hold them. At a poll a trader
+    comes into every window that no longer held them, and is announced to leave it one length later; if they were still inside, the
+    leaving announced before is taken back. A row is the changes of a token at one poll to come, so nothing ever has to be emitted by a
+    timer; timers only end the state once the longest window has passed. State is asked for once a group and batch, not once a trader,
+    as each call crosses to the JVM and back.
     """
 
     def __init__(self, lengths: Sequence[int], recent_us: int, poll_us: int, columns: Sequence[str]) -> None:
-        self.lengths, self.recent_us, self.poll_us = tuple(lengths), recent_us, poll_us
+        self.lengths, self.recent_us, self.poll_us, self.columns = tuple(lengths), recent_us, poll_us, list(columns)
         self.row = Row("at", "token", "recent", *columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last_poll = handle.getValueState("last_poll", "tick bigint")
+        self.last_polls = handle.getValueState("last_polls", "traders binary")
+
+    def _known(self) -> np.ndarray:
+        """Rows: two halves of the hash, last poll."""
+        known = self.last_polls.get()
+        return np.frombuffer(known[0] if known else b"", dtype=np.int64).reshape(3, -1)
+
+    def _remember(self, traders: np.ndarray, timer: bool) -> None:
+        if traders.size:
+            self.last_polls.update((traders.tobytes(),))
+            if timer:
+                self.handle.registerTimer(int(traders[2].max() + max(self.lengths)) // 1000)
+        else:
+            self.last_polls.clear()
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        token, side, _ = key
-        offset = 0 if side == "buy" else 1
-        changes: dict[int, list[int]] = {}
-
-        def at(tick: int) -> list[int]:
-            return changes.setdefault(tick, [0] * (2 * len(self.lengths)))
-
-        ticks = sorted(row.tick for row in rows)
-        for tick in ticks:
-            for later in range(0, self.recent_us, self.poll_us):
-                at(tick + later)
-        if side is not None:
-            known = self.last_poll.get()
-            last = known[0] if known else None
-            for tick in ticks:
-                for i, length in enumerate(self.lengths):
-                    if last is not None and tick - last < length:
-                        at(last + length)[2 * i + offset] += 1
-                    else:
-                        at(tick)[2 * i + offset] += 1
-                    at(tick + length)[2 * i + offset] -= 1
-                last = tick
-            self.last_poll.update((last,))
-            if not known:
-                self.handle.registerTimer((last + max(self.lengths)) // 1000)
-        recent = {tick + later for tick in ticks for later in range(0, self.recent_us, self.poll_us)}
-        for tick, deltas in changes.items():
-            yield self.row(instant_before(tick), token, tick in recent, *deltas)
+        new = frame_of(rows, TRADER_COLUMNS)
+        tick, side = new["tick"].to_numpy(np.int64), new["side_number"].to_numpy(np.int64)
+        codes, tokens = pd.factorize(new["token"])
+        counted = np.flatnonzero(side >= 0)
+        known = self._known()
+        traders = np.hstack([known, np.stack([new["hash_0"].to_numpy(np.int64)[counted], new["hash_1"].to_numpy(np.int64)[counted], tick[counted]])])
+        source = np.concatenate([np.full(known.shape[1], -1), counted])
+        order = np.lexsort(traders[::-1])
+        traders, source = traders[:, order], source[order]
+        pairs = again_pairs(traders)
+        again, final = np.append(False, pairs)[: len(source)], np.append(~pairs, True)[: len(source)]
+        last = np.append(0, traders[2, :-1])[: len(source)]
+        here = source >= 0
+        again, last, now, source = again[here], last[here], traders[2, here], source[here]
+
+        # (token, poll, column, change) in parallel arrays; what makes a token recent has no column.
+        events = [(codes, tick + later, None, 0) for later in range(0, self.recent_us, self.poll_us)]
+        for i, length in enumerate(self.lengths):
+            column = 2 * i + side[source]
+            inside = again & (now - last < length)
+            events += [(codes[source], np.where(inside, last + length, now), column, 1), (codes[source], now + length, column, -1)]
+        polls = np.concatenate([at for _, at, _, _ in events]) // self.poll_us
+        first, span = polls.min(), polls.max() - polls.min() + 1
+        places, place_of = np.unique(np.concatenate([token for token, _, _, _ in events]) * span + polls - first, return_inverse=True)
+        recent = np.zeros(len(places), dtype=bool)
+        changes = np.zeros(len(places) * len(self.columns), dtype=np.int64)
+        start = 0
+        for token, _, column, change in events:
+            place = place_of[start : start + len(token)]
+            start += len(token)
+            if column is None:
+                recent[place] = True
+            else:
+                changes += change * np.bincount(place * len(self.columns) + column, minlength=len(changes))
+
+        # Later batches have later polls only, so no window of theirs reaches back to what goes here.
+        kept = traders[:, final & (traders[2] + max(self.lengths) > tick.max())]
+        if kept.size or known.size:
+            self._remember(kept, timer=not known.size)
+
+        changes = changes.reshape(len(places), len(self.columns))
+        told = recent | changes.any(axis=1)
+        ticks = (places[told] % span + first) * self.poll_us
+        yield from rows_by_poll(ticks, [np.asarray(tokens, dtype=object)[places[told] // span], recent[told], *changes[told].T], self.row)
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
-        known = self.last_poll.get()
-        over = known[0] + max(self.lengths) if known else 0
-        if known and over // 1000 > expiredTimerInfo.getExpiryTimeInMs():
-            self.handle.registerTimer(over // 1000)
-        else:
-            self.last_poll.clear()
+        known = self._known()
+        if known.size:
+            self._remember(known[:, (known[2] + max(self.lengths)) // 1000 > expiredTimerInfo.getExpiryTimeInMs()], timer=True)
         yield from ()
 
     def close(self) -> None:
         pass
 
 
+def again_pairs(traders: np.ndarray) -> np.ndarray:
+    """Of sorted traders, whether each is followed by itself; one fewer than there are."""
+    return (traders[:2, 1:] == traders[:2, :-1]).all(axis=0)
+
+
 class RunningCounts(StatefulProcessor):
-    """Counts of a token at every poll at which it is recent; the state goes when nobody is inside any window."""
+    """Counts of the tokens of a group at every poll at which they are recent; a token's state goes when nobody is inside any window."""
 
     def __init__(self, columns: Sequence[str]) -> None:
-        self.columns = tuple(columns)
+        self.columns = list(columns)
         self.row = Row("at", "token", "tick", *columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.inside = handle.getValueState("inside", ", ".join(f"{c} bigint" for c in self.columns))
+        self.inside = handle.getValueState("inside", "tokens binary")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
         known = self.inside.get()
-        now = list(known) if known else [0] * len(self.columns)
-        for row in sorted(rows, key=lambda r: r.tick):
-            now = [before + row[c] for before, c in zip(now, self.columns, strict=True)]
-            if row.recent:
-                yield self.row(instant_before(row.tick), key[0], row.tick, *now)
-        if any(now):
-            self.inside.update(tuple(now))
+        before = pa.ipc.open_stream(known[0]).read_pandas() if known else pd.DataFrame(columns=["token", *self.columns])
+        before = before.astype(dict.fromkeys(self.columns, "int64")).assign(tick=np.iinfo(np.int64).min, recent=0)
+        new = frame_of(rows, ["tick", "recent", *self.columns])[before.columns]
+        both = pd.concat([before, new], ignore_index=True) if len(before) else new
+        both = both.sort_values(["token", "tick"], ignore_index=True)
+        both[self.columns] = both.groupby("token", sort=False)[self.columns].cumsum()
+        now = both.drop_duplicates("token", keep="last")
+        now = now.loc[now[self.columns].any(axis=1), ["token", *self.columns]]
+        if len(now):
+            table = pa.Table.from_pandas(now, preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table)
+            self.inside.update((sink.getvalue().to_pybytes(),))
         elif known:
             self.inside.clear()
+        told = both[both["recent"] == 1]
+        ticks = told["tick"].to_numpy(np.int64)
+        yield from rows_by_poll(ticks, [told[c].to_numpy() for c in ("token", "tick", *self.columns)], self.row)
 
     def close(self) -> None:
         pass
@@ -138,10 +211,10 @@ def stream_candidates(
 ) -> DataFrame:
     """Candidates (timestamp, token, time_interval, counts) of every closed poll, for append output.
 
-    Four steps: a trader's swaps inside one poll period become one row; each trader's state, their last poll,
-    turns these into changes at polls; changes add up per token and poll; a token's state, its counts, adds them to those
-    before. A trader is one small state row however long the windows are, and every step but the last
-    is spread over traders. Needs the RocksDB state store. Swaps later than ``lateness`` behind the newest are dropped.
+    Four steps: a trader's swaps inside one poll period become one row; each trader's last poll turns these into changes at polls;
+    changes add up per token and poll; a token's counts add them to those before. A trader is 24 bytes of state however long the
+    windows are; state lies by hash in GROUPS values, and a batch reads and writes the values whose traders or tokens it has. Every step but the
+    last is spread over traders. Needs the RocksDB state store, numpy, pandas and pyarrow. Swaps later than ``lateness`` behind the newest are dropped.
 
     Watermarks need an instant, so timestamps come out as one.
     """
@@ -153,25 +226,36 @@ def stream_candidates(
     period = f"{poll_minutes} minutes"
     ticks = legs.groupBy(F.window("timestamp", period).alias("period"), "token", "side", "user_address").agg(F.count(F.lit(1)).alias("swaps"))
     ticks = ticks.select("token", "side", "user_address", F.window_time("period").alias("at"), F.unix_micros("period.end").alias("tick"))
-
-    kinds = ", ".join(f"{c} bigint" for c in columns)
-    changes = ticks.groupBy("token", "side", "user_address").transformWithState(
+    trader = [F.col(c) for c in ("token", "side", "user_address")]
+    ticks = ticks.select(
+        "token", "at", "tick",
+        F.when(F.col("side") == "buy", 0).when(F.col("side") == "sell", 1).otherwise(-1).cast("bigint").alias("side_number"),
+        F.xxhash64(*trader).alias("hash_0"), F.xxhash64(F.lit(1), *trader).alias("hash_1"),
+        F.pmod(F.xxhash64(F.lit(2), *trader), F.lit(GROUPS)).alias("traders"),
+    )
+
+    ticks = ticks.select("traders", "at", "token", in_one(*TRADER_COLUMNS))
+    kinds = ", ".join(f"{c} array<bigint>" for c in columns)
+    changes = ticks.groupBy("traders").transformWithState(
         statefulProcessor=TraderChanges([r.length_minutes * MINUTE_US for r in rules], recent_minutes * MINUTE_US, poll_minutes * MINUTE_US, columns),
-        outputStructType=f"at timestamp, token string, recent boolean, {kinds}",
+        outputStructType=f"at timestamp, token array<string>, recent array<boolean>, {kinds}",
         outputMode="Append",
         timeMode="EventTime",
         eventTimeColumnName="at",
     )
+    changes = unrolled(changes, "token", "recent", *columns)
     polls = changes.groupBy(F.window("at", period).alias("poll"), "token").agg(
         F.max("recent").alias("recent"), *(F.sum(c).alias(c) for c in columns)
     )
     polls = polls.select(F.window_time("poll").alias("at"), "token", F.unix_micros("poll.end").alias("tick"), "recent", *columns)
-    counts = polls.groupBy("token").transformWithState(
+    polls = polls.select(F.pmod(F.xxhash64("token"), F.lit(GROUPS)).alias("tokens"), "at", "token", in_one("tick", "recent", *columns))
+    counts = polls.groupBy("tokens").transformWithState(
         statefulProcessor=RunningCounts(columns),
-        outputStructType=f"at timestamp, token string, tick bigint, {kinds}",
+        outputStructType=f"at timestamp, token array<string>, tick array<bigint>, {kinds}",
         outputMode="Append",
         timeMode="EventTime",
         eventTimeColumnName="at",
     )
+    counts = unrolled(counts, "token", "tick", *columns)
     found = counts.select("at", F.timestamp_micros("tick").alias("timestamp"), "token", F.inline(per_rule(rules)))
     return found.where(over_threshold()).drop("threshold")

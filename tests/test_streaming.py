@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from podwatch.checks import fixtures as fx
@@ -11,7 +12,7 @@ from podwatch.operators.replay import replay_counts, suppress_replay
 from podwatch.plans.metadata_load import create_tables, merge_metadata
 from podwatch.schemas import TableNames
 from podwatch.streaming.cooldown import stream_alerts
-from podwatch.streaming.detect import stream_candidates
+from podwatch.streaming.detect import TraderChanges, instant_before, stream_candidates
 from podwatch.streaming.sinks import start_alert_publishing, start_candidate_log, start_whale_stream
 
 SF = "/root/testdata/sf0.001"
@@ -147,3 +148,41 @@ def test_whole_stream_from_swaps_to_outbox(spark, tmp_path, database):
     assert spark.table(names.alert_log).count() == outbox.count()
     assert current_rows(spark, names.token_metadata).count() > known.count()
     assert spark.table(names.poll_texts).select("timestamp").distinct().count() == outbox.select("timestamp").distinct().count()
+
+
+def test_traders_of_a_group_share_one_state_call_a_batch():
+    """Each call to the state crosses to the JVM and back, so their number must not grow with traders."""
+    calls, held = [], {}
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return held.get("v")
+
+        def update(self, value):
+            calls.append("update")
+            held["v"] = value
+
+        def clear(self):
+            held.clear()
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    period, names = 300_000_000, ["buy_0", "sell_0"]
+    step = TraderChanges([6 * period], 2 * period, period, names)
+    step.init(Handle())
+    of = Row("traders", "at", "token", "numbers")
+
+    def batch(tick, traders):
+        rows = [of(0, None, "A", f"{tick * period},0,{-k},{k}") for k in traders]
+        return {int((r.at - instant_before(0)).total_seconds()) // 300: (r.recent, r.buy_0) for r in step.handleInputRows((0,), iter(rows), None)}
+
+    # Fifty come in at 10 and are announced to leave at 16; thirty of them are there again at 14 and stay until 20.
+    assert batch(10, range(50)) == {10: ([True], [50]), 11: ([True], [0]), 16: ([False], [-50])}
+    assert batch(14, range(30)) == {14: ([True], [0]), 15: ([True], [0]), 16: ([False], [30]), 20: ([False], [-30])}
+    assert calls == ["get", "update", "timer", "get", "update"]
