@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from podwatch.checks import fixtures as fx
 from podwatch.functions import payload
 from podwatch.operators import incremental
+from podwatch.operators.catalog import stage_view
 from podwatch.operators.keyed_table import current_rows, merge_rows
 from podwatch.plans.metadata_load import create_tables, create_token_metadata_table, run_metadata_load
 from podwatch.plans.price_landing import land_payloads
@@ -70,11 +72,12 @@ def _fill_metadata(spark: SparkSession, table: str, sf_dir: str) -> None:
 
 
 def _polled(spark: SparkSession, sf_dir: str) -> TableNames:
-    """The tables after a poll."""
+    """The tables after a poll. The swaps, which a poll reads once, are a view and not written first."""
     names, root = _tables(spark)
+    names = replace(names, swaps=names.swaps.replace(".", "_"))
     with _utc(spark):
         create_tables(spark, names, root)
-        _instants(fx.swaps(spark, sf_dir)).write.format("parquet").saveAsTable(names.swaps)
+        stage_view(_instants(fx.swaps(spark, sf_dir)), names.swaps)
         log = _instants(fx.alert_log(spark, sf_dir))
         columns = spark.table(names.alert_log).schema.fields
         log = log.select(*(F.col(f.name) if f.name in log.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in columns))

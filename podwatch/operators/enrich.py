@@ -46,8 +46,8 @@ def tokens_to_fetch(tokens: DataFrame, metadata: DataFrame) -> DataFrame:
     return keys.join(known, "address", "left").where(is_blank(F.col("symbol")) | is_blank(F.col("name"))).select("address")
 
 
-def _accepted(responses: DataFrame, as_of: datetime | str | None) -> DataFrame:
-    """(address, answer): when it was fetched and its data, of responses with status 200, a true ``success`` and a ``data`` member.
+def _answers(responses: DataFrame, as_of: datetime | str | None) -> DataFrame:
+    """(address, answer) of each response: when it was fetched and its data; NULL unless it has status 200, a true ``success`` and a ``data`` member.
 
     Responses without a column ``fetched_at``, or without a time, count as older than all others. With ``as_of``, later ones are not seen.
     """
@@ -57,7 +57,7 @@ def _accepted(responses: DataFrame, as_of: datetime | str | None) -> DataFrame:
     at = F.col("fetched_at") if timed else F.lit(None).cast("timestamp")
     parsed = responses.select("address", "status_code", at.alias("at"), F.from_json("body", RESPONSE_SCHEMA).alias("r"))
     accepted = (F.col("status_code") == 200) & is_true(F.col("r.success")) & F.col("r.data").isNotNull()
-    return parsed.where(accepted).select("address", F.struct("at", F.col("r.data").alias("data")).alias("answer"))
+    return parsed.select("address", F.when(accepted, F.struct("at", F.col("r.data").alias("data"))).alias("answer"))
 
 
 def accepted_responses(responses: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
@@ -66,17 +66,18 @@ def accepted_responses(responses: DataFrame, as_of: datetime | str | None = None
     Where several were fetched at once, or without a time, the greatest (symbol, name, decimals) is taken, so a rerun
     gives the same row.
     """
-    newest = _accepted(responses, as_of).groupBy("address").agg(F.max("answer").alias("a"))
+    newest = _answers(responses, as_of).where(F.col("answer").isNotNull()).groupBy("address").agg(F.max("answer").alias("a"))
     return newest.select("address", "a.data.symbol", "a.data.name", "a.data.decimals")
 
 
 def resolve_responses(addresses: DataFrame, responses: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """One row per distinct address asked for; a failed one has empty symbol and name, NULL decimals.
 
-    Only responses of wanted addresses are parsed. They and the addresses meet in one grouping.
+    Only responses of wanted addresses are parsed: no filter on what they say, as Spark would make it, and parse all, before
+    the join. They and the addresses meet in one grouping, where a NULL answer loses to any other.
     """
     keys = addresses.select("address").where(F.col("address").isNotNull())
-    answers = _accepted(responses.join(keys, "address", "left_semi"), as_of)
+    answers = _answers(responses.join(keys, "address", "left_semi"), as_of)
     both = answers.unionByName(keys.withColumn("answer", F.lit(None)))
     found = both.groupBy("address").agg(F.max("answer").alias("a"))
     return found.select(

@@ -190,3 +190,16 @@ def test_empty_candidates_flow_through(spark):
     none = candidates(spark, [])
     meta = spark.createDataFrame([], META)
     assert alerts_from_candidates(none, meta).count() == 0
+
+
+def test_only_responses_of_wanted_addresses_are_parsed(spark):
+    good = '{"success":true,"data":{"symbol":"S","name":"N","decimals":6}}'
+    rows = [("a", 200, good), ("a", 404, good), ("b", 200, '{"success":false}'), ("b", 200, "not json"), ("c", 200, good), (None, 200, good)]
+    responses = spark.createDataFrame(rows, "address string, status_code int, body string")
+    wanted = spark.createDataFrame([("a",), ("b",), ("d",), (None,)], "address string")
+    found = enrich.resolve_responses(wanted, responses)
+    assert sorted(found.collect()) == [("a", "S", "N", 6), ("b", "", "", None), ("d", "", "", None)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(k for k, line in enumerate(plan) if "LeftSemi" in line)
+    assert any("from_json" in line for line in plan[:join])
+    assert not any("from_json" in line for line in plan[join:])

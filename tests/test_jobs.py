@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from podwatch import fixed_values as fv
 from podwatch.checks import fixtures as fx
+from podwatch.checks import job_queries
 from podwatch.functions import payload
 from podwatch.functions.timing import parse_instant
 from podwatch.operators import catalog, landing
@@ -265,3 +266,10 @@ def test_record_counts(spark):
 
 def test_quiet_text_is_the_fixed_sentence():
     assert fv.NOTHING_TO_REPORT == "No new whale notifications triggered."
+
+
+def test_a_poll_of_the_test_tables_reads_its_swaps_without_writing_them_first(spark):
+    names = job_queries._polled(spark, SF)
+    assert spark.catalog.getTable(names.swaps).isTemporary
+    assert spark.table(names.swaps).count() == fx.swaps(spark, SF).count()
+    assert spark.table(names.alert_log).where("poll is not null").count() > 0
