@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from podwatch.llm.tokens import SLICE_CHARS, added_tokens, byte_level_pieces, id_pieces, packed_ids
+from podwatch.llm.tokens import SLICE_CHARS, added_tokens, byte_level_slices, id_pieces, ids_of_slices
 
 TIERS = (128, 256, 512, 1024)
 END_ID = 0
 STEP_TOKENS = 16_384
 BLOCK_TOKENS = 2_000_000
+HELD_CHARS = 1 << 20  # of text whose pieces are looked up at a time
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 Piece = tuple[int, int, int]  # document of the block, first token, tokens
@@ -118,39 +119,30 @@ def _groups(sequences: list[tuple[int, list[Piece]]], first: int) -> tuple[list[
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int | None, np.ndarray]]:
-    """Ids of each text in order; some SLICE_CHARS of text are in pieces at a time, also of one long text."""
+    """Ids of each text in order; some HELD_CHARS of text are in pieces at a time, also of one long text."""
     known, added = id_pieces(path), added_tokens(path)
-    end = packed_ids([END_ID])
+    end = np.array([END_ID], dtype="<u4")
 
-    def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids of a part of its text); a row has one part at least."""
         rows: list[int] = []
-        sizes: list[int] = []
-        waiting: list[str] = []
+        waiting: list[str | list[str | bytes]] = []
         held = 0
-
-        def parts() -> Iterator[tuple[int, bytes]]:
-            values, at = known.of(waiting), 0
-            for row, size in zip(rows, sizes, strict=True):
-                yield row, b"".join(values[at : at + size])
-                at += size
-
         for row, text in enumerate(batch.column("text")):
             text = text.as_py() or ""
-            for pieces in byte_level_pieces(text, added):
+            for part in byte_level_slices(text, added):
                 rows.append(row)
-                sizes.append(len(pieces))
-                waiting += pieces
+                waiting.append(part)
                 held += min(len(text), SLICE_CHARS)
-                if held >= SLICE_CHARS:
-                    yield from parts()
-                    rows, sizes, waiting, held = [], [], [], 0
-        yield from parts()
+                if held >= HELD_CHARS:
+                    yield from zip(rows, ids_of_slices(known, waiting), strict=True)
+                    rows, waiting, held = [], [], 0
+        yield from zip(rows, ids_of_slices(known, waiting), strict=True)
 
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
         for row, parts in groupby(encoded(batch), key=itemgetter(0)):
-            yield ids[row], np.frombuffer(b"".join(part for _, part in parts) + end, dtype="<u4")
+            yield ids[row], np.concatenate([*(part for _, part in parts), end])
 
 
 def packed(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Both tokenizers cut a text into pieces before they look at their vocabulary, and no piece reaches over certain
 places. Added tokens, such as special strings, are cut out before that. Texts are split at these, slice by slice.
-A worker remembers the pieces it met lately, in two generations of bounded bytes, and misses are encoded in
-batches of equal bytes. The result is the library's own, for every text.
+A worker remembers the pieces it met lately, in two generations of bounded bytes (ids for one task, counts from task to task),
+and misses are encoded in batches of equal bytes. The result is the library's own, for every text.
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ from functools import lru_cache
 from typing import Any, NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-GENERATION_BYTES = 64 << 20  # a worker remembers pieces of twice as much, kept from task to task
+GENERATION_BYTES = 64 << 20  # a worker remembers pieces of twice as much
 ENTRY_BYTES = 240  # of a piece in a worker's memory, with its value and besides its characters
 BATCH_BYTES = 1 << 20
 ROW_PIECES = 4096  # encoded in a row
@@ -50,45 +52,71 @@ def slices(text: str, chars: int = SLICE_CHARS) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-# White space other than single blanks and line ends between words.
-_OTHER_SPACE = re.compile(f"[\t\x0b-\r{_SPACE[6:]}]|[ \n][ \n]")
+# White space other than blanks and line ends.
+_OTHER_SPACE = re.compile(f"[\t\x0b-\r{_SPACE[6:]}]")
+
+
+def _marked(text: str) -> str | None:
+    """The pieces of a slice joined by blanks, None if it has white space other than single blanks and line ends between words.
+
+    Most pieces are words with one blank before them, which is left out. Others have a line end put before them, but line ends themselves.
+    """
+    inner = text[1:] if text[:1] == " " else text
+    flat = inner.replace("\n", " ")
+    # Printable text has no white space but blanks.
+    if not flat or flat[0] == " " or flat[-1] == " " or "  " in flat or not flat.isprintable() and _OTHER_SPACE.search(flat):
+        return None
+    return ("\n" if inner is text else "") + inner.replace("\n", " \n \n")
+
+
+def _unmarked(piece: str) -> str | bytes:
+    return piece if piece[0] != "\n" else piece[1:].encode() or b"\n"
 
 
 def _cut(text: str) -> list[str | bytes]:
-    """Pieces of a slice: a str is a word with one blank before it, which is left out; bytes are anything else, as it is."""
-    if not text:
-        return []
-    inner = text[1:] if text[0] == " " else text
-    if not inner or inner[0] in " \n" or inner[-1] in " \n" or _OTHER_SPACE.search(inner):
-        return [p[1:] if len(p) > 1 and p[0] == " " and p[1] not in _SPACE_SET else p.encode() for p in _BYTE_LEVEL.findall(text)]
-    found: list[str | bytes] = []
-    for line in inner.split("\n"):
-        words = line.split(" ")
-        if found or inner is text:
-            if found:
-                found.append(b"\n")
-            found.append(words[0].encode())
-            del words[0]
-        found += words
-    return found
+    """Pieces of a slice that can not be marked: a str is a word with one blank before it, which is left out; bytes are anything else, as it is."""
+    return [p[1:] if len(p) > 1 and p[0] == " " and p[1] not in _SPACE_SET else p.encode() for p in _BYTE_LEVEL.findall(text)]
+
+
+def byte_level_slices(text: str, added: AddedTokens | None = None) -> Iterator[str | list[str | bytes]]:
+    """Slices of a text for a byte-level tokenizer whose splitter is on, marked if they can be and else in pieces; ``added``: its added
+    tokens, between which each segment is cut by itself."""
+    segments: list[str | list[str | bytes]] = [text]
+    if added is not None and added.strings and added.strings.search(text):
+        if not added.plain:
+            yield [text.encode()]
+            return
+        # Every second one is an added token.
+        segments = [[x.encode()] if k % 2 else x for k, x in enumerate(added.strings.split(text))]
+    for segment in segments:
+        if isinstance(segment, list):
+            yield segment
+            continue
+        for part in slices(segment):
+            marked = _marked(part)
+            yield _cut(part) if marked is None else marked
 
 
 def byte_level_pieces(text: str, added: AddedTokens | None = None) -> Iterator[list[str | bytes]]:
-    """Pieces of a byte-level tokenizer whose splitter is on, slice by slice; ``added``: its added tokens, between which each segment is cut by itself.
-
-    A str is a word with one blank before it, which is left out; bytes are anything else, as it is.
-    """
-    if added is None or not added.strings or not added.strings.search(text):
-        yield from map(_cut, slices(text))
-    elif not added.plain:
-        yield [text.encode()]
-    else:
-        start = 0
-        for hit in added.strings.finditer(text):
-            yield from map(_cut, slices(text[start : hit.start()]))
-            yield [hit.group().encode()]
-            start = hit.end()
-        yield from map(_cut, slices(text[start:]))
+    """Pieces of a byte-level tokenizer, slice by slice. A str is a word with one blank before it, which is left out; bytes are anything else, as it is."""
+    for part in byte_level_slices(text, added):
+        yield list(map(_unmarked, part.split(" "))) if isinstance(part, str) else part
+
+
+def ids_of_slices(known: Pieces, parts: list[str | list[str | bytes]]) -> list[np.ndarray]:
+    """The ids of each of some slices. Pieces of marked ones are told apart and numbered by Arrow, so that each is looked up once."""
+    marked = pc.split_pattern(pa.array([x for x in parts if isinstance(x, str)], pa.large_string()), " ")
+    pieces = marked.values.dictionary_encode()
+    values = known.of(list(map(_unmarked, pieces.dictionary.to_numpy(zero_copy_only=False).tolist())))
+    pool, sizes = np.frombuffer(b"".join(values), dtype="<u4"), np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+    codes = pieces.indices.to_numpy()
+    lengths = sizes[codes]
+    ends = np.cumsum(lengths)
+    at = (np.cumsum(sizes) - sizes)[codes] - (ends - lengths)
+    ids = pool[np.repeat(at, lengths) + np.arange(len(pool) and ends[-1])] if len(codes) else pool
+    cuts = np.append(0, ends)[marked.offsets.to_numpy()]
+    found = iter(ids[x:y] for x, y in zip(cuts, cuts[1:], strict=False))
+    return [next(found) if isinstance(x, str) else np.frombuffer(b"".join(known.of(x)), dtype="<u4") for x in parts]
 
 
 def word_pieces(text: str) -> list[bytes]:
@@ -144,19 +172,18 @@ def packed_ids(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
+@lru_cache(maxsize=2)
 def count_pieces(path: str) -> Pieces:
     """Token counts of pieces, shared by all tasks of a worker."""
-    return _shared(path, _counts)
+    return Pieces(path, _counts)
 
 
 def id_pieces(path: str) -> Pieces:
-    """Packed ids of pieces of a byte-level tokenizer, shared by all tasks of a worker."""
-    return _shared(path, _ids)
+    """Packed ids of pieces of a byte-level tokenizer, for one task.
 
-
-@lru_cache(maxsize=2)
-def _shared(path: str, encode: Callable[[str, list[Any], dict[Any, Any]], None]) -> Pieces:
-    return Pieces(path, encode)
+    Spark deals tasks to more workers than run at a time, and what each kept would add up; a task meets its common pieces again soon.
+    """
+    return Pieces(path, _ids)
 
 
 def _counts(path: str, pieces: list[bytes], into: dict[Any, Any]) -> None:
@@ -186,10 +213,10 @@ def _ids(path: str, pieces: list[str | bytes], into: dict[Any, Any]) -> None:
         words, others = [], pieces
     rows = [words[k : k + ROW_PIECES] for k in range(0, len(words), ROW_PIECES)]
     for row in rows:
-        encoded = encode([" " + " ".join(row)], add_special_tokens=False)[0]
-        ids = np.array(encoded.ids, dtype="<u4")
+        text = " " + " ".join(row)
+        ids = np.array(encode([text], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.cumsum(sizes[ids])
-        until = np.cumsum([len(p) + 1 if p.isascii() else len(p.encode()) + 1 for p in row])
+        until = np.append(np.flatnonzero(np.frombuffer(text.encode(), dtype=np.uint8)[1:] == ord(" ")) + 1, len(text.encode()))
         at = np.searchsorted(ends, until)
         if at[-1] < len(ends) and np.array_equal(ends[at], until):
             raw, cuts = ids.tobytes(), [0, *((at + 1) * 4).tolist()]
@@ -218,13 +245,13 @@ class Pieces:
         if self.bytes >= GENERATION_BYTES:
             self.old, self.young, self.bytes = self.young, {}, 0
         young, old = self.young, self.old
-        found = list(map(young.get, pieces))
-        places = [k for k, value in enumerate(found) if value is None]
-        if places:
-            absent = {pieces[k] for k in places}
+        # A slice repeats most of its pieces: each is looked for once in the large tables, and its repeats in a small one.
+        found = dict.fromkeys(pieces)
+        found = dict(zip(found, map(young.get, found), strict=True))
+        absent = [p for p, value in found.items() if value is None]
+        if absent:
             young.update((p, old[p]) for p in absent if p in old)
             self.encode(self.path, [p for p in absent if p not in young], young)
             self.bytes += ENTRY_BYTES * len(absent) + sum(map(len, absent))
-            for k in places:
-                found[k] = young[pieces[k]]
-        return found
+            found.update(zip(absent, map(young.__getitem__, absent), strict=True))
+        return list(map(found.__getitem__, pieces))

@@ -26,7 +26,7 @@ from podwatch.llm.quality import isotonic, quality_scores
 from podwatch.llm.queries import QUERIES, tokenizer_path
 from podwatch.llm.scratch import Scratch
 from podwatch.llm.token_counts import token_counts
-from podwatch.llm.tokens import added_tokens, byte_level_pieces, word_pieces
+from podwatch.llm.tokens import Pieces, added_tokens, byte_level_pieces, id_pieces, word_pieces
 from podwatch.llm.url_filters import intervals, url_patterns, url_verdicts
 
 SF = "/root/testdata/sf0.001"
@@ -740,3 +740,46 @@ def test_every_query_is_registered(spark):
 
     assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
+
+
+class CountingDict(dict):
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+
+def test_a_slice_asks_for_each_of_its_pieces_once():
+    made = []
+
+    def encode(_, pieces, into):
+        made.extend(pieces)
+        into.update((p, p * 2) for p in pieces)
+
+    known = Pieces("", encode)
+    known.young = CountingDict()
+    assert known.of(["a", b"a", "b", "a"] * 50) == ["aa", b"aa", "bb", "aa"] * 50
+    assert known.young.asked == 3
+    assert made == ["a", b"a", "b"]
+    known.old, known.young = known.young, CountingDict()
+    assert known.of(["b", "c", "b"]) == ["bb", "cc", "bb"]
+    assert made == ["a", b"a", "b", "c"]
+    assert known.young == {"b": "bb", "c": "cc"}
+
+
+def test_ids_of_pieces_are_not_kept_from_task_to_task():
+    path = tokenizer_path("byte_bpe_50k.json")
+    known = id_pieces(path)
+    known.of(["word", b"word"])
+    assert known.young
+    assert not id_pieces(path).young
+
+
+def test_white_space_of_all_kinds_gives_the_librarys_ids():
+    path = tokenizer_path("byte_bpe_50k.json")
+    texts = ["a b\nc d", " a\nb", "a  b", "a\n\nb", "a \nb", "a\n b", "a\tb c", "a\u00a0b c", "a\u3000b", "x\u00adb c\nd", "a\x1cb c", "é ü\nß", "\n", " ", "", "a\n", "a ", "\na"]
+    known = id_pieces(path)
+    for text, ids in zip(texts, library_ids("byte_bpe_50k.json", texts), strict=True):
+        pieces = [p for part in byte_level_pieces(text) for p in part]
+        assert np.frombuffer(b"".join(known.of(pieces)), dtype="<u4").tolist() == list(ids), repr(text)
