@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from podwatch.llm import perfect_hash
+from podwatch.llm.memory import released
 from podwatch.llm.minhash import mixed
-from podwatch.llm.scratch import Scratch, partitions
+from podwatch.llm.scratch import Scratch, bounded_batches, partitions
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS = 65_536
@@ -54,6 +55,7 @@ def _hashed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return at, np.frombuffer(b"".join(found), dtype="<u8").reshape(-1, 2)
 
 
+@released
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, h = _hashed(batch)
@@ -111,6 +113,7 @@ def _probed(probes: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
     return probes.loc[goes, ["doc_id", "h1", "h2"]]
 
 
+@released
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total, dropped, texts = [], [], []
@@ -137,6 +140,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     is not counted and loses nothing. An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     scratch = Scratch(spark, "line-dedup")
     docs = docs.drop("n_lines", "n_dropped", "kept_text", "gone")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -162,6 +166,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     rare = probes_all / shards
     parts = np.array([max(least, int((held.get(s, 0) + rare) // CELL_PROBES) + 1) for s in range(shards)])
 
+    @released
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, h = _hashed(batch)

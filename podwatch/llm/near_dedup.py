@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podwatch.llm.components import connected_components
+from podwatch.llm.memory import released
 from podwatch.llm.minhash import bands, mixed, multipliers, one_bit_sketch, one_permutation, parity_sketch
 from podwatch.llm.scratch import Scratch
 
@@ -70,6 +71,7 @@ def _texts(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
         yield x.as_py() or b""
 
 
+@released
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, digests, keys, sketches = [], [], [], []
@@ -95,12 +97,14 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "bands", *SKETCH])
 
 
+@released
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingles(x).tobytes() for x in _texts(batch, "text")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "found"])
 
 
+@released
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from podwatch.llm.memory import released
+from podwatch.llm.scratch import bounded_batches
 from podwatch.llm.tokens import SLICE_CHARS, added_tokens, byte_level_slices, id_pieces, ids_of_slices
 
 TIERS = (128, 256, 512, 1024)
@@ -155,6 +157,7 @@ def packed(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS)
     """
     largest = tiers[-1]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high = TaskContext.get().partitionId() << 32
         pool, docs_of, held = Pool(), [], 0
@@ -194,4 +197,5 @@ def packed(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS)
         if windows or full or short:
             yield emit(windows + full + _powers(short))
 
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

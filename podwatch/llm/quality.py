@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podwatch.llm.scratch import Scratch
+from podwatch.llm.memory import released
+from podwatch.llm.scratch import Scratch, bounded_batches
 from podwatch.llm.tree import PART, combined, one_part, summed
 
 FEATURES = 256
@@ -78,6 +79,7 @@ def _of_texts(batch: pa.RecordBatch) -> np.ndarray:
     return np.array([statistics(x.as_py() or b"") for x in texts]).reshape(-1, len(STATISTICS))
 
 
+@released
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = _of_texts(batch)
@@ -157,6 +159,7 @@ def fit(rows: DataFrame, scratch: Scratch) -> Model | None:
 
     size = FEATURES + 1
 
+    @released
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, size + 1))
         for batch in _blocks(batches):
@@ -199,6 +202,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, keep_text: bool = False)
     Without labelled rows nothing speaks against a document: every score is 1. Empty tables give an empty
     result. With ``keep_text`` statistics are computed of labelled rows first, and of all rows with their score.
     """
+    bounded_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "quality")
     docs = docs.drop("held_out", "score", "predicted", "x")
     known = None if keep_text else scratch.written(measured(docs), "statistics")
@@ -212,6 +216,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, keep_text: bool = False)
         rows = known.join(marks, known["doc_id"] == marks["of"]).where(~held_out(known["doc_id"]))
     model = fit(scratch.written(rows.select("doc_id", "x", "y"), "labelled"), scratch)
 
+    @released
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
             score = np.ones(batch.num_rows)

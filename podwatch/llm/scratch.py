@@ -16,6 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets BATCH for the session unless it has a value: a lazy result is computed by whoever writes it, beyond ``Scratch.written``."""
+    if spark.conf.get(BATCH[0], None) is None:
+        spark.conf.set(*BATCH)
+
+
 class Scratch:
     def __init__(self, spark: SparkSession, name: str) -> None:
         base = spark.conf.get("spark.checkpoint.dir", None)

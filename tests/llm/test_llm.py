@@ -9,11 +9,13 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from podwatch.llm import chat, near_dedup, perfect_hash, warc
+from podwatch.llm import chat, memory, near_dedup, perfect_hash, quality, warc
+from podwatch.llm import line_dedup as line_dedup_module
 from podwatch.llm.components import connected_components
 from podwatch.llm.decontaminate import contaminated
 from podwatch.llm.fingerprints import fingerprints, likeness
@@ -783,3 +785,49 @@ def test_white_space_of_all_kinds_gives_the_librarys_ids():
     for text, ids in zip(texts, library_ids("byte_bpe_50k.json", texts), strict=True):
         pieces = [p for part in byte_level_pieces(text) for p in part]
         assert np.frombuffer(b"".join(known.of(pieces)), dtype="<u4").tolist() == list(ids), repr(text)
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda docs, labels: packed(docs, tokenizer_path("byte_bpe_50k.json")),
+        lambda docs, labels: quality_scores(docs, labels, keep_text=True),
+        lambda docs, labels: line_dedup(docs),
+    ],
+)
+def test_batches_of_a_lazy_result_are_bounded(spark, operator):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    docs = spark.range(2500).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.col("id").cast("string"), F.lit(" ab")), 1500).alias("text")).coalesce(1)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n"])
+
+    try:
+        spark.conf.unset(name)
+        operator(docs.limit(1), labels)
+        found = [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) > 16 << 20
+        assert max(found) < 6 << 20
+        # What a user sets stays.
+        spark.conf.set(name, "123456")
+        operator(docs.limit(1), labels)
+        assert spark.conf.get(name) == "123456"
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def test_a_task_gives_memory_back_when_it_ends(monkeypatch):
+    calls = []
+    monkeypatch.setattr(memory, "release", lambda: calls.append(len(calls)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["five words are a shingle", None])], ["doc_id", "text"])
+    for run in (near_dedup._signatures, near_dedup._sets, line_dedup_module._lines, quality._measured):
+        calls.clear()
+        found = run(iter([batch, batch]))
+        assert [next(found).num_rows >= 0, calls] == [True, []]
+        assert len(list(found)) == 1
+        assert calls == [0]
+    monkeypatch.undo()
+    memory.release()
