@@ -24,6 +24,7 @@ GENERATION_BYTES = 64 << 20  # a worker remembers pieces of twice as much
 ENTRY_BYTES = 240  # of a piece in a worker's memory, with its value and besides its characters
 BATCH_BYTES = 1 << 20
 ROW_PIECES = 4096  # encoded in a row
+JOINED_WORDS = 64  # of a row, merged as one piece
 SLICE_CHARS = 256 << 10  # of text that is in pieces at a time
 _SPACE = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACE_SET = frozenset(map(chr, (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -107,7 +108,7 @@ def ids_of_slices(known: Pieces, parts: list[str | list[str | bytes]]) -> list[n
     """The ids of each of some slices. Pieces of marked ones are told apart and numbered by Arrow, so that each is looked up once."""
     marked = pc.split_pattern(pa.array([x for x in parts if isinstance(x, str)], pa.large_string()), " ")
     pieces = marked.values.dictionary_encode()
-    values = known.of(list(map(_unmarked, pieces.dictionary.to_numpy(zero_copy_only=False).tolist())))
+    values = known.of_distinct(list(map(_unmarked, pieces.dictionary.to_numpy(zero_copy_only=False).tolist())))
     pool, sizes = np.frombuffer(b"".join(values), dtype="<u4"), np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
     codes = pieces.indices.to_numpy()
     lengths = sizes[codes]
@@ -203,18 +204,60 @@ def _token_bytes(path: str) -> np.ndarray | None:
     return sizes
 
 
+# Words of characters that every version of the library's tables classes alike. None has an apostrophe, which may begin a piece of letters.
+_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0400-\u0481]+")
+# Tokens that reach over a border between pieces of plain words, as a byte-level vocabulary writes them: a blank is U+0120, bytes from
+# 0x80 to 0xbf are those of _LATER, and what begins the letters beyond ASCII is in _LEAD.
+_MARK, _LEAD, _LATER = r"!-&(-/:-@\[-`{-~", "\u00c3-\u00c5\u00d0-\u00d2", "\u00a1-\u00ac\u00ae-\u00bf\u0122-\u0143"
+_OVER = re.compile(
+    f"[A-Za-z][0-9{_MARK}\u0120]|[0-9][A-Za-z{_MARK}{_LEAD}\u0120]|[{_MARK}][A-Za-z0-9{_LEAD}\u0120]|(?:^|[{_LEAD}])[{_LATER}][0-9{_MARK}\u0120]"
+)
+
+
+@lru_cache(maxsize=2)
+def uncut(path: str) -> Any:
+    """The tokenizer with the same model but without its splitter, which takes most of its time. None if plain words may need the splitter:
+    merges make no token over a border if the vocabulary has none."""
+    from tokenizers import Tokenizer
+    from tokenizers.models import BPE
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    found = tokenizer(path)
+    model, splitter = found.model, found.pre_tokenizer
+    if found.normalizer or not isinstance(splitter, ByteLevel) or not splitter.use_regex or not isinstance(model, BPE):
+        return None
+    if model.dropout or model.ignore_merges or model.continuing_subword_prefix or model.end_of_word_suffix:
+        return None
+    if any(map(_OVER.search, found.get_vocab(with_added_tokens=False))):
+        return None
+    whole = Tokenizer(model)
+    whole.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+    return whole
+
+
 def _ids(path: str, pieces: list[str | bytes], into: dict[Any, Any]) -> None:
     """Packed ids of each piece. Words are encoded in a row, as the tokenizer begins anew at each blank before one."""
-    sizes = _token_bytes(path)
-    encode = tokenizer(path).encode_batch_fast
+    sizes, whole = _token_bytes(path), uncut(path)
     words = [p for p in pieces if type(p) is str]
     others = [p for p in pieces if type(p) is bytes]
     if sizes is None:
         words, others = [], pieces
-    rows = [words[k : k + ROW_PIECES] for k in range(0, len(words), ROW_PIECES)]
-    for row in rows:
-        text = " " + " ".join(row)
-        ids = np.array(encode([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    plain = list(filter(_PLAIN.fullmatch, words)) if whole else []
+    if len(plain) == len(words):
+        words = []
+    elif plain:
+        words = [w for w in words if not _PLAIN.fullmatch(w)]
+    rows = [(whole, JOINED_WORDS, plain[k : k + ROW_PIECES]) for k in range(0, len(plain), ROW_PIECES)]
+    rows += [(tokenizer(path), ROW_PIECES, words[k : k + ROW_PIECES]) for k in range(0, len(words), ROW_PIECES)]
+    strings = added_tokens(path).strings
+    for encoder, joined, row in rows:
+        texts = [" " + " ".join(row[k : k + joined]) for k in range(0, len(row), joined)]
+        text = "".join(texts)
+        if strings and strings.search(text):
+            others += row
+            continue
+        encoded = encoder.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.array([i for x in encoded for i in x.ids], dtype="<u4")
         ends = np.cumsum(sizes[ids])
         until = np.append(np.flatnonzero(np.frombuffer(text.encode(), dtype=np.uint8)[1:] == ord(" ")) + 1, len(text.encode()))
         at = np.searchsorted(ends, until)
@@ -225,7 +268,7 @@ def _ids(path: str, pieces: list[str | bytes], into: dict[Any, Any]) -> None:
             others += row
     for batch in batches_by_bytes(others):
         texts = [p.decode() if type(p) is bytes else " " + p for p in batch]
-        into.update(zip(batch, (packed_ids(x.ids) for x in encode(texts, add_special_tokens=False)), strict=True))
+        into.update(zip(batch, (packed_ids(x.ids) for x in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)), strict=True))
 
 
 class Pieces:
@@ -242,16 +285,24 @@ class Pieces:
 
     def of(self, pieces: list[Any]) -> list[Any]:
         """The value of each piece, in order."""
+        # A slice repeats most of its pieces: each is looked for once in the large tables, and its repeats in a small one.
+        found = dict.fromkeys(pieces)
+        found = dict(zip(found, self.of_distinct(list(found)), strict=True))
+        return list(map(found.__getitem__, pieces))
+
+    def of_distinct(self, pieces: list[Any]) -> list[Any]:
+        """The value of each piece, in order; no two are equal."""
         if self.bytes >= GENERATION_BYTES:
             self.old, self.young, self.bytes = self.young, {}, 0
         young, old = self.young, self.old
-        # A slice repeats most of its pieces: each is looked for once in the large tables, and its repeats in a small one.
-        found = dict.fromkeys(pieces)
-        found = dict(zip(found, map(young.get, found), strict=True))
-        absent = [p for p, value in found.items() if value is None]
-        if absent:
-            young.update((p, old[p]) for p in absent if p in old)
-            self.encode(self.path, [p for p in absent if p not in young], young)
+        values = list(map(young.get, pieces))
+        places = [k for k, value in enumerate(values) if value is None]
+        if places:
+            absent = [pieces[k] for k in places]
+            met = list(map(old.get, absent))
+            young.update((p, value) for p, value in zip(absent, met, strict=True) if value is not None)
+            self.encode(self.path, [p for p, value in zip(absent, met, strict=True) if value is None], young)
             self.bytes += ENTRY_BYTES * len(absent) + sum(map(len, absent))
-            found.update(zip(absent, map(young.__getitem__, absent), strict=True))
-        return list(map(found.__getitem__, pieces))
+            for k, value in zip(places, map(young.__getitem__, absent), strict=True):
+                values[k] = value
+        return values

@@ -831,3 +831,65 @@ def test_a_task_gives_memory_back_when_it_ends(monkeypatch):
         assert calls == [0]
     monkeypatch.undo()
     memory.release()
+
+
+def test_plain_words_need_no_splitter(monkeypatch):
+    from podwatch.llm import tokens
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    library, cut = tokens.tokenizer(path), []
+
+    class Recorded:
+        def encode_batch_fast(self, texts, **options):
+            cut.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+    monkeypatch.setattr(tokens, "tokenizer", lambda _: Recorded())
+    rng = random.Random(5)
+    plain = [c for c in map(chr, range(0x500)) if tokens._PLAIN.fullmatch(c)]
+    common = [*"etaoin.,-3", "th", "er", "ing", "é", "ö", "и", "12", "...", "(", ")", '"']
+    words = ["".join(rng.choices(rng.choice((plain, common)), k=rng.randrange(1, 14))) for _ in range(20_000)]
+    words = list(dict.fromkeys(words))
+    others = ["it's", "x'tis", "'", "日本", "a“b", "x÷y", "x́"]
+    found = id_pieces(path).of([*words, *others])
+    expected = library.encode_batch_fast([f" {w}" for w in [*words, *others]], add_special_tokens=False)
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in found] == [x.ids for x in expected]
+    assert set(" ".join(cut).split()) == set(others)
+    special = "a<|endoftext|>b"
+    assert np.frombuffer(id_pieces(path).of([special])[0], dtype="<u4").tolist() == library.encode(f" {special}", add_special_tokens=False).ids
+
+
+def test_characters_of_plain_words_are_the_splitters():
+    from tokenizers import pre_tokenizers
+
+    from podwatch.llm import tokens
+
+    splitter = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    for c in map(chr, range(0x10000)):
+        if tokens._PLAIN.fullmatch(c):
+            alone = [len(splitter.pre_tokenize_str(f" {a}{c}{a} {c}")) == 2 for a in "a7."]
+            assert alone == ([True, False, False] if c.isalpha() else [False, True, False] if c.isdigit() else [False, False, True]), c
+
+
+def test_a_vocabulary_that_reaches_over_a_border_keeps_the_splitter(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    from podwatch.llm import tokens
+
+    texts = ["one, two. é, 4th 1.5 é7 word, words;", "4th, word. é, 1.5;"] * 9
+    for k, text in enumerate(("e,", "7th", "a b", "é, è, à,", ".и", "4é", "1.", ".5", "é é")):
+        over = Tokenizer(models.BPE())
+        over.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        trainer = trainers.BpeTrainer(vocab_size=300, show_progress=False, initial_alphabet=pre_tokenizers.ByteLevel.alphabet())
+        over.train_from_iterator([text] * 9, trainer)
+        over.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+        over.save(path := str(tmp_path / f"{k}.json"))
+        assert tokens.uncut(path) is None, text
+        words = list(dict.fromkeys(w for t in [*texts, text] for w in t.split()))
+        found = [np.frombuffer(x, dtype="<u4").tolist() for x in id_pieces(path).of(words)]
+        assert found == [over.encode(f" {w}").ids for w in words]
+    assert tokens.uncut(tokenizer_path("byte_bpe_50k.json"))
+    assert tokens.uncut(tokenizer_path("word_bpe_49k.json")) is None
