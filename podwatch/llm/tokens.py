@@ -109,13 +109,11 @@ def ids_of_slices(known: Pieces, parts: list[str | list[str | bytes]]) -> list[n
     marked = pc.split_pattern(pa.array([x for x in parts if isinstance(x, str)], pa.large_string()), " ")
     pieces = marked.values.dictionary_encode()
     values = known.of_distinct(list(map(_unmarked, pieces.dictionary.to_numpy(zero_copy_only=False).tolist())))
-    pool, sizes = np.frombuffer(b"".join(values), dtype="<u4"), np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
-    codes = pieces.indices.to_numpy()
-    lengths = sizes[codes]
-    ends = np.cumsum(lengths)
-    at = (np.cumsum(sizes) - sizes)[codes] - (ends - lengths)
-    ids = pool[np.repeat(at, lengths) + np.arange(len(pool) and ends[-1])] if len(codes) else pool
-    cuts = np.append(0, ends)[marked.offsets.to_numpy()]
+    each = pa.array(values, pa.large_binary()).take(pieces.indices)
+    _, offsets, data = each.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64, count=len(each) + 1) // 4 if len(each) else np.zeros(1, dtype=np.int64)
+    ids = np.frombuffer(data or b"", dtype="<u4", count=ends[-1])
+    cuts = ends[marked.offsets.to_numpy()]
     found = iter(ids[x:y] for x, y in zip(cuts, cuts[1:], strict=False))
     return [next(found) if isinstance(x, str) else np.frombuffer(b"".join(known.of(x)), dtype="<u4") for x in parts]
 
@@ -299,10 +297,10 @@ class Pieces:
         places = [k for k, value in enumerate(values) if value is None]
         if places:
             absent = [pieces[k] for k in places]
-            met = list(map(old.get, absent))
-            young.update((p, value) for p, value in zip(absent, met, strict=True) if value is not None)
-            self.encode(self.path, [p for p, value in zip(absent, met, strict=True) if value is None], young)
+            made = {p: value for p, value in zip(absent, map(old.get, absent), strict=True) if value is not None}
+            self.encode(self.path, [p for p in absent if p not in made], made)
             self.bytes += ENTRY_BYTES * len(absent) + sum(map(len, absent))
-            for k, value in zip(places, map(young.__getitem__, absent), strict=True):
+            for k, value in zip(places, map(made.__getitem__, absent), strict=True):
                 values[k] = value
+            young.update(made)
         return values
