@@ -3,7 +3,7 @@
 Both tokenizers cut a text into pieces before they look at their vocabulary, and no piece reaches over certain
 places. Added tokens, such as special strings, are cut out before that. Texts are split at these, slice by slice.
 A worker remembers the pieces it met lately, in two generations of bounded bytes (ids for one task, counts from task to task),
-and misses are encoded in batches of equal bytes. The result is the library's own, for every text.
+and misses are encoded in batches of equal bytes; words that need no cutting are so by the model alone. The result is the library's own, for every text.
 """
 
 from __future__ import annotations
