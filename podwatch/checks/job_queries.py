@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podwatch.checks import fixtures as fx
@@ -27,7 +27,8 @@ from podwatch.streaming.cooldown import ROCKSDB_PROVIDER
 from podwatch.streaming.detect import stream_candidates
 from podwatch.streaming.sinks import start_candidate_log
 
-ARRIVALS = 4  # files in which the swaps come in
+ARRIVALS = 4  # parts in which the swaps come in
+FILE_ROWS = 1_000_000  # of the smallest part, at least, in each of its files
 
 
 def _tables(spark: SparkSession) -> tuple[TableNames, str]:
@@ -132,23 +133,29 @@ def landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[DataFrame]]:
-    """The swaps, and their parts by time."""
+def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[DataFrame], Column]:
+    """The swaps, their parts by time, and the number of a swap's part."""
     swaps = _instants(fx.swaps(spark, sf_dir))
     first, last = swaps.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
     part = F.floor((F.unix_micros("timestamp") - F.lit(first)) * ARRIVALS / F.lit(last - first + 1))
-    return swaps, [swaps.where(part == k) for k in range(ARRIVALS)]
+    return swaps, [swaps.where(part == k) for k in range(ARRIVALS)], part
 
 
 def streamed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates of the polls that a stream over the swaps closes; they come in as files in order of time."""
+    """Candidates of the polls that a stream over the swaps closes; they come in as files in order of time.
+
+    Each batch reads the files of one part. A large part is dealt out to several files, and so many rows fill each of them.
+    """
     root = f"{use_checkpoint_dir(spark).rstrip('/')}/podwatch_{uuid.uuid4().hex}"
     tasks = str(min(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     with _utc(spark, **{"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER, "spark.sql.shuffle.partitions": tasks}):
-        swaps, parts = _arrivals(spark, sf_dir)
+        swaps, parts, part = _arrivals(spark, sf_dir)
+        sizes = [r["count"] for r in swaps.groupBy(part.alias("part")).count().where("part IS NOT NULL").collect()]
+        files = max(1, min(spark.sparkContext.defaultParallelism, min(sizes) // FILE_ROWS)) if len(sizes) == ARRIVALS else 1
         for part in parts:
-            part.coalesce(1).write.mode("append").parquet(f"{root}/swaps")
-        arriving = spark.readStream.schema(swaps.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/swaps")
+            # By a number of its own each row falls anywhere, so no file stays away for want of rows.
+            (part.repartition(files, F.monotonically_increasing_id()) if files > 1 else part.coalesce(1)).write.mode("append").parquet(f"{root}/swaps")
+        arriving = spark.readStream.schema(swaps.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/swaps")
         start_candidate_log(stream_candidates(arriving).drop("at"), f"{root}/candidates", f"{root}/state").awaitTermination()
         found = spark.read.parquet(f"{root}/candidates")
     return _plain(found.select("timestamp", "token", "time_interval", "num_users_bought", "num_users_sold"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from podwatch.operators.replay import replay_counts, suppress_replay
 from podwatch.plans.metadata_load import create_tables, merge_metadata
 from podwatch.schemas import TableNames
 from podwatch.streaming.cooldown import stream_alerts
-from podwatch.streaming.detect import TraderChanges, instant_before, stream_candidates
+from podwatch.streaming.detect import GROUPS, TraderChanges, instant_before, packed, stream_candidates, unpacked
 from podwatch.streaming.sinks import start_alert_publishing, start_candidate_log, start_whale_stream
 
 SF = "/root/testdata/sf0.001"
@@ -186,3 +187,46 @@ def test_traders_of_a_group_share_one_state_call_a_batch():
     assert batch(10, range(50)) == {10: ([True], [50]), 11: ([True], [0]), 16: ([False], [-50])}
     assert batch(14, range(30)) == {14: ([True], [0]), 15: ([True], [0]), 16: ([False], [30]), 20: ([False], [-30])}
     assert calls == ["get", "update", "timer", "get", "update"]
+
+
+def test_swaps_are_neither_rows_of_the_state_nor_of_what_python_is_handed(spark, tmp_path):
+    """Many swaps a period, traders that come again, polls without a swap of the token: few rows of state, the counts of a replay."""
+    start = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    second = F.col("id") + F.when(F.col("id") % 7 == 0, F.lit(1)).otherwise(F.lit(0)) * 900
+    swaps = spark.range(20_000).select(
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), second.cast("decimal(18,6)"))).alias("timestamp"),
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("u"), F.xxhash64("id") % 4000)).alias("user_address"),
+        F.when(F.col("id") % 13 > 0, F.concat(F.lit("S"), F.col("id") % 4)).alias("swapfromtoken"),
+        F.concat(F.lit("Ä"), (F.col("id") / 3000).cast("int")).alias("swaptotoken"),
+        F.when(F.col("id") % 5 > 0, F.lit("ORCA")).otherwise(F.lit("PUMP_FUN")).alias("source"),
+    )
+    write_in_order(swaps, str(tmp_path / "swaps"), 4)
+    stream = spark.readStream.schema(swaps.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "swaps"))
+    query = start_candidate_log(stream_candidates(stream), str(tmp_path / "candidates"), str(tmp_path / "state"))
+    query.awaitTermination()
+    columns = ["timestamp", "token", "time_interval", "num_users_bought", "num_users_sold"]
+    newest = swaps.agg(F.max("timestamp")).first()[0]
+    expected = replay_counts(swaps, "2024-01-31 12:00:00").where(F.col("timestamp") < F.lit(newest) - F.expr("INTERVAL 10 MINUTE"))
+    got = spark.read.parquet(str(tmp_path / "candidates")).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    assert rows(got.select(*columns)) == rows(expected.select(*columns)) and got.count() > 200
+    # Some 8,000 traders in 17 or 18 periods come in with a batch.
+    put = [max(p.stateOperators[k].numRowsUpdated for p in query.recentProgress if p.stateOperators) for k in range(3)]
+    assert max(put) <= GROUPS * 18 and len(query.recentProgress[0].stateOperators) == 3
+
+
+def test_legs_of_one_group_and_period_are_packed_into_one_row():
+    period = 300_000_000
+    legs = pa.table(
+        {
+            "micros": pa.array([5, 9, period + 1, 7, 6], pa.int64()),
+            "token": ["A", "Ä", "A", "A", "B"],
+            "side_number": pa.array([0, 1, 0, 0, -1], pa.int64()),
+            "hash_0": pa.array([1, 2, 1, 1, 3], pa.int64()),
+            "hash_1": pa.array([1, 2, 1, 1, 3], pa.int64()),
+            "traders": pa.array([4, 4, 4, 4, 5], pa.int64()),
+        }
+    )
+    found = pa.Table.from_batches(packed(iter(legs.to_batches(max_chunksize=2)), period)).to_pylist()
+    assert [(r["micros"], r["traders"]) for r in found] == [(9, 4), (period + 1, 4), (6, 5)]
+    numbers, tokens = unpacked([r["numbers"] for r in found], [r["tokens"] for r in found])
+    assert tokens.tolist() == ["A", "Ä", "A", "B"] and numbers.T.tolist() == [[0, 1, 1], [1, 2, 2], [0, 1, 1], [-1, 3, 3]]
