@@ -84,7 +84,10 @@ def _polled(spark: SparkSession, sf_dir: str) -> TableNames:
         log = log.select(*(F.col(f.name) if f.name in log.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in columns))
         log.write.insertInto(names.alert_log)
         _fill_metadata(spark, names.token_metadata, sf_dir)
-        run_poll(spark, names, fx.responses(spark, sf_dir), fx.AS_OF, keep_known=False)
+        try:
+            run_poll(spark, names, fx.responses(spark, sf_dir), fx.AS_OF, keep_known=False)
+        finally:
+            spark.catalog.dropTempView(names.swaps)
     return names
 
 

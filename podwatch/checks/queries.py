@@ -13,10 +13,12 @@ from podwatch.functions import payload, text, timing
 from podwatch.operators import alerts, catalog, detect, enrich, landing, metadata, replay, upsert
 from podwatch.plans import replay as replay_plan
 from podwatch.plans import whale_poll
-from podwatch.session import settled
+from podwatch.session import settled, shuffles_dropped, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Swaps of a history whose replay is corrected at once.
+PART_SWAPS = 40_000_000
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -191,12 +193,22 @@ def replay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All swaps, those of one venue after the polls that should have counted them."""
+    """All swaps, those of one venue after the polls that should have counted them.
+
+    A long history is taken by parts of its tokens, one after the other, so that disk holds the shuffles of one part and results only.
+    """
     swaps = fx.swaps(spark, sf_dir)
     is_late = F.coalesce(F.col("source") == "ORCA", F.lit(False))
-    known, late = swaps.where(~is_late), swaps.where(is_late)
-    changes = settled(replay.late_corrections(known, late, fx.REPLAY_UNTIL))
-    return replay.corrected(replay.replay_counts(known, fx.REPLAY_UNTIL), changes)
+    parts = max(1, -(-swaps.count() // PART_SWAPS))
+    found = None
+    for part in range(parts):
+        known, late = (replay.swaps_of_part(swaps.where(of), part, parts) for of in (~is_late, is_late))
+        with shuffles_dropped(spark):
+            changes = stored(replay.late_corrections(known, late, fx.REPLAY_UNTIL))
+            after = replay.corrected(replay.replay_counts(known, fx.REPLAY_UNTIL), changes)
+            after = after if parts == 1 else stored(after)
+        found = after if found is None else found.unionByName(after)
+    return found
 
 
 def suppressed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

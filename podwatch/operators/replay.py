@@ -19,7 +19,7 @@ from podwatch import fixed_values as fv
 from podwatch.functions.timing import collected_instants, instant, kind_of, minute_number, minutes, on_grid, parse_instant, poll_tick
 from podwatch.operators.detect import over_threshold, swap_legs
 from podwatch.rules import RULES, Rule, cooldown_minutes
-from podwatch.session import broadcast_if_small, settled
+from podwatch.session import is_small, settled
 from podwatch.sources.tables import swaps_until
 
 
@@ -28,14 +28,42 @@ def _check_grid(poll_minutes: int, lengths: Sequence[int]) -> None:
         raise ValueError("window lengths must be multiples of the poll period")
 
 
+def token_bucket(token: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets))
+
+
+def swaps_of_part(swaps: DataFrame, part: int, parts: int) -> DataFrame:
+    """The swaps as they concern one of ``parts`` parts of the tokens, by hash; a token of another part is NULL, which never matches.
+
+    Tokens are counted apart, so the parts of a history can be replayed one after the other, and its shuffles never lie on disk together.
+    """
+    if parts == 1:
+        return swaps
+    own = {c: F.when(token_bucket(c, parts) == part, F.col(c)) for c in ("swapfromtoken", "swaptotoken")}
+    return swaps.withColumns(own).where("swapfromtoken IS NOT NULL OR swaptotoken IS NOT NULL")
+
+
+def tokens_filter(tokens: DataFrame) -> DataFrame:
+    """Settled tokens as a frame that is broadcast: themselves if they are few, else the buckets that they are in, at most BUCKETS numbers."""
+    if is_small(tokens):
+        return F.broadcast(tokens)
+    return F.broadcast(tokens.select(token_bucket("token", BUCKETS).alias("bucket")).distinct())
+
+
 def trader_ticks(swaps: DataFrame, poll_minutes: int = fv.POLL_MINUTES, tokens: DataFrame | None = None) -> DataFrame:
-    """(token, side, user, counted, tick) of every leg, of ``tokens`` only if they are given; a trader may come several times inside a poll period."""
+    """(token, side, user, counted, tick) of every leg, of ``tokens``, or of tokens in their buckets, only if they are given; a trader may come
+    several times inside a poll period."""
     tick = poll_tick(F.col("timestamp"), poll_minutes)
     legs = swap_legs(swaps)
-    legs = legs if tokens is None else legs.join(tokens.select("token"), "token", "left_semi")
+    if tokens is not None and "bucket" in tokens.columns:
+        legs = legs.withColumn("bucket", token_bucket("token", BUCKETS)).join(tokens, "bucket", "left_semi")
+    elif tokens is not None:
+        legs = legs.join(tokens.select("token"), "token", "left_semi")
     return legs.select("token", "side", "user_address", "counted", tick.alias("tick"))
 
 
+# Of tokens that are too many to be broadcast.
+BUCKETS = 1_000_000
 # Histories that are counted together: the prefix of a history's columns, and which rows belong to it (SQL; None: all).
 Version = tuple[str, str | None]
 WHOLE: tuple[Version, ...] = (("", None),)
@@ -52,18 +80,20 @@ def count_changes(ticks: DataFrame, rules: Sequence[Rule], versions: Sequence[Ve
     A trader comes in at a tick unless an earlier tick still covers it, and drops out one length after
     a tick unless a later one takes over before. Of legs with the same tick the first has the gap before and the last the gap after, the
     others have gaps of zero and count nowhere, so repeats need no grouping of their own: nearly all keys differ, and a hash table of them
-    on the map side would hold a whole split. Legs that are not counted share one trader and are spread by their tick. The sums reduce on the
+    on the map side would hold a whole split. Legs that are not counted share one trader and are spread by their tick, which
+    other legs lack as a key; each is a trader of its own then, as a window of thousands of rows needs memory that the sums may have taken. The sums reduce on the
     map side. The hash in front of the keys, added after the shuffle, makes the sort compare numbers first, and texts of equal traders only.
     """
-    trader = ["token", "side", "user_address", "counted", "spread"]
-    spread = ticks.withColumn("spread", F.when(~F.col("counted"), F.col("tick")))
-    together = spread.repartition(*trader).withColumn("trader", F.xxhash64(*trader))
-    over = f"IGNORE NULLS OVER (PARTITION BY trader, {', '.join(trader)} ORDER BY tick)"
+    trader = ["token", "side", "user_address", "counted", "tick"]
+    spread = ticks.withColumnRenamed("tick", "poll").withColumn("tick", F.when(~F.col("counted"), F.col("poll")))
+    alone = F.when(~F.col("counted"), F.monotonically_increasing_id())
+    together = spread.repartition(*trader).withColumn("trader", F.xxhash64(*trader, alone))
+    over = f"IGNORE NULLS OVER (PARTITION BY trader, {', '.join(trader)} ORDER BY poll)"
     gaps = []
     for name, which in versions:
-        mine = f"IF({which}, tick, NULL)" if which else "tick"
-        gaps += [F.expr(f"tick - lag({mine}) {over}").alias(f"{name}gap_before"), F.expr(f"lead({mine}) {over} - tick").alias(f"{name}gap_after")]
-    spans = together.select("token", "side", "counted", "tick", *(F.expr(which).alias(f"{name}mine") for name, which in versions if which), *gaps)
+        mine = f"IF({which}, poll, NULL)" if which else "poll"
+        gaps += [F.expr(f"poll - lag({mine}) {over}").alias(f"{name}gap_before"), F.expr(f"lead({mine}) {over} - poll").alias(f"{name}gap_after")]
+    spans = together.select("token", "side", "counted", F.col("poll").alias("tick"), *(F.expr(which).alias(f"{name}mine") for name, which in versions if which), *gaps)
 
     def traders(name: str, which: str | None, side: str, gap: str, rule: Rule) -> Column:
         gap = F.col(f"{name}{gap}")
@@ -198,12 +228,13 @@ def late_corrections(
         return nothing.select(F.lit("add").alias("change"), *key, *counts)
     longest = max([recent_minutes, *(r.length_minutes for r in rules)])
     end = min(parse_instant(until), last + timedelta(minutes=longest))
-    tokens = broadcast_if_small(touched.select("token"))
+    # Late swaps have no other tokens. Of those known before, tokens that only share a bucket with a touched one change nothing.
+    tokens = tokens_filter(touched.select("token"))
 
     ticks = None
-    for of, is_late in ((swaps, False), (late, True)):
+    for of, wanted, is_late in ((swaps, tokens, False), (late, None, True)):
         read = swaps_until(of, end, first, longest, date_column, date_zone)
-        part = trader_ticks(read, poll_minutes, tokens).withColumn("late", F.lit(is_late))
+        part = trader_ticks(read, poll_minutes, wanted).withColumn("late", F.lit(is_late))
         ticks = part if ticks is None else ticks.unionByName(part)
     totals = running_counts(count_changes(ticks, rules, KNOWN_AND_ALL), rules, recent_minutes, poll_minutes, KNOWN_AND_ALL)
     kind = kind_of(swaps, "timestamp")

@@ -8,11 +8,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from podwatch.operators import replay
 from podwatch.operators.detect import detect_candidates
-from podwatch.operators.replay import corrected, late_corrections, poll_grid, replay_counts, suppress_replay
+from podwatch.operators.replay import corrected, late_corrections, poll_grid, replay_counts, suppress_replay, swaps_of_part
 from podwatch.plans.replay import replay_alerts, replay_texts
 from podwatch.rules import RULES, Rule
-from podwatch.session import settled
+from podwatch.session import settled, shuffles_dropped, stored
 
 START = datetime(2024, 1, 31, 0, 0, 0)
 SWAP_SCHEMA = "timestamp timestamp_ntz, user_address string, swapfromtoken string, swaptotoken string, source string"
@@ -218,3 +219,35 @@ def test_corrections_come_from_one_pass(spark):
     assert "FullOuter" not in plan_of(changes)
     got = corrected(replay_counts(known, until), settled(changes)).collect()
     assert {tuple(r) for r in got} == brute_counts([*rows[100:], *twins], RULES, until) and len({tuple(r) for r in got}) == len(got)
+
+
+def test_a_history_by_parts_of_its_tokens_is_the_whole_history(spark):
+    rows = random_swaps(12)
+    until = START + timedelta(hours=9)
+    known, late = spark.createDataFrame(rows[:700], SWAP_SCHEMA), spark.createDataFrame(rows[700:], SWAP_SCHEMA)
+    got = []
+    for part in range(3):
+        own, own_late = (swaps_of_part(x, part, 3) for x in (known, late))
+        with shuffles_dropped(spark):
+            changes = stored(late_corrections(own, own_late, until))
+            got += stored(corrected_columns(corrected(replay_counts(own, until), changes))).collect()
+    assert {tuple(r) for r in got} == brute_counts(rows, RULES, until) and len({tuple(r) for r in got}) == len(got)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_many_late_tokens_meet_the_known_swaps_without_a_shuffle_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(replay, "is_small", lambda df: False)
+    rows = random_swaps(13)
+    until = START + timedelta(hours=9)
+    known, late = spark.createDataFrame(rows[:700], SWAP_SCHEMA), spark.createDataFrame(rows[700:], SWAP_SCHEMA)
+    changes = late_corrections(known, late, until)
+    plan = plan_of(changes)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    got = corrected(replay_counts(known, until), stored(changes)).collect()
+    assert {tuple(r) for r in got} == brute_counts(rows, RULES, until)
+
+
+def test_uncounted_legs_of_a_poll_are_no_large_window(spark):
+    """Each is a partition of its own in the window: thousands in one would need memory beside the sums."""
+    text = plan_of(replay.count_changes(replay.trader_ticks(spark.createDataFrame(random_swaps(14), SWAP_SCHEMA)), RULES))
+    assert "monotonically_increasing_id" in text and "Window" in text
